@@ -1,0 +1,7 @@
+"""Streaming operators: none.
+
+The source statement is one batch SELECT; it reads no stream and keeps no
+state between runs other than the two submission logs, which it reads as
+ordinary tables.  The extract therefore runs as a batch job; a scheduler
+re-runs it with a new ``as_of``.
+"""
