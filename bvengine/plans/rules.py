@@ -144,17 +144,23 @@ def payer_name(eblu, kry) -> Column:
 
 
 # BR-13
-def resolve_payer_id(mapped_id, payer) -> Column:
-    """Mapped payer id, or the not-supported text; unmapped Blues plans get
-    the fixed Blues id."""
-    dflt = F.coalesce(col(mapped_id), F.lit(C.PAYER_NOT_SUPPORTED))
-    blues = dflt.contains(C.PAYER_NOT_SUPPORTED) & contains_any(payer, C.BLUES_PATTERNS)
-    return F.when(blues, F.lit(C.BLUES_FALLBACK_PAYER_ID)).otherwise(dflt)
+def resolve_payer_id(
+    mapped_id,
+    payer,
+    patterns=C.BLUES_PATTERNS,
+    fallback_id: str = C.BLUES_FALLBACK_PAYER_ID,
+    not_supported: str = C.PAYER_NOT_SUPPORTED,
+) -> Column:
+    """Mapped payer id, or the not-supported text; unmapped payers whose
+    name contains one of ``patterns`` (the Blues plans) get ``fallback_id``."""
+    dflt = F.coalesce(col(mapped_id), F.lit(not_supported))
+    fallback = dflt.contains(not_supported) & contains_any(payer, patterns)
+    return F.when(fallback, F.lit(fallback_id)).otherwise(dflt)
 
 
 # BR-14
-def supported_payer(resolved_id) -> Column:
-    return ~col(resolved_id).contains(C.PAYER_NOT_SUPPORTED)
+def supported_payer(resolved_id, not_supported: str = C.PAYER_NOT_SUPPORTED) -> Column:
+    return ~col(resolved_id).contains(not_supported)
 
 
 def unsupported_non_blues(mapped_id, payer) -> Column:
