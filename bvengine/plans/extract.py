@@ -1,20 +1,26 @@
 """BR-26: the benefit-verification work list (76 columns) as one lazy plan.
 
-Order of the plan (cheap and selective first, wide joins last):
-
-1. program members cut to the programs / Pending / Benefits Investigation;
-2. LEFT SEMI to members holding both Active consents (one aggregation);
-3. INNER Active coverages, complete payer name and subscriber id
-   (same key as 2, so the member side is not shuffled again);
-4. LEFT payer map (broadcast behind a row bound), resolved payer id, gate;
-5. LEFT the per-member coverage summary (the eight ``IN`` lists of the
-   source as one aggregation), the govt flag, the segment filter;
-6. LEFT ANTI the blocked task ids of both submission logs;
-7. accounts pre-joined once with their latest primary contact, then used in
-   six roles: member (INNER), provider (LEFT, inner in effect), practice
-   and three ASOC options (LEFT, broadcast behind a row bound, else NULL
-   keys spread over buckets);
-8. the 76 output expressions, DISTINCT, deterministic cap.
+The plan has two levels.  Member-level work runs on one row per program
+member; only then are members joined to their coverages (about ten per
+member), so the wide coverage rows are shuffled as few times as possible:
+
+member level
+  1. program members cut to the programs / Pending / Benefits Investigation;
+  2. LEFT SEMI to members holding both Active consents (one aggregation);
+  3. accounts pre-joined once with their latest primary contact (the contact
+     shuffle is shared by every role), then the member account (INNER, raw
+     state not CA) and the provider (LEFT, inner in effect; broadcast behind
+     a row bound);
+  4. the per-member coverage summary (the eight ``IN`` lists of the source
+     as one aggregation);
+coverage level
+  5. Active coverages with a payer name and subscriber id, LEFT payer map
+     (broadcast behind a row bound), resolved payer id and its gate;
+  6. members x coverages on the member id, govt flag, segment filter;
+  7. LEFT ANTI the blocked task ids of both submission logs;
+  8. practice and three ASOC sites (LEFT; broadcast behind a row bound, or
+     shuffled at member level with NULL keys spread over buckets);
+  9. the 76 output expressions, DISTINCT, deterministic cap.
 """
 
 from __future__ import annotations
@@ -135,14 +141,17 @@ def benefit_verification_extract(
     cfg: RulesConfig = DEFAULT,
     broadcast_sites: bool | None = None,
     broadcast_payers: bool | None = None,
+    broadcast_providers: bool | None = None,
 ) -> DataFrame:
     """The work list.  ``as_of`` replaces the server clock; ``cfg.cap=None``
     returns every distinct row.  ``broadcast_*=None`` decides by a bounded
     row count of the dimension; True/False forces the choice."""
     cutoff = cutoff_literal(as_of, cfg)
+    rt = F.col("recordtypeid")
 
+    # ---- member level: one row per program member (x coverages later) ----
     # 1. driving table, cut first
-    pm = t.program_member.filter(
+    m = t.program_member.filter(
         R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
     ).select(
         F.col("id").alias("pm_id"),
@@ -150,9 +159,12 @@ def benefit_verification_extract(
         F.col("status_mvn__c").alias("pm_status"),
         F.col("status_reason_mvn__c").alias("pm_reason"),
         F.col("program_name_mvn__c").alias("pm_program"),
-        "member_mvn__c", "patient_birthdate_mvn__c", "physician_mvn__c", "enrolling_physician_mvn__c",
-        "hzn_updated_site_of_care__c", "site_of_care_mvn__c",
-        "hzn_asoc_opt_1__c", "hzn_asoc_opt_2__c", "hzn_asoc_opt_3__c",
+        "member_mvn__c", "patient_birthdate_mvn__c",
+        F.coalesce("physician_mvn__c", "enrolling_physician_mvn__c").alias("__h_key"),
+        F.coalesce("hzn_updated_site_of_care__c", "site_of_care_mvn__c").alias("__e_key"),
+        F.col("hzn_asoc_opt_1__c").alias("__e1_key"),
+        F.col("hzn_asoc_opt_2__c").alias("__e2_key"),
+        F.col("hzn_asoc_opt_3__c").alias("__e3_key"),
         "hzn_kxx_primary_diagnosis__c", "hzn_primary_diagnosis__c",
         "hzn_other_primary_diagnosis__c", "hzn_secondary_dx_code__c",
     )
@@ -161,11 +173,55 @@ def benefit_verification_extract(
     consented = R.consented_members(t.authorization_consent, cfg).withColumnRenamed(
         "program_member_mvn__c", "__consent_pm"
     )
-    pm = pm.join(consented, F.col("pm_id") == F.col("__consent_pm"), "left_semi")
+    m = m.join(consented, F.col("pm_id") == F.col("__consent_pm"), "left_semi")
+
+    # 3. parties: accounts with their latest primary contact
+    record_types = (cfg.patient_record_type, cfg.provider_record_type, *cfg.site_record_types)
+    party = party_dimension(t.account, t.contact_info, record_types, cfg)
+
+    # member account: INNER, then the raw-state exclusion (drops no contact)
+    pe = party.filter(rt == F.lit(cfg.patient_record_type))
+    m = role_join(m, pe, "member_mvn__c", "pe_", columns=PATIENT_COLS, how="inner")
+    m = m.filter(R.state_exclusion("pe_state_mvn__c", cfg))
+
+    # provider: LEFT as written; the exclusion's three-valued NOT drops
+    # unmatched members, so Catalyst plans an inner join and drops NULL keys
+    # before the shuffle.
+    h = party.filter(rt == F.lit(cfg.provider_record_type))
+    if broadcast_providers is None:
+        _, broadcast_providers = bounded_broadcast(
+            t.account.filter(rt == F.lit(cfg.provider_record_type)).select("id"), cfg.broadcast_max_rows)
+    m = role_join(m, h, "__h_key", "h_", columns=PROVIDER_COLS, how="left", broadcast=broadcast_providers)
+    m = m.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg))
+
+    # member summary: the eight IN lists of the source as one aggregation
+    summary = R.coverage_summary(
+        t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)),
+        t.payer_mapping, cfg, broadcast_map=broadcast_payers is not False,
+    )
+    m = attach_flags(m, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS)
+
+    # sites: broadcast when the dimension is small enough (joined after the
+    # gates, on fewer rows); otherwise shuffled here, at member level, with
+    # NULL keys spread over buckets.
+    site = party.filter(rt.isin(*cfg.site_record_types))
+    if broadcast_sites is None:
+        _, broadcast_sites = bounded_broadcast(
+            t.account.filter(rt.isin(*cfg.site_record_types)).select("id"), cfg.broadcast_max_rows)
+    roles = (("e_", "__e_key"), ("e1_", "__e1_key"), ("e2_", "__e2_key"), ("e3_", "__e3_key"))
 
-    # 3. Active coverages with a payer name and a subscriber id
-    active_bc = t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status))
-    bc = active_bc.select(
+    def join_sites(df: DataFrame, spread_by) -> DataFrame:
+        for prefix, key in roles:
+            df = role_join(df, site, key, prefix, columns=SITE_COLS, how="left", broadcast=broadcast_sites,
+                           spread_by=spread_by, null_buckets=cfg.null_key_buckets)
+        return df
+
+    if not broadcast_sites:
+        m = join_sites(m, ["pm_id"])
+
+    # ---- coverage level ----
+    # 4. Active coverages with a payer name and a subscriber id
+    bc = t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
         F.col("id").alias("bc_id"),
         F.col("name").alias("bc_name"),
         F.col("program_member_mvn__c").alias("bc_pm"),
@@ -175,27 +231,24 @@ def benefit_verification_extract(
         R.payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c").alias("bc_payer"),
         "hzn_plan_member_id__c", "payer_phone_mvn__c", "plan_name_mvn__c",
     ).filter(R.completeness_gate("bc_payer", "hzn_plan_member_id__c"))
-    x = pm.join(bc, F.col("pm_id") == F.col("bc_pm"), "inner").drop("bc_pm")
-    x = x.withColumn("task_id", R.task_id("bc_name", "pm_name"))
 
-    # 4. payer map: LEFT (a repeated payer name fans out, as in the source)
+    # 5. payer map: LEFT (a repeated payer name fans out, as in the source)
     hpm = t.payer_mapping.select(F.col("payer_name").alias("hpm_name"), F.col("infinitus_payer_id").alias("hpm_id"))
     if broadcast_payers is None:
         _, broadcast_payers = bounded_broadcast(hpm, cfg.broadcast_max_rows)
-    hpm_side = F.broadcast(hpm) if broadcast_payers else hpm
-    x = x.join(hpm_side, F.col("hpm_name") == F.col("bc_payer"), "left")
-    x = x.withColumn("payer_id", R.resolve_payer_id("hpm_id", "bc_payer")).filter(R.supported_payer("payer_id"))
-
-    # 5. member summary -> govt flag -> segment filter
-    summary = R.coverage_summary(active_bc, t.payer_mapping, cfg, broadcast_map=broadcast_payers)
-    x = attach_flags(x, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS)
-    x = x.withColumn(
+    bc = bc.join(F.broadcast(hpm) if broadcast_payers else hpm, F.col("hpm_name") == F.col("bc_payer"), "left")
+    bc = bc.withColumn("payer_id", R.resolve_payer_id("hpm_id", "bc_payer")).filter(R.supported_payer("payer_id"))
+
+    # 6. members x coverages (the one join between the two levels)
+    x = m.join(bc, F.col("pm_id") == F.col("bc_pm"), "inner").drop("bc_pm")
+    x = x.withColumn("task_id", R.task_id("bc_name", "pm_name")).withColumn(
         "govt_flag",
         R.other_tier_flag("hzn_plan_coverage_type__c", "bc_tier", "bc_status", "has_nc_primary", "has_nc_secondary", cfg),
     )
     x = x.filter(R.segment_filter("hzn_plan_coverage_type__c", "govt_flag", cfg=cfg))
 
-    # 6. submission logs: drop tasks already sent unless stale (and accepted)
+    # 7. submission logs: drop tasks already sent unless stale (and accepted);
+    #    both anti joins share the partitioning by task id.
     x = exclude_unless_stale(
         x, "task_id", t.outbound_log, "customer bv task id", "extraction_date", cutoff,
         extra_aggs={"count_accepted": F.sum(F.col("is_accepted").cast("int"))},
@@ -203,38 +256,8 @@ def benefit_verification_extract(
     )
     x = exclude_unless_stale(x, "task_id", t.allcare_log, "customer bv task id", "extraction date", cutoff)
 
-    # 7. parties
-    record_types = (cfg.patient_record_type, cfg.provider_record_type, *cfg.site_record_types)
-    party = party_dimension(t.account, t.contact_info, record_types, cfg)
-    rt = F.col("recordtypeid")
-
-    pe = party.filter(rt == F.lit(cfg.patient_record_type))
-    x = role_join(x, pe, "member_mvn__c", "pe_", columns=PATIENT_COLS, how="inner")
-    x = x.filter(R.state_exclusion("pe_state_mvn__c", cfg))
-
-    # LEFT as written; the exclusion's three-valued NOT drops unmatched rows,
-    # so Catalyst plans it as an inner join and drops NULL keys map-side.
-    h = party.filter(rt == F.lit(cfg.provider_record_type))
-    x = x.withColumn("__h_key", F.coalesce("physician_mvn__c", "enrolling_physician_mvn__c"))
-    x = role_join(x, h, "__h_key", "h_", columns=PROVIDER_COLS, how="left").drop("__h_key")
-    x = x.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg))
-
-    site = party.filter(rt.isin(*cfg.site_record_types))
-    if broadcast_sites is None:
-        site_accounts = t.account.filter(rt.isin(*cfg.site_record_types)).select("id")
-        _, broadcast_sites = bounded_broadcast(site_accounts, cfg.broadcast_max_rows)
-    spread = None if broadcast_sites else ["task_id", "bc_id"]
-    roles = (
-        ("e_", F.coalesce("hzn_updated_site_of_care__c", "site_of_care_mvn__c")),
-        ("e1_", F.col("hzn_asoc_opt_1__c")),
-        ("e2_", F.col("hzn_asoc_opt_2__c")),
-        ("e3_", F.col("hzn_asoc_opt_3__c")),
-    )
-    for prefix, key in roles:
-        x = role_join(
-            x, site, key, prefix, columns=SITE_COLS, how="left", broadcast=broadcast_sites,
-            spread_by=spread, null_buckets=cfg.null_key_buckets,
-        )
+    if broadcast_sites:
+        x = join_sites(x, None)
 
     # 8. project, DISTINCT, cap
     out = x.select(*output_columns(cfg))
