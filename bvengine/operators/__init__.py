@@ -8,6 +8,7 @@ from .aggregate import flag_pivot, has_all
 from .gates import blocked_keys, exclude_unless_stale
 from .joins import (
     bounded_broadcast,
+    bounded_sizes,
     join_on_first_key,
     left_join_on,
     qcol,
@@ -23,6 +24,7 @@ __all__ = [
     "attach_flags",
     "blocked_keys",
     "bounded_broadcast",
+    "bounded_sizes",
     "exclude_unless_stale",
     "flag_pivot",
     "has_all",

@@ -34,7 +34,7 @@ from .. import config as C
 from ..config import DEFAULT, DEFAULT_AS_OF, RulesConfig
 from ..functions.cutoff import cutoff_literal
 from ..operators.gates import exclude_unless_stale
-from ..operators.joins import bounded_broadcast, role_join
+from ..operators.joins import bounded_sizes, role_join
 from ..operators.limit import top_distinct
 from ..operators.membership import attach_flags
 from ..sources.loader import DomainTables
@@ -149,6 +149,21 @@ def benefit_verification_extract(
     cutoff = cutoff_literal(as_of, cfg)
     rt = F.col("recordtypeid")
 
+    # size checks of the three dimensions, in one bounded job
+    unknown = {
+        name: df
+        for name, df, flag in (
+            ("payers", t.payer_mapping.select("payer_name"), broadcast_payers),
+            ("providers", t.account.filter(rt == F.lit(cfg.provider_record_type)).select("id"), broadcast_providers),
+            ("sites", t.account.filter(rt.isin(*cfg.site_record_types)).select("id"), broadcast_sites),
+        )
+        if flag is None
+    }
+    fits = bounded_sizes(unknown, cfg.broadcast_max_rows)
+    broadcast_payers = fits.get("payers", broadcast_payers)
+    broadcast_providers = fits.get("providers", broadcast_providers)
+    broadcast_sites = fits.get("sites", broadcast_sites)
+
     # ---- member level: one row per program member (x coverages later) ----
     # 1. driving table, cut first
     m = t.program_member.filter(
@@ -188,16 +203,13 @@ def benefit_verification_extract(
     # unmatched members, so Catalyst plans an inner join and drops NULL keys
     # before the shuffle.
     h = party.filter(rt == F.lit(cfg.provider_record_type))
-    if broadcast_providers is None:
-        _, broadcast_providers = bounded_broadcast(
-            t.account.filter(rt == F.lit(cfg.provider_record_type)).select("id"), cfg.broadcast_max_rows)
     m = role_join(m, h, "__h_key", "h_", columns=PROVIDER_COLS, how="left", broadcast=broadcast_providers)
     m = m.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg))
 
     # member summary: the eight IN lists of the source as one aggregation
     summary = R.coverage_summary(
         t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)),
-        t.payer_mapping, cfg, broadcast_map=broadcast_payers is not False,
+        t.payer_mapping, cfg, broadcast_map=broadcast_payers,
     )
     m = attach_flags(m, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS)
 
@@ -205,9 +217,6 @@ def benefit_verification_extract(
     # gates, on fewer rows); otherwise shuffled here, at member level, with
     # NULL keys spread over buckets.
     site = party.filter(rt.isin(*cfg.site_record_types))
-    if broadcast_sites is None:
-        _, broadcast_sites = bounded_broadcast(
-            t.account.filter(rt.isin(*cfg.site_record_types)).select("id"), cfg.broadcast_max_rows)
     roles = (("e_", "__e_key"), ("e1_", "__e1_key"), ("e2_", "__e2_key"), ("e3_", "__e3_key"))
 
     def join_sites(df: DataFrame, spread_by) -> DataFrame:
@@ -234,8 +243,6 @@ def benefit_verification_extract(
 
     # 5. payer map: LEFT (a repeated payer name fans out, as in the source)
     hpm = t.payer_mapping.select(F.col("payer_name").alias("hpm_name"), F.col("infinitus_payer_id").alias("hpm_id"))
-    if broadcast_payers is None:
-        _, broadcast_payers = bounded_broadcast(hpm, cfg.broadcast_max_rows)
     bc = bc.join(F.broadcast(hpm) if broadcast_payers else hpm, F.col("hpm_name") == F.col("bc_payer"), "left")
     bc = bc.withColumn("payer_id", R.resolve_payer_id("hpm_id", "bc_payer")).filter(R.supported_payer("payer_id"))
 

@@ -16,6 +16,10 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
     "spark.driver.memory": "8g",
+    # PySpark 4 records a Python call site for every Column function (four
+    # extra driver round trips each) to enrich error messages; a plan with
+    # hundreds of expressions pays seconds for it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,6 +1,7 @@
 """Sources: declared schemas and checked loaders (Parquet or catalog tables)."""
 
 from .loader import DRIVER_TABLES, DomainTables, SchemaError, conform, load, read_table
+from .sink import write_worklist
 from .schemas import DOMAIN_SCHEMAS, OUTPUT_COLUMNS, OUTPUT_SCHEMA, WAREHOUSE_NAMES
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "conform",
     "load",
     "read_table",
+    "write_worklist",
 ]
