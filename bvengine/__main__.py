@@ -35,6 +35,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--parity", default=DEFAULT.parity, choices=PARITY_MODES)
     p.add_argument("--cap", default=str(DEFAULT.cap), help="row cap or 'none'")
     p.add_argument("--format", default="parquet", choices=("parquet", "csv"))
+    p.add_argument("--collation", help="e.g. UTF8_LCASE_RTRIM for case-insensitive, trailing-blank-insensitive text")
     p.add_argument("--out", required=True)
     return p.parse_args(argv)
 
@@ -43,9 +44,9 @@ def main(argv=None) -> None:
     a = parse_args(argv)
     spark = SparkSession.builder.appName("bvengine-extract").getOrCreate()
     if a.tables_dir:
-        t = DomainTables.from_paths(spark, {n: f"{a.tables_dir.rstrip('/')}/{n}" for n in DOMAIN_SCHEMAS})
+        t = DomainTables.from_paths(spark, {n: f"{a.tables_dir.rstrip('/')}/{n}" for n in DOMAIN_SCHEMAS}, a.collation)
     else:
-        t = DomainTables.from_catalog(spark, dict(kv.split("=", 1) for kv in a.table))
+        t = DomainTables.from_catalog(spark, dict(kv.split("=", 1) for kv in a.table), a.collation)
     as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else dt.datetime.now().replace(microsecond=0)
     cap = None if a.cap.lower() == "none" else int(a.cap)
     cfg = DEFAULT.with_(parity=a.parity, cap=cap)

@@ -8,7 +8,7 @@ wall clock and never hard-code a constant inline.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values -----------------------------------------------------------
 # These must equal the source statement's literals for the extract to be
@@ -107,11 +107,12 @@ class RulesConfig:
     cap: int | None = RESULT_CAP
     parity: str = "repaired"
     # Dimension sides at or under this many rows are broadcast; larger ones
-    # are shuffle-joined (AQE may still pick a broadcast at run time).
-    broadcast_max_rows: int = 2_000_000
+    # are shuffle-joined (AQE may still pick a broadcast at run time).  A
+    # site or provider row with its contact is ~18 short strings (~400 B),
+    # so the bound keeps one broadcast under ~100 MB per executor.
+    broadcast_max_rows: int = 250_000
     # Buckets that spread NULL join keys of optional left joins.
     null_key_buckets: int = 256
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.parity not in PARITY_MODES:

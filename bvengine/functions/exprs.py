@@ -19,8 +19,12 @@ def col(c: ColumnOrName) -> Column:
 
 
 def digits_only(c: ColumnOrName) -> Column:
-    """Keep ASCII digits only; NULL stays NULL (the cleaning scalar function)."""
-    return F.regexp_replace(col(c).cast("string"), "[^0-9]", "")
+    """Keep ASCII digits only; NULL stays NULL (the cleaning scalar function).
+
+    Digits have no case, so the input is compared in binary collation (the
+    regular expression functions do not take the trailing-blank collations).
+    """
+    return F.regexp_replace(F.collate(col(c).cast("string"), "UTF8_BINARY"), "[^0-9]", "")
 
 
 def digits_fixed(c: ColumnOrName, n: int) -> Column:
@@ -40,8 +44,10 @@ def zip5(c: ColumnOrName) -> Column:
 
 
 def null_safe_concat(*parts: ColumnOrName) -> Column:
-    """``CONCAT`` that treats NULL as the empty string (never returns NULL)."""
-    return F.concat(*[F.coalesce(col(p).cast("string"), F.lit("")) for p in parts])
+    """``CONCAT`` of string columns that treats NULL as the empty string
+    (never returns NULL).  The inputs keep their collation, so the key still
+    compares like the columns it is built from."""
+    return F.concat(*[F.coalesce(col(p), F.lit("")) for p in parts])
 
 
 def task_key(left: ColumnOrName, right: ColumnOrName, sep: str = " ") -> Column:

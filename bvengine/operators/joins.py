@@ -49,13 +49,14 @@ def bounded_sizes(sides: dict[str, DataFrame], max_rows: int) -> dict[str, bool]
 
 def spread_null_key(key: Column, spread_by: Sequence[Column | str], buckets: int) -> Column:
     """A string join key whose NULLs are spread over ``buckets`` values that
-    can never match (they start with a control character).
+    can never match (they start with a control character).  ``key`` must be
+    a string column; its collation is kept.
 
     An optional LEFT JOIN key that is NULL for a third of the rows would
     otherwise hash every such row to one shuffle partition.
     """
     salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(buckets))
-    return F.coalesce(key.cast("string"), F.concat(F.lit("\u0001null-"), salt.cast("string")))
+    return F.coalesce(key, F.concat(F.lit("\u0001null-"), salt.cast("string")))
 
 
 def role_join(
@@ -89,7 +90,7 @@ def role_join(
     if spread_by and how == "left":
         tmp = f"__jk_{prefix}"
         out = df.withColumn(tmp, spread_null_key(k, spread_by, null_buckets))
-        return out.join(d, F.col(tmp) == dk.cast("string"), how).drop(tmp)
+        return out.join(d, F.col(tmp) == dk, how).drop(tmp)
     return df.join(d, k == dk, how)
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from .schemas import DOMAIN_SCHEMAS, WAREHOUSE_NAMES
 
@@ -16,20 +16,33 @@ class SchemaError(ValueError):
     pass
 
 
-def conform(df: DataFrame, schema: StructType, name: str = "table") -> DataFrame:
+def conform(df: DataFrame, schema: StructType, name: str = "table", collation: str | None = None) -> DataFrame:
     """Select the declared columns (case-insensitively) cast to the declared
     types.  A missing column raises; extra columns are pruned (and so never
-    read from Parquet)."""
+    read from Parquet).
+
+    ``collation`` (e.g. ``"UTF8_LCASE_RTRIM"``: case-insensitive, trailing
+    blanks ignored, like a SQL Server default collation) is applied to every
+    string column, so comparisons, LIKE tests, REPLACE, join keys, grouping
+    and DISTINCT all follow it.  Default: binary comparison.
+    """
     by_lower = {c.lower(): c for c in df.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
     if missing:
         raise SchemaError(f"{name}: missing column(s) {missing}; has {sorted(df.columns)}")
-    return df.select(
-        *[F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+
+    def one(f):
+        c = F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType)
+        if collation and isinstance(f.dataType, StringType):
+            c = F.collate(c, collation)
+        return c.alias(f.name)
+
+    return df.select(*[one(f) for f in schema.fields])
 
 
-def load(spark: SparkSession, name: str, path: str | None = None, table: str | None = None) -> DataFrame:
+def load(
+    spark: SparkSession, name: str, path: str | None = None, table: str | None = None, collation: str | None = None
+) -> DataFrame:
     """Load one domain table by logical name, from Parquet ``path`` or from a
     catalog ``table`` (default: the warehouse name the statement uses)."""
     if name not in DOMAIN_SCHEMAS:
@@ -38,7 +51,7 @@ def load(spark: SparkSession, name: str, path: str | None = None, table: str | N
         df = spark.read.parquet(path)
     else:
         df = spark.table(table or WAREHOUSE_NAMES[name])
-    return conform(df, DOMAIN_SCHEMAS[name], name)
+    return conform(df, DOMAIN_SCHEMAS[name], name, collation)
 
 
 @dataclass
@@ -56,17 +69,19 @@ class DomainTables:
     allcare_log: DataFrame
 
     @classmethod
-    def from_frames(cls, frames: Mapping[str, DataFrame]) -> "DomainTables":
-        return cls(**{f.name: conform(frames[f.name], DOMAIN_SCHEMAS[f.name], f.name) for f in fields(cls)})
+    def from_frames(cls, frames: Mapping[str, DataFrame], collation: str | None = None) -> "DomainTables":
+        return cls(**{f.name: conform(frames[f.name], DOMAIN_SCHEMAS[f.name], f.name, collation) for f in fields(cls)})
 
     @classmethod
-    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str]) -> "DomainTables":
-        return cls(**{f.name: load(spark, f.name, path=paths[f.name]) for f in fields(cls)})
+    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], collation: str | None = None) -> "DomainTables":
+        return cls(**{f.name: load(spark, f.name, path=paths[f.name], collation=collation) for f in fields(cls)})
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, names: Mapping[str, str] | None = None) -> "DomainTables":
+    def from_catalog(
+        cls, spark: SparkSession, names: Mapping[str, str] | None = None, collation: str | None = None
+    ) -> "DomainTables":
         names = dict(WAREHOUSE_NAMES, **(names or {}))
-        return cls(**{f.name: load(spark, f.name, table=names[f.name]) for f in fields(cls)})
+        return cls(**{f.name: load(spark, f.name, table=names[f.name], collation=collation) for f in fields(cls)})
 
 
 DRIVER_TABLES = (

@@ -115,3 +115,28 @@ def test_cap_is_deterministic(tables):
 def test_default_cap_is_1024(tables):
     assert DEFAULT.cap == 1024
     assert run(tables, cap=DEFAULT.cap).count() == len(EXPECTED["repaired"]) + 1  # PayerB fans out
+
+
+def test_case_insensitive_collation(spark):
+    """Under UTF8_LCASE_RTRIM a lower-case status / program, a padded reason
+    and a lower-case 'ca' behave as SQL Server's default collation would."""
+    from bvengine.sources.loader import DomainTables
+    from golden import build_rows
+    from bvengine.sources.schemas import DOMAIN_SCHEMAS
+
+    rows = build_rows()
+    pm1 = dict(rows["program_member"][0])
+    assert pm1["id"] == "PM1"
+    rows["program_member"][0].update(status_mvn__c="pending", program_name_mvn__c="tepro",
+                                     status_reason_mvn__c="Benefits Investigation  ")
+    for c in rows["contact_info"]:
+        if c["account_mvn__c"] == "PAT18":
+            c["state_mvn__c"] = "ca"   # would pass the binary <> 'CA'
+    frames = {n: spark.createDataFrame([tuple(r.get(f.name) for f in DOMAIN_SCHEMAS[n].fields) for r in rs],
+                                       DOMAIN_SCHEMAS[n]) for n, rs in rows.items()}
+    binary = {r[0] for r in run(DomainTables.from_frames(frames)).select("`Customer BV Task ID`").collect()}
+    ci = {r[0] for r in run(DomainTables.from_frames(frames, collation="UTF8_LCASE_RTRIM"))
+          .select("`Customer BV Task ID`").collect()}
+    assert "CV1 N1" not in binary and "CV18 N18" in binary
+    assert "CV1 N1" in ci and "CV18 N18" not in ci
+    assert ci - {"CV1 N1"} == binary - {"CV18 N18"}
