@@ -91,6 +91,7 @@ def test_npi_tax_and_parties(rows):
     assert r41["Practice Name"] == "Formatted M" and r41["Practice NPI"] is None  # no fall-through past a bad NPI
     r45 = one(rows, "CV45 N45")
     assert r45["Practice Name"] == "Infusion Co"
+    assert r45["Practice Street Address"] is None and r45["Practice Zip"] is None  # site without a contact
     assert (r45["ASOC Option 1 Name"], r45["ASOC Option 1 NPI"], r45["ASOC Option 1 State"], r45["ASOC Option 1 Zip"]) == (
         "Clinic", "2222222222", "NJ", "07001")
     assert (r45["ASOC Option 2 Name"], r45["ASOC Option 2 NPI"]) == ("Formatted M", None)
