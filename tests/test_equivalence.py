@@ -106,3 +106,44 @@ def test_member_flag_equals_in(spark, left, right):
     b = spark.sql("SELECT i, k, CASE WHEN k IN (SELECT m FROM {r}) THEN true ELSE false END AS f FROM {l}",
                   l=l_df, r=r_df)
     assert same_rows(a, b)
+
+
+ACCT_IDS = st.sampled_from(["p1", "p2", "s1", "s2", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(ACCT_IDS, DAYS, st.sampled_from(["CA", "NY", None]), st.booleans()), max_size=20),
+       st.lists(st.tuples(ACCT_IDS, ACCT_IDS), max_size=10))
+def test_prejoined_party_equals_separate_contact_joins(spark, contact_rows, member_rows):
+    from bvengine.plans.extract import party_dimension
+
+    ct = "01246000000NGFNAA4"
+    contacts = spark.createDataFrame(
+        [(f"c{i}", a, ct, prim, "10001", "x", None, "T", s, d) for i, (a, d, s, prim) in enumerate(contact_rows)],
+        "id string, account_mvn__c string, recordtypeid string, primary_mvn__c boolean, zip_mvn__c string, "
+        "address_line_1_mvn__c string, address_line_2_mvn__c string, city_mvn__c string, state_mvn__c string, "
+        "lastmodifieddate timestamp_ntz")
+    accts = spark.createDataFrame([("p1", "P"), ("p2", "P"), ("s1", "S"), ("s2", "X")], "id string, recordtypeid string")
+    members = spark.createDataFrame([(f"m{i}", a, b) for i, (a, b) in enumerate(member_rows)],
+                                    "mid string, pk string, sk string")
+    party = party_dimension(accts, contacts, ("P", "S"))
+    a = (members.join(party.filter(F.col("recordtypeid") == "P").select(F.col("id").alias("pid"),
+                                                                         F.col("state_mvn__c").alias("pstate")),
+                      F.col("pk") == F.col("pid"), "left")
+         .join(party.filter(F.col("recordtypeid") == "S").select(F.col("id").alias("sid"),
+                                                                  F.col("state_mvn__c").alias("sstate")),
+               F.col("sk") == F.col("sid"), "left")
+         .select("mid", "pid", "pstate", "sid", "sstate"))
+    b = spark.sql(
+        """WITH contact AS (
+             SELECT *, row_number() OVER (PARTITION BY account_mvn__c ORDER BY lastmodifieddate DESC NULLS LAST, id DESC) AS r
+             FROM {contacts} WHERE primary_mvn__c = true AND recordtypeid = '01246000000NGFNAA4' AND zip_mvn__c IS NOT NULL)
+           SELECT m.mid, p.id AS pid, cp.state_mvn__c AS pstate, s.id AS sid, cs.state_mvn__c AS sstate
+           FROM {members} m
+           LEFT JOIN (SELECT * FROM {accts} WHERE recordtypeid = 'P') p ON p.id = m.pk
+           LEFT JOIN (SELECT * FROM {accts} WHERE recordtypeid = 'S') s ON s.id = m.sk
+           LEFT JOIN contact cp ON cp.account_mvn__c = p.id
+           LEFT JOIN contact cs ON cs.account_mvn__c = s.id
+           WHERE NOT (COALESCE(cp.r, 0) > 1 OR COALESCE(cs.r, 0) > 1)""",
+        contacts=contacts, members=members, accts=accts)
+    assert same_rows(a, b)
