@@ -2,7 +2,10 @@
 
 The plan has two levels.  Member-level work runs on one row per program
 member; only then are members joined to their coverages (about ten per
-member), so the wide coverage rows are shuffled as few times as possible:
+member), so the wide coverage rows are shuffled as few times as possible.
+When the gated members are few enough to broadcast, their keys first cut
+every large input (consents, coverages, accounts, contacts) map-side, so
+the shuffles below carry only rows those members can reach:
 
 member level
   1. program members cut to the programs / Pending / Benefits Investigation;
@@ -142,12 +145,25 @@ def benefit_verification_extract(
     broadcast_sites: bool | None = None,
     broadcast_payers: bool | None = None,
     broadcast_providers: bool | None = None,
+    reduce_by_members: bool | None = None,
 ) -> DataFrame:
     """The work list.  ``as_of`` replaces the server clock; ``cfg.cap=None``
     returns every distinct row.  ``broadcast_*=None`` decides by a bounded
-    row count of the dimension; True/False forces the choice."""
+    row count of the dimension; True/False forces the choice.
+
+    ``reduce_by_members`` (default: when the gated members pass the same row
+    bound) broadcasts the keys of the gated members and cuts consents,
+    coverages (both the member's own and those behind the member summary),
+    accounts and contacts to the rows those members can reach, before any of
+    them is aggregated or shuffled.  Only Pending / Benefits Investigation members of the two
+    programs can reach the output, so at scale this turns full-table
+    shuffles into shuffles of a small slice.  The result is the same.
+    """
     cutoff = cutoff_literal(as_of, cfg)
     rt = F.col("recordtypeid")
+    gated = t.program_member.filter(
+        R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
+    )
 
     # size checks of the three dimensions, in one bounded job
     unknown = {
@@ -156,6 +172,7 @@ def benefit_verification_extract(
             ("payers", t.payer_mapping.select("payer_name"), broadcast_payers),
             ("providers", t.account.filter(rt == F.lit(cfg.provider_record_type)).select("id"), broadcast_providers),
             ("sites", t.account.filter(rt.isin(*cfg.site_record_types)).select("id"), broadcast_sites),
+            ("members", gated.select("id"), reduce_by_members),
         )
         if flag is None
     }
@@ -163,12 +180,29 @@ def benefit_verification_extract(
     broadcast_payers = fits.get("payers", broadcast_payers)
     broadcast_providers = fits.get("providers", broadcast_providers)
     broadcast_sites = fits.get("sites", broadcast_sites)
+    reduce_by_members = fits.get("members", reduce_by_members)
+
+    consent_src, coverage_src, account_src, contact_src, member_coverages = (
+        t.authorization_consent, t.benefits_coverage, t.account, t.contact_info, t.benefits_coverage)
+    if reduce_by_members:
+        # keys of the gated members, broadcast (their count was bounded)
+        ids = F.broadcast(gated.select(F.col("id").alias("__rk")).distinct())
+        names = F.broadcast(gated.select(F.col("name").alias("__rk")).distinct())
+        key_cols = ("member_mvn__c", "physician_mvn__c", "enrolling_physician_mvn__c", "hzn_updated_site_of_care__c",
+                    "site_of_care_mvn__c", "hzn_asoc_opt_1__c", "hzn_asoc_opt_2__c", "hzn_asoc_opt_3__c")
+        accts = F.broadcast(
+            gated.select(F.explode(F.array(*[F.col(c) for c in key_cols])).alias("__rk")).filter(F.col("__rk").isNotNull())
+            .distinct()
+        )
+        consent_src = consent_src.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
+        member_coverages = t.benefits_coverage.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
+        coverage_src = coverage_src.join(names, F.col("hzn_pm_id__c") == F.col("__rk"), "left_semi")
+        account_src = account_src.join(accts, F.col("id") == F.col("__rk"), "left_semi")
+        contact_src = contact_src.join(accts, F.col("account_mvn__c") == F.col("__rk"), "left_semi")
 
     # ---- member level: one row per program member (x coverages later) ----
     # 1. driving table, cut first
-    m = t.program_member.filter(
-        R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
-    ).select(
+    m = gated.select(
         F.col("id").alias("pm_id"),
         F.col("name").alias("pm_name"),
         F.col("status_mvn__c").alias("pm_status"),
@@ -185,14 +219,14 @@ def benefit_verification_extract(
     )
 
     # 2. both consents Active (a semi join: the consent row adds no column)
-    consented = R.consented_members(t.authorization_consent, cfg).withColumnRenamed(
+    consented = R.consented_members(consent_src, cfg).withColumnRenamed(
         "program_member_mvn__c", "__consent_pm"
     )
     m = m.join(consented, F.col("pm_id") == F.col("__consent_pm"), "left_semi")
 
     # 3. parties: accounts with their latest primary contact
     record_types = (cfg.patient_record_type, cfg.provider_record_type, *cfg.site_record_types)
-    party = party_dimension(t.account, t.contact_info, record_types, cfg)
+    party = party_dimension(account_src, contact_src, record_types, cfg)
 
     # member account: INNER, then the raw-state exclusion (drops no contact)
     pe = party.filter(rt == F.lit(cfg.patient_record_type))
@@ -208,7 +242,7 @@ def benefit_verification_extract(
 
     # member summary: the eight IN lists of the source as one aggregation
     summary = R.coverage_summary(
-        t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)),
+        coverage_src.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)),
         t.payer_mapping, cfg, broadcast_map=broadcast_payers,
     )
     m = attach_flags(m, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS)
@@ -230,7 +264,7 @@ def benefit_verification_extract(
 
     # ---- coverage level ----
     # 4. Active coverages with a payer name and a subscriber id
-    bc = t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
+    bc = member_coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
         F.col("id").alias("bc_id"),
         F.col("name").alias("bc_name"),
         F.col("program_member_mvn__c").alias("bc_pm"),

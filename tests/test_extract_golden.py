@@ -19,11 +19,21 @@ def run(tables, parity="repaired", cap=None, **kw):
 @pytest.mark.parametrize("parity", ["repaired", "intent", "as_written"])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_kept_task_ids(tables, parity, broadcast):
-    df = run(tables, parity, broadcast_sites=broadcast, broadcast_payers=broadcast)
+    df = run(tables, parity, broadcast_sites=broadcast, broadcast_payers=broadcast, broadcast_providers=broadcast,
+             reduce_by_members=broadcast)
     got = {r[0] for r in df.select("`Customer BV Task ID`").collect()}
     assert got == EXPECTED[parity]
 
 
+@pytest.mark.parametrize("parity", ["repaired", "intent", "as_written"])
+def test_member_reduction_changes_nothing(tables, parity):
+    def ids(reduce):
+        df = run(tables, parity, reduce_by_members=reduce)
+        return sorted(tuple(r) for r in df.collect())
+
+    assert ids(True) == ids(False)
+
+
 def test_output_schema(tables):
     df = run(tables)
     assert df.columns == OUTPUT_COLUMNS

@@ -75,3 +75,10 @@ def test_load_casts_and_prunes(spark, tmp_path):
     df = load(spark, "payer_mapping", path=p)
     assert df.columns == ["payer_name", "infinitus_payer_id"]
     assert df.filter(F.col("payer_name") == "A").count() == 1
+
+
+def test_member_reduction_cuts_contacts_before_the_window(parquet_tables):
+    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT, reduce_by_members=True))
+    assert "LeftSemi" in txt
+    off = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT, reduce_by_members=False))
+    assert off.count("LeftSemi") < txt.count("LeftSemi")
