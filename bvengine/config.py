@@ -113,6 +113,10 @@ class RulesConfig:
     broadcast_max_rows: int = 250_000
     # Buckets that spread NULL join keys of optional left joins.
     null_key_buckets: int = 256
+    # Cut the large inputs to the gated members (a broadcast semi join) only
+    # when the member table holds more rows than this; below it the extra
+    # jobs cost more than the smaller shuffles save.
+    reduce_min_members: int = 1_000_000
 
     def __post_init__(self):
         if self.parity not in PARITY_MODES:

@@ -30,21 +30,23 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return df, False
 
 
-def bounded_sizes(sides: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``bounded_broadcast``'s size check for several sides in one job.
+def bounded_sizes(sides: dict[str, DataFrame], max_rows: int | dict[str, int]) -> dict[str, bool]:
+    """``bounded_broadcast``'s size check for several sides in one job:
+    ``{side: rows <= bound}``.
 
-    Each side contributes at most ``max_rows + 1`` rows (a per-side LIMIT),
-    so the job never counts past the bound; only one small row per side
-    reaches the driver.
+    ``max_rows`` is one bound or a bound per side.  Each side contributes
+    at most ``bound + 1`` rows (a per-side LIMIT), so the job never counts
+    past a bound; only one small row per side reaches the driver.
     """
     if not sides:
         return {}
-    parts = [df.limit(max_rows + 1).select(F.lit(name).alias("__side")) for name, df in sides.items()]
+    bound = {name: max_rows[name] if isinstance(max_rows, dict) else max_rows for name in sides}
+    parts = [df.limit(bound[name] + 1).select(F.lit(name).alias("__side")) for name, df in sides.items()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionAll(p)
     counts = {r["__side"]: r["n"] for r in union.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in sides}
+    return {name: counts.get(name, 0) <= bound[name] for name in sides}
 
 
 def spread_null_key(key: Column, spread_by: Sequence[Column | str], buckets: int) -> Column:

@@ -152,7 +152,8 @@ def benefit_verification_extract(
     row count of the dimension; True/False forces the choice.
 
     ``reduce_by_members`` (default: when the gated members pass the same row
-    bound) broadcasts the keys of the gated members and cuts consents,
+    bound and the member table holds more than ``cfg.reduce_min_members``
+    rows) broadcasts the keys of the gated members and cuts consents,
     coverages (both the member's own and those behind the member summary),
     accounts and contacts to the rows those members can reach, before any of
     them is aggregated or shuffled.  Only Pending / Benefits Investigation members of the two
@@ -173,21 +174,29 @@ def benefit_verification_extract(
             ("providers", t.account.filter(rt == F.lit(cfg.provider_record_type)).select("id"), broadcast_providers),
             ("sites", t.account.filter(rt.isin(*cfg.site_record_types)).select("id"), broadcast_sites),
             ("members", gated.select("id"), reduce_by_members),
+            ("all_members", t.program_member.select("id"), reduce_by_members),
         )
         if flag is None
     }
-    fits = bounded_sizes(unknown, cfg.broadcast_max_rows)
+    bounds = {name: cfg.broadcast_max_rows for name in unknown}
+    if "all_members" in bounds:
+        bounds["all_members"] = cfg.reduce_min_members
+    fits = bounded_sizes(unknown, bounds)
     broadcast_payers = fits.get("payers", broadcast_payers)
     broadcast_providers = fits.get("providers", broadcast_providers)
     broadcast_sites = fits.get("sites", broadcast_sites)
-    reduce_by_members = fits.get("members", reduce_by_members)
+    if reduce_by_members is None:
+        # the gated slice can be broadcast, and the member table is large
+        reduce_by_members = fits["members"] and not fits["all_members"]
 
     consent_src, coverage_src, account_src, contact_src, member_coverages = (
         t.authorization_consent, t.benefits_coverage, t.account, t.contact_info, t.benefits_coverage)
     if reduce_by_members:
         # keys of the gated members, broadcast (their count was bounded)
-        ids = F.broadcast(gated.select(F.col("id").alias("__rk")).distinct())
-        names = F.broadcast(gated.select(F.col("name").alias("__rk")).distinct())
+        # member ids and names are keys: no DISTINCT needed (duplicates would
+        # only repeat a build-side key of the semi join)
+        ids = F.broadcast(gated.select(F.col("id").alias("__rk")))
+        names = F.broadcast(gated.select(F.col("name").alias("__rk")))
         key_cols = ("member_mvn__c", "physician_mvn__c", "enrolling_physician_mvn__c", "hzn_updated_site_of_care__c",
                     "site_of_care_mvn__c", "hzn_asoc_opt_1__c", "hzn_asoc_opt_2__c", "hzn_asoc_opt_3__c")
         accts = F.broadcast(

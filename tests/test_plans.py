@@ -82,3 +82,16 @@ def test_member_reduction_cuts_contacts_before_the_window(parquet_tables):
     assert "LeftSemi" in txt
     off = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT, reduce_by_members=False))
     assert off.count("LeftSemi") < txt.count("LeftSemi")
+
+
+def test_member_reduction_is_automatic_for_large_member_tables(parquet_tables):
+    small = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT))
+    large = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT.with_(reduce_min_members=10)))
+    assert large.count("LeftSemi") > small.count("LeftSemi")
+
+
+def test_bounded_sizes_per_side_bounds(spark):
+    from bvengine.operators import bounded_sizes
+
+    got = bounded_sizes({"a": spark.range(5), "b": spark.range(50)}, {"a": 5, "b": 10})
+    assert got == {"a": True, "b": False}
