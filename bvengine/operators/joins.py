@@ -19,29 +19,27 @@ def qcol(name: str) -> Column:
 def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast iff it holds at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never
-    counts more than the bound.  Beyond the bound the side is returned as is
-    and the join shuffles (AQE can still switch to a broadcast at run time
-    from real shuffle sizes).
+    Beyond the bound the side is returned as is and the join shuffles (AQE
+    can still switch to a broadcast at run time from real shuffle sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+    fits = bounded_sizes({"side": df}, max_rows)["side"]
+    return (F.broadcast(df), True) if fits else (df, False)
 
 
 def bounded_sizes(sides: dict[str, DataFrame], max_rows: int | dict[str, int]) -> dict[str, bool]:
-    """``bounded_broadcast``'s size check for several sides in one job:
-    ``{side: rows <= bound}``.
-
-    ``max_rows`` is one bound or a bound per side.  Each side contributes
-    at most ``bound + 1`` rows (a per-side LIMIT), so the job never counts
-    past a bound; only one small row per side reaches the driver.
+    """Size check of several sides in one job: ``{side: rows <= bound}``.
+
+    ``max_rows`` is one bound or a bound per side.  The rows are counted by
+    one grouped count over the union of the (column-pruned, filter-pushed)
+    sides: every task folds its rows into one partial count per side, so
+    only a handful of rows are shuffled and reach the driver.  (A
+    ``limit(n + 1).count()`` would instead move up to ``n`` rows from every
+    task into a single one.)
     """
     if not sides:
         return {}
     bound = {name: max_rows[name] if isinstance(max_rows, dict) else max_rows for name in sides}
-    parts = [df.limit(bound[name] + 1).select(F.lit(name).alias("__side")) for name, df in sides.items()]
+    parts = [df.select(F.lit(name).alias("__side")) for name, df in sides.items()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionAll(p)

@@ -166,7 +166,7 @@ def benefit_verification_extract(
         R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
     )
 
-    # size checks of the three dimensions, in one bounded job
+    # size checks (dimensions, gated and all members), in one job
     unknown = {
         name: df
         for name, df, flag in (
