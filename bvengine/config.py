@@ -117,6 +117,9 @@ class RulesConfig:
     # when the member table holds more rows than this; below it the extra
     # jobs cost more than the smaller shuffles save.
     reduce_min_members: int = 1_000_000
+    # Task ids (short strings) of the gated members' coverages are broadcast
+    # to cut the submission logs when there are at most this many (~40 MB).
+    reduce_max_tasks: int = 1_000_000
 
     def __post_init__(self):
         if self.parity not in PARITY_MODES:

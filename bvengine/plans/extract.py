@@ -155,8 +155,9 @@ def benefit_verification_extract(
     bound and the member table holds more than ``cfg.reduce_min_members``
     rows) broadcasts the keys of the gated members and cuts consents,
     coverages (both the member's own and those behind the member summary),
-    accounts and contacts to the rows those members can reach, before any of
-    them is aggregated or shuffled.  Only Pending / Benefits Investigation members of the two
+    accounts and contacts to the rows those members can reach, and the
+    submission logs to the task ids their coverages can produce (if at most
+    ``cfg.reduce_max_tasks``), before any of them is aggregated or shuffled.  Only Pending / Benefits Investigation members of the two
     programs can reach the output, so at scale this turns full-table
     shuffles into shuffles of a small slice.  The result is the same.
     """
@@ -191,6 +192,7 @@ def benefit_verification_extract(
 
     consent_src, coverage_src, account_src, contact_src, member_coverages = (
         t.authorization_consent, t.benefits_coverage, t.account, t.contact_info, t.benefits_coverage)
+    outbound_src, allcare_src = t.outbound_log, t.allcare_log
     if reduce_by_members:
         # keys of the gated members, broadcast (their count was bounded)
         # member ids and names are keys: no DISTINCT needed (duplicates would
@@ -208,6 +210,15 @@ def benefit_verification_extract(
         coverage_src = coverage_src.join(names, F.col("hzn_pm_id__c") == F.col("__rk"), "left_semi")
         account_src = account_src.join(accts, F.col("id") == F.col("__rk"), "left_semi")
         contact_src = contact_src.join(accts, F.col("account_mvn__c") == F.col("__rk"), "left_semi")
+        # the task ids those coverages can produce cut both submission logs,
+        # when there are few enough of them to broadcast
+        gated_names = F.broadcast(gated.select(F.col("id").alias("__tk_pm"), F.col("name").alias("__tk_name")))
+        tasks = member_coverages.join(gated_names, F.col("program_member_mvn__c") == F.col("__tk_pm")).select(
+            R.task_id("name", "__tk_name").alias("__rk"))
+        if bounded_sizes({"tasks": tasks}, cfg.reduce_max_tasks)["tasks"]:
+            tasks_b = F.broadcast(tasks)
+            outbound_src = outbound_src.join(tasks_b, F.col("customer bv task id") == F.col("__rk"), "left_semi")
+            allcare_src = allcare_src.join(tasks_b, F.col("customer bv task id") == F.col("__rk"), "left_semi")
 
     # ---- member level: one row per program member (x coverages later) ----
     # 1. driving table, cut first
@@ -300,11 +311,11 @@ def benefit_verification_extract(
     # 7. submission logs: drop tasks already sent unless stale (and accepted);
     #    both anti joins share the partitioning by task id.
     x = exclude_unless_stale(
-        x, "task_id", t.outbound_log, "customer bv task id", "extraction_date", cutoff,
+        x, "task_id", outbound_src, "customer bv task id", "extraction_date", cutoff,
         extra_aggs={"count_accepted": F.sum(F.col("is_accepted").cast("int"))},
         extra_cond=F.col("count_accepted") > 0,
     )
-    x = exclude_unless_stale(x, "task_id", t.allcare_log, "customer bv task id", "extraction date", cutoff)
+    x = exclude_unless_stale(x, "task_id", allcare_src, "customer bv task id", "extraction date", cutoff)
 
     if broadcast_sites:
         x = join_sites(x, None)

@@ -73,11 +73,12 @@ def test_skewed_plans_agree_with_oracle(spark, skewed, parity):
     cfg = DEFAULT.with_(cap=None, parity=parity, null_key_buckets=16)
     cols, expected = oracle_rows(rows, parity)
     want = canon(cols, expected)
-    for bc in (True, False):
-        df = benefit_verification_extract(t, AS_OF, cfg, broadcast_sites=bc, broadcast_payers=bc, broadcast_providers=bc)
+    for bc, reduce in ((True, False), (False, False), (False, True)):
+        df = benefit_verification_extract(t, AS_OF, cfg, broadcast_sites=bc, broadcast_payers=bc, broadcast_providers=bc,
+                                          reduce_by_members=reduce)
         df = df.withColumn("Member Date of Birth", df["`Member Date of Birth`"].cast("string"))
         got = canon(df.columns, [tuple(r) for r in df.collect()])
-        assert got == want, (parity, bc, len(got), len(want))
+        assert got == want, (parity, bc, reduce, len(got), len(want))
     hot = [r for r in expected if r[cols.index("PM Veeva ID")] == "PM1002"]
     assert len(hot) == N // 2 + 1   # every coverage of the hot member survives
 
