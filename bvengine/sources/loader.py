@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from .schemas import DOMAIN_SCHEMAS, WAREHOUSE_NAMES
+from .schemas import DOMAIN_SCHEMAS, DRIVER_SCHEMAS, WAREHOUSE_NAMES
 
 
 class SchemaError(ValueError):
@@ -91,7 +91,11 @@ DRIVER_TABLES = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's test tables (``{sf_dir}/{name}.parquet``)."""
+    """One of the driver's test tables (``{sf_dir}/{name}.parquet``), with
+    its declared schema when there is one (no footer reads to infer it)."""
     if name not in DRIVER_TABLES:
         raise KeyError(f"unknown driver table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

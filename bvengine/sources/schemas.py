@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -140,3 +142,27 @@ OUTPUT_SCHEMA = StructType(
 )
 
 assert len(OUTPUT_COLUMNS) == 76, len(OUTPUT_COLUMNS)
+
+
+# Schemas of the driver's test tables that the checks read (declared, so a
+# read does not open Parquet footers on the driver to infer them).
+L, DB = LongType(), DoubleType()
+
+
+def _plain(*fields: tuple[str, object]) -> StructType:
+    return StructType([StructField(n, t, True) for n, t in fields])
+
+
+DRIVER_SCHEMAS: dict[str, StructType] = {
+    "region": _plain(("r_regionkey", I), ("r_name", S)),
+    "nation": _plain(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "customer": _plain(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", DB), ("c_mktsegment", S)),
+    "supplier": _plain(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", DB)),
+    "part": _plain(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", I), ("p_retailprice", DB)),
+    "orders": _plain(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", DB),
+                     ("o_orderdate", N), ("o_orderpriority", S)),
+    "lineitem": _plain(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I), ("l_quantity", DB),
+                       ("l_extendedprice", DB), ("l_discount", DB), ("l_tax", DB), ("l_returnflag", S),
+                       ("l_linestatus", S), ("l_shipdate", N)),
+    "events": _plain(("event_id", L), ("ts", N), ("user_id", L), ("event_type", S), ("value", DB), ("props", S)),
+}

@@ -95,3 +95,17 @@ def test_bounded_sizes_per_side_bounds(spark):
 
     got = bounded_sizes({"a": spark.range(5), "b": spark.range(50)}, {"a": 5, "b": 10})
     assert got == {"a": True, "b": False}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_declared_driver_schemas_match_the_files(spark, sf):
+    import os
+
+    from bvengine.sources.schemas import DRIVER_SCHEMAS
+
+    root = f"/root/testdata/{sf}"
+    if not os.path.isdir(root):
+        pytest.skip("no test data")
+    for name, schema in DRIVER_SCHEMAS.items():
+        inferred = spark.read.parquet(f"{root}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in inferred.fields] == [(f.name, f.dataType) for f in schema.fields], name
