@@ -26,16 +26,20 @@ def conform(df: DataFrame, schema: StructType, name: str = "table", collation: s
     string column, so comparisons, LIKE tests, REPLACE, join keys, grouping
     and DISTINCT all follow it.  Default: binary comparison.
     """
-    by_lower = {c.lower(): c for c in df.columns}
-    missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
+    have = {f.name.lower(): f for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name.lower() not in have]
     if missing:
         raise SchemaError(f"{name}: missing column(s) {missing}; has {sorted(df.columns)}")
 
     def one(f):
-        c = F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType)
+        src = have[f.name.lower()]
+        c = F.col(f"`{src.name}`")
+        if src.dataType != f.dataType:
+            c = c.cast(f.dataType)
         if collation and isinstance(f.dataType, StringType):
             c = F.collate(c, collation)
-        return c.alias(f.name)
+        renamed = src.name != f.name or src.dataType != f.dataType or collation
+        return c.alias(f.name) if renamed else c
 
     return df.select(*[one(f) for f in schema.fields])
 
