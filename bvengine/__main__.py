@@ -2,8 +2,10 @@
 
     python -m bvengine --as-of 2024-02-03T12:00:00 --out /path/worklist \\
         [--tables-dir DIR | --catalog] [--parity repaired] [--cap 1024|none] [--format parquet|csv]
+        [--collation UTF8_LCASE_RTRIM] [--explain]
 
-``--tables-dir`` reads ``DIR/<name>`` Parquet for each of the nine tables
+``--explain`` prints the formatted physical plan (pushed filters, join
+strategies, exchanges) instead of writing.  ``--tables-dir`` reads ``DIR/<name>`` Parquet for each of the nine tables
 (account, contact_info, program_member, benefits_coverage,
 authorization_consent, payer_mapping, record_type, outbound_log,
 allcare_log); ``--catalog`` reads the warehouse tables by the names the
@@ -36,8 +38,12 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--cap", default=str(DEFAULT.cap), help="row cap or 'none'")
     p.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     p.add_argument("--collation", help="e.g. UTF8_LCASE_RTRIM for case-insensitive, trailing-blank-insensitive text")
-    p.add_argument("--out", required=True)
-    return p.parse_args(argv)
+    p.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of writing")
+    p.add_argument("--out", help="output folder (required unless --explain)")
+    a = p.parse_args(argv)
+    if not a.explain and not a.out:
+        p.error("--out is required unless --explain is given")
+    return a
 
 
 def main(argv=None) -> None:
@@ -50,7 +56,11 @@ def main(argv=None) -> None:
     as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else dt.datetime.now().replace(microsecond=0)
     cap = None if a.cap.lower() == "none" else int(a.cap)
     cfg = DEFAULT.with_(parity=a.parity, cap=cap)
-    write_worklist(benefit_verification_extract(t, as_of, cfg), a.out, a.format, cap)
+    df = benefit_verification_extract(t, as_of, cfg)
+    if a.explain:
+        df.explain("formatted")
+        return
+    write_worklist(df, a.out, a.format, cap)
 
 
 if __name__ == "__main__":

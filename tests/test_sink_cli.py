@@ -55,3 +55,9 @@ def test_from_catalog_reads_named_tables(spark):
     got = {r[0] for r in benefit_verification_extract(cat, AS_OF, DEFAULT.with_(cap=None))
            .select("`Customer BV Task ID`").collect()}
     assert got == EXPECTED["repaired"]
+
+
+def test_cli_explain_prints_the_plan(spark, tables_dir, capsys):
+    main(["--tables-dir", tables_dir, "--as-of", "2024-02-03T12:00:00", "--explain"])
+    out = capsys.readouterr().out
+    assert "TakeOrderedAndProject" in out and "PushedFilters" in out
