@@ -21,6 +21,11 @@ from pyspark.sql.types import (
 
 S, B, D, N, I = StringType(), BooleanType(), DateType(), TimestampNTZType(), IntegerType()
 
+# --- fixed values -----------------------------------------------------------
+# Table names, column names and output column names below must equal the
+# source statement's for the extract to read its tables and produce its
+# columns; they are listed in the order the statement uses them.
+
 
 def _schema(*fields: tuple[str, object], required: tuple[str, ...] = ("id",)) -> StructType:
     return StructType([StructField(n, t, n not in required) for n, t in fields])
@@ -142,6 +147,7 @@ OUTPUT_SCHEMA = StructType(
 )
 
 assert len(OUTPUT_COLUMNS) == 76, len(OUTPUT_COLUMNS)
+# --- end of fixed values ----------------------------------------------------
 
 
 # Schemas of the driver's test tables that the checks read (declared, so a

@@ -1,8 +1,8 @@
 """Hand-made fixture for the extract: one member per reason to be kept or
 dropped.  All values are invented.
 
-Every member ``i`` starts from a clean template (TEPRO, Pending, Benefits
-Investigation, both consents Active, one Active Commercial Primary coverage
+Every member ``i`` starts from a clean template (first program, Pending,
+Benefits Investigation, both consents Active, one Active Commercial Primary coverage
 ``CV{i}`` on a mapped payer, a patient account with one primary contact in
 NY, provider DOC1, site SITE1) and overrides what its case needs.  The
 expected task ids per parity mode are written by hand in ``EXPECTED``.
@@ -25,7 +25,7 @@ RECENT = dt.datetime(2024, 2, 1, 9, 0)
 def _pm(i, **kw):
     row = dict(
         id=f"PM{i}", name=f"N{i}", member_mvn__c=f"PAT{i}", status_mvn__c="Pending",
-        status_reason_mvn__c="Benefits Investigation", program_name_mvn__c="TEPRO",
+        status_reason_mvn__c=C.BENEFITS_INVESTIGATION, program_name_mvn__c=C.TEPRO,
         patient_birthdate_mvn__c=dt.date(1980, 1, 1), physician_mvn__c="DOC1", enrolling_physician_mvn__c=None,
         hzn_updated_site_of_care__c=None, site_of_care_mvn__c="SITE1", hzn_asoc_opt_1__c=None,
         hzn_asoc_opt_2__c=None, hzn_asoc_opt_3__c=None, hzn_kxx_primary_diagnosis__c=None,
@@ -67,9 +67,9 @@ def _contact(cid, account, **kw):
 # (type, status)), no_patient (bool).
 CASES: dict[int, dict] = {
     1: {},                                                           # clean, kept
-    2: {"pm": dict(program_name_mvn__c="KRYSTEXXA", hzn_kxx_primary_diagnosis__c="Other")},
-    3: {"pm": dict(program_name_mvn__c="KRYSTEXXA", hzn_kxx_primary_diagnosis__c="M10.9")},
-    4: {"pm": dict(program_name_mvn__c="KRYSTEXXA", hzn_kxx_primary_diagnosis__c=None)},
+    2: {"pm": dict(program_name_mvn__c=C.KRYSTEXXA, hzn_kxx_primary_diagnosis__c="Other")},
+    3: {"pm": dict(program_name_mvn__c=C.KRYSTEXXA, hzn_kxx_primary_diagnosis__c="M10.9")},
+    4: {"pm": dict(program_name_mvn__c=C.KRYSTEXXA, hzn_kxx_primary_diagnosis__c=None)},
     5: {"pm": dict(program_name_mvn__c="UPLIZNA")},                   # wrong program
     6: {"pm": dict(status_mvn__c="Active")},                         # wrong status
     7: {"pm": dict(status_reason_mvn__c="Other")},                   # wrong reason
@@ -159,8 +159,8 @@ def build_rows():
             log2.append({"customer bv task id": task, "extraction date": ts})
     accts += [
         _acct("DOC1", PR, firstname="Ann", lastname="Lee", npi_vod__c="1234567890", hzn_tax_id__c="12-3456789"),
-        _acct("DOC_X", PR, firstname="Raymond", lastname="Douglas", npi_vod__c="1111111111"),
-        _acct("DOC_N1", PR, firstname=None, lastname="Douglas"),
+        _acct("DOC_X", PR, firstname=C.EXCLUDED_PROVIDER[0], lastname=C.EXCLUDED_PROVIDER[1], npi_vod__c="1111111111"),
+        _acct("DOC_N1", PR, firstname=None, lastname=C.EXCLUDED_PROVIDER[1]),
         _acct("DOC_N2", PR, firstname=None, lastname="Smith"),
         _acct("DOC_L", PR, firstname="Lia", lastname="Ko", npi_vod__c="NPI 123-456-7890"),
         _acct("DOC_9", PR, firstname="Bo", lastname="Ng", npi_vod__c="123456789"),
