@@ -208,14 +208,15 @@ SUMMARY_FLAGS = ("has_nc_primary", "has_nc_secondary", "has_not_ma_ffs", "has_no
 
 
 def coverage_summary(
-    active_coverage: DataFrame, payer_map: DataFrame | None, cfg: RulesConfig = DEFAULT, broadcast_map: bool = True
+    active_coverage: DataFrame, payer_map: DataFrame | None, cfg: RulesConfig = DEFAULT, broadcast_map: bool = False
 ) -> DataFrame:
     """Per ``hzn_pm_id__c`` over Active coverages, one flag per membership list.
 
     ``active_coverage`` needs ``hzn_pm_id__c``, the plan type, both tier
     columns and both payer-name columns.  Under ``intent`` the FFS and
     commercial lists test the payer map, so it is joined first (duplicates
-    from a repeated payer name are harmless to ``bool_or``).
+    from a repeated payer name are harmless to ``bool_or``); set
+    ``broadcast_map`` only for a map whose size was checked.
     """
     pt = F.col("hzn_plan_coverage_type__c")
     t = tier("hzn_insurance_type__c", "coverage_type_mvn__c")
