@@ -3,9 +3,11 @@
 The plan has two levels.  Member-level work runs on one row per program
 member; only then are members joined to their coverages (about ten per
 member), so the wide coverage rows are shuffled as few times as possible.
-When the gated members are few enough to broadcast, their keys first cut
-every large input (consents, coverages, accounts, contacts) map-side, so
-the shuffles below carry only rows those members can reach:
+When the member table is large and the gated members are few enough to
+broadcast, their keys first cut every large input (consents, coverages,
+accounts, contacts, and the submission logs by the task ids they can
+produce) map-side, so the shuffles below carry only rows those members can
+reach:
 
 member level
   1. program members cut to the programs / Pending / Benefits Investigation;
