@@ -159,9 +159,10 @@ def benefit_verification_extract(
     coverages (both the member's own and those behind the member summary),
     accounts and contacts to the rows those members can reach, and the
     submission logs to the task ids their coverages can produce (if at most
-    ``cfg.reduce_max_tasks``), before any of them is aggregated or shuffled.  Only Pending / Benefits Investigation members of the two
-    programs can reach the output, so at scale this turns full-table
-    shuffles into shuffles of a small slice.  The result is the same.
+    ``cfg.reduce_max_tasks``), before any of them is aggregated or shuffled.
+    Only Pending / Benefits Investigation members of the two programs can
+    reach the output, so at scale this turns full-table shuffles into
+    shuffles of a small slice.  The result is the same.
     """
     cutoff = cutoff_literal(as_of, cfg)
     rt = F.col("recordtypeid")
