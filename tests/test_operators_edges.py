@@ -1,0 +1,43 @@
+import pytest
+from pyspark.sql import functions as F
+
+from bvengine.config import RulesConfig
+from bvengine.functions import ordered_case
+from bvengine.operators import flag_pivot, has_all, left_join_on, member_summary, top_distinct
+from bvengine.sources.loader import load, read_table
+
+
+def test_invalid_parameters_raise(spark):
+    df = spark.createDataFrame([("a", "x")], "k string, v string")
+    with pytest.raises(ValueError):
+        RulesConfig(parity="whatever")
+    with pytest.raises(ValueError):
+        ordered_case([])
+    with pytest.raises(ValueError):
+        has_all(df, "k", "v", [])
+    with pytest.raises(ValueError):
+        member_summary(df, "k", {})
+    with pytest.raises(ValueError):
+        flag_pivot(df, "k", "v", "v", ["x"], [])
+    with pytest.raises(ValueError):
+        left_join_on(df, df.select(F.col("k").alias("k2")), F.col("k") == F.col("k2"), F.lit(True), mode="where")
+    with pytest.raises(KeyError):
+        load(spark, "no_such_table", path="/nowhere")
+    with pytest.raises(KeyError):
+        read_table(spark, "/root/testdata/sf0.001", "no_such_table")
+
+
+def test_top_distinct_uncapped_and_capped(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("a", 2), (None, 3)], "k string, n int")
+    assert sorted(top_distinct(df, None).collect(), key=str) == sorted(df.distinct().collect(), key=str)
+    got = [tuple(r) for r in top_distinct(df, 2, order=["k"]).collect()]
+    assert got == [(None, 3), ("a", 2)]   # ascending, NULLs first, duplicates removed first
+
+
+def test_left_join_on_inert_keeps_every_left_row(spark):
+    left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    right = spark.createDataFrame([(1, 10), (2, 99)], "rk int, v int")
+    inert = left_join_on(left, right, F.col("k") == F.col("rk"), F.col("v") > 50, "inert")
+    filt = left_join_on(left, right, F.col("k") == F.col("rk"), F.col("v") > 50, "filter")
+    assert sorted(r["k"] for r in inert.collect()) == [1, 2, 3]
+    assert [r["k"] for r in filt.collect()] == [2]
