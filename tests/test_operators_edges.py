@@ -41,3 +41,18 @@ def test_left_join_on_inert_keeps_every_left_row(spark):
     filt = left_join_on(left, right, F.col("k") == F.col("rk"), F.col("v") > 50, "filter")
     assert sorted(r["k"] for r in inert.collect()) == [1, 2, 3]
     assert [r["k"] for r in filt.collect()] == [2]
+
+
+def test_spread_null_key_spreads_and_never_matches(spark):
+    from bvengine.operators import role_join, spread_null_key
+
+    rows = [(f"r{i}", None if i % 3 else f"S{i % 5}") for i in range(300)]   # two thirds NULL
+    df = spark.createDataFrame(rows, "rid string, site string")
+    keys = df.select(spread_null_key(F.col("site"), ["rid"], 16).alias("k"), "site")
+    salted = keys.filter(F.col("site").isNull()).select("k").distinct().count()
+    assert salted >= 12                                   # NULL keys land on many values, not one
+    assert keys.filter(F.col("site").isNotNull() & (F.col("k") != F.col("site"))).count() == 0
+    dim = spark.createDataFrame([(f"S{i}", f"name{i}") for i in range(5)], "id string, name string")
+    spread = role_join(df, dim, "site", "s_", spread_by=["rid"], null_buckets=16)
+    plain = role_join(df, dim, "site", "s_")
+    assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
