@@ -34,7 +34,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     src.add_argument("--catalog", action="store_true", help="read catalog tables")
     p.add_argument("--table", action="append", default=[], metavar="NAME=QUALIFIED", help="catalog name override")
     p.add_argument("--as-of", help="clock, ISO format (default: now)")
-    p.add_argument("--parity", default=DEFAULT.parity, choices=PARITY_MODES)
+    p.add_argument("--parity", default=DEFAULT.parity, choices=PARITY_MODES,
+                   help="how the three defective membership lists are read (README, Parity)")
     p.add_argument("--cap", default=str(DEFAULT.cap), help="row cap or 'none'")
     p.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     p.add_argument("--collation", help="e.g. UTF8_LCASE_RTRIM for case-insensitive, trailing-blank-insensitive text")
