@@ -9,8 +9,8 @@ import __spark_entry__ as E
 from oracle import compare, duck_connect
 
 SF = os.environ.get("BV_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {name: fn for name, (fn, _sql) in E.CHECKS.items()}
+ORACLES = {name: sql for name, (_fn, sql) in E.CHECKS.items()}
 
 
 @pytest.fixture(scope="module")
