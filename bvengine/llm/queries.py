@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bvengine.llm import bpe, exact_dedup, pii, sharding, url_filter, warc
+from bvengine.llm import bpe, embedding_join, exact_dedup, order_minhash, packing, pii, sharding, toxicity, url_filter, warc
 from bvengine.llm.common import table
 
 
@@ -16,6 +17,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.link(table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -29,6 +34,18 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), marks)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.by_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -38,9 +55,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_bpe, op4_exact_dedup, op5_url_filter, op9_sharding, op10_warc)
-}
+    f.__name__: f
+    for f in (
+        op1_pii, op2_embedding_join, op3_bpe, op4_exact_dedup, op5_url_filter, op6_toxicity, op7_packing, op8_order_minhash,
+        op9_sharding, op10_warc, pipeline,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": """
