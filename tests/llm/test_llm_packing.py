@@ -1,0 +1,71 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from bvengine.llm import packing as P
+from llm.helpers import documents, prose
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def check(rows, got, length):
+    t = P.tokenizer(PATH)
+    want = {i: np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4") for i, x in rows}
+    pieces = {}
+    for r in got:
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert set(pieces) == set(want)
+    for i, ids in want.items():
+        at = 0
+        for r in sorted(pieces[i], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids) and r["length"] >= 1
+            assert r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)
+    fill = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fill.get(r["sequence_id"], 0)
+        fill[r["sequence_id"]] = r["offset"] + r["length"]
+    assert sorted(fill) == list(range(len(fill)))
+    assert all(n == length for s, n in fill.items() if s < len(fill) - 1) and max(fill.values()) <= length
+    assert {r["padded"] for r in got if r["sequence_id"] < len(fill) - 1} <= {length}
+
+
+@pytest.mark.parametrize("length", [1024, 100, 1])
+def test_pieces_rebuild_every_document(spark, length):
+    n = 12 if length == 1 else 200
+    rows = [(i, " ".join(prose(i, 1 + i * 3 % 150))) for i in range(n)] + [(900, None), (901, ""), (902, "<|endoftext|>"), (903, "é🙂 " * (2000 if length > 1 else 3))]
+    got = P.pack(documents(spark, rows).repartition(5), PATH, length).collect()
+    check(rows, got, length)
+
+
+def test_edges(spark):
+    assert P.pack(documents(spark, [(1, "a")]).limit(0), PATH).count() == 0
+    got = P.pack(documents(spark, [(None, "a b"), (1, "a b"), (1, "a b")]), PATH).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["1", "1", "None"] and sorted(r["offset"] for r in got) == [0, 3, 6]
+    with pytest.raises(ValueError):
+        P.pack(documents(spark, []), PATH, 0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(2, 4), st.integers(1, 3))
+def test_hilbert_visits_every_cell_by_single_steps(dims, bits):
+    cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
+    key = P.hilbert(cells, bits)
+    assert sorted(key.tolist()) == list(range(len(cells)))
+    walk = cells[np.argsort(key)]
+    assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_neighbours_on_the_curve_are_alike():
+    t = P.tokenizer(PATH)
+    rng = np.random.default_rng(0)
+    topics = [prose(1000 + k, 12) for k in range(6)]
+    texts = [" ".join(rng.choice(topics[k % 6], 80)) for k in range(240)]
+    key = P.keys([np.array(t.encode(x).ids) for x in texts])
+    order = np.argsort(key, kind="stable") % 6
+    assert np.mean(order[1:] == order[:-1]) > 0.5  # 1/6 by chance
