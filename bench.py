@@ -5,12 +5,9 @@ The session first runs the flagship $BENCH_WARMUP times (default 3) to warm
 the JVM; then each query runs once more to warm up and $BENCH_REPS times
 (default 3; at least 5 for the flagship); the median is reported.  Execution is forced with the ``noop`` sink, so nothing
 is collected to the driver and every stage (including the final DISTINCT
-and cap) runs.  Besides the extract, the bench times the rewrites the plan
-relies on against the forms the source statement uses:
-
-- latest contact: filter next to the window vs. join all ranks, filter late;
-- membership: one member summary vs. eight ``IN`` subqueries;
-- submission log: LEFT ANTI on blocked keys vs. LEFT JOIN + OR.
+and cap) runs.  Besides the extract, the bench times the latest contact both
+ways (filter next to the window, and all ranks joined and filtered late), the
+member summary and the log gate.  Stored tables go to $BENCH_TABLES_DIR.
 """
 
 from __future__ import annotations
@@ -19,20 +16,20 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from bvengine.config import DEFAULT, DEFAULT_AS_OF  # noqa: E402
 from bvengine.functions.cutoff import cutoff_literal  # noqa: E402
 from bvengine.operators import attach_flags, exclude_unless_stale  # noqa: E402
 from bvengine.plans import rules as R  # noqa: E402
 from bvengine.plans.checks import CHECKS  # noqa: E402
 from bvengine.plans.extract import benefit_verification_extract  # noqa: E402
-from bvengine.plans.standins import standin_tables  # noqa: E402
-from bvengine.session import checkpoint_dir, local_session  # noqa: E402
+from bvengine.plans.standins import CHECK_AS_OF, CHECK_CONFIG, standin_tables  # noqa: E402
+from bvengine.session import local_session  # noqa: E402
 from bvengine.sources.loader import DomainTables  # noqa: E402
 from bvengine.sources.schemas import DOMAIN_SCHEMAS  # noqa: E402
 
@@ -49,7 +46,7 @@ def timed(df_fn, reps: int) -> float:
 
 def late_latest(spark, t):
     c = t.contact_info.filter(
-        (F.col("primary_mvn__c") == F.lit(True)) & (F.col("recordtypeid") == DEFAULT.contact_record_type)
+        (F.col("primary_mvn__c") == F.lit(1)) & (F.col("recordtypeid") == CHECK_CONFIG.contact_record_type)
         & F.col("zip_mvn__c").isNotNull())
     return spark.sql(
         """SELECT a.id, c.zip_mvn__c FROM {a} a LEFT JOIN (
@@ -64,25 +61,10 @@ def early_latest(spark, t):
 
 def members_summary(spark, t):
     active = t.benefits_coverage.filter(F.col("status_mvn__c") == "Active")
-    s = R.coverage_summary(active, t.payer_mapping, DEFAULT)
+    s = R.coverage_summary(active, t.payer_mapping, CHECK_CONFIG)
     return attach_flags(t.program_member.select("id", "name"), "name", s, "hzn_pm_id__c", R.SUMMARY_FLAGS)
 
 
-def members_in_subqueries(spark, t):
-    return spark.sql(
-        """WITH bc1 AS (SELECT * FROM {bc} WHERE (hzn_plan_coverage_type__c NOT LIKE '%Commercial%'
-                                                  OR hzn_plan_coverage_type__c IS NULL) AND status_mvn__c = 'Active'),
-                bc2 AS (SELECT * FROM {bc} WHERE status_mvn__c = 'Active')
-           SELECT id, name,
-             name IN (SELECT hzn_pm_id__c FROM bc1 WHERE COALESCE(hzn_insurance_type__c, coverage_type_mvn__c) = 'Primary') AS f1,
-             name IN (SELECT hzn_pm_id__c FROM bc1 WHERE COALESCE(hzn_insurance_type__c, coverage_type_mvn__c) = 'Secondary') AS f2,
-             name IN (SELECT hzn_pm_id__c FROM bc2 WHERE hzn_plan_coverage_type__c NOT IN ('Medicare Advantage', 'Medicare FFS')) AS f3,
-             name IN (SELECT hzn_pm_id__c FROM bc2 WHERE hzn_plan_coverage_type__c NOT IN ('Managed Medicaid', 'Medicare FFS')) AS f4,
-             name IN (SELECT hzn_pm_id__c FROM bc2) AS f5,
-             name IN (SELECT hzn_pm_id__c FROM bc2) AS f6
-           FROM {pm}""", bc=t.benefits_coverage, pm=t.program_member)
-
-
 def _tasks(t):
     pm = t.program_member.select(F.col("id").alias("pm_id"), F.col("name").alias("pm_name"))
     bc = t.benefits_coverage.select(F.col("name").alias("bc_name"), "program_member_mvn__c")
@@ -91,22 +73,13 @@ def _tasks(t):
 
 def log_anti(spark, t):
     return exclude_unless_stale(
-        _tasks(t), "task", t.outbound_log, "customer bv task id", "extraction_date", cutoff_literal(DEFAULT_AS_OF),
-        extra_aggs={"n": F.sum(F.col("is_accepted").cast("int"))}, extra_cond=F.col("n") > 0)
-
-
-def log_left_or(spark, t):
-    cut = cutoff_literal(DEFAULT_AS_OF)
-    lg = t.outbound_log.groupBy("customer bv task id").agg(
-        F.max("extraction_date").alias("mx"), F.sum(F.col("is_accepted").cast("int")).alias("n"))
-    x = _tasks(t).join(lg, F.col("task") == F.col("customer bv task id"), "left")
-    return x.filter(F.col("customer bv task id").isNull() | ((F.col("mx") < cut) & (F.col("n") > 0))).select("task")
+        _tasks(t), "task", t.outbound_log, "customer bv task id", "extraction_date", cutoff_literal(CHECK_AS_OF),
+        extra_aggs={"n": F.sum("is_accepted")}, extra_cond=F.col("n") > 0)
 
 
-def stored_tables(spark, sf_dir: str) -> DomainTables:
-    """The stand-in tables written once as Parquet (8 files each), as a
-    deployment reads stored domain tables, in the session's scratch folder."""
-    root = os.path.join(checkpoint_dir(spark), "bench-tables")
+def stored_tables(spark, sf_dir: str, root: str) -> DomainTables:
+    """The stand-in tables written once as Parquet (8 files each) below
+    ``root``, as a deployment reads stored domain tables."""
     t = standin_tables(spark, sf_dir)
     paths = {}
     for name in DOMAIN_SCHEMAS:
@@ -132,21 +105,22 @@ def main():
     q = {}
     q["q_flagship"] = timed(lambda: CHECKS["q_flagship"][0](spark, sf_dir), max(reps, 5))
     q["q_extract_all"] = timed(lambda: CHECKS["q_extract_all"][0](spark, sf_dir), reps)
-    q["extract_all_forced_shuffle"] = timed(
-        lambda: benefit_verification_extract(t, DEFAULT_AS_OF, DEFAULT.with_(cap=None), broadcast_sites=False,
-                                             broadcast_payers=False), reps)
+    # timed as q_extract_all is, stand-ins and plan included; no side is broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    q["q_extract_forced_shuffle"] = timed(lambda: CHECKS["q_extract_forced_shuffle"][0](spark, sf_dir), reps)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     q["latest_contact_early_filter"] = timed(lambda: early_latest(spark, t), reps)
     q["latest_contact_late_filter"] = timed(lambda: late_latest(spark, t), reps)
     q["member_flags_summary"] = timed(lambda: members_summary(spark, t), reps)
-    q["member_flags_in_subqueries"] = timed(lambda: members_in_subqueries(spark, t), reps)
     q["log_gate_left_anti"] = timed(lambda: log_anti(spark, t), reps)
-    q["log_gate_left_join_or"] = timed(lambda: log_left_or(spark, t), reps)
-    stored = stored_tables(spark, sf_dir)
-    q["extract_stored_tables"] = timed(lambda: benefit_verification_extract(stored, DEFAULT_AS_OF, DEFAULT), reps)
+    root = os.environ.get("BENCH_TABLES_DIR") or tempfile.mkdtemp(prefix="bvengine-bench-")
+    stored = stored_tables(spark, sf_dir, root)
+    capped = CHECK_CONFIG.with_(cap=1024)
+    q["extract_stored_tables"] = timed(lambda: benefit_verification_extract(stored, CHECK_AS_OF, capped), reps)
     q["extract_stored_tables_exec_only"] = exec_only(
-        benefit_verification_extract(stored, DEFAULT_AS_OF, DEFAULT), reps)
+        benefit_verification_extract(stored, CHECK_AS_OF, capped), reps)
     q["extract_stored_tables_member_reduction"] = timed(
-        lambda: benefit_verification_extract(stored, DEFAULT_AS_OF, DEFAULT, reduce_by_members=True), reps)
+        lambda: benefit_verification_extract(stored, CHECK_AS_OF, capped, reduce_by_members=True), reps)
     for name in ("q_role_join", "q_segment_conflict", "q_repull_gates", "q_primary_contact"):
         q[name] = timed(lambda n=name: CHECKS[n][0](spark, sf_dir), reps)
     print(json.dumps({

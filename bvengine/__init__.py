@@ -6,9 +6,9 @@ Layout:
   operators/  generic DataFrame -> DataFrame operators (latest per key,
               has-all, member flags, exclude-unless-stale, role joins, ...)
   plans/      business rules, the 76-column extract, check queries
-  streaming/  nothing: the source statement has no streaming operator
+  llm/        operators for training-data pipelines (optional)
 """
 
-from .config import DEFAULT, DEFAULT_AS_OF, RulesConfig
+from .config import RULES, Rules, RulesConfig
 
-__all__ = ["DEFAULT", "DEFAULT_AS_OF", "RulesConfig"]
+__all__ = ["RULES", "Rules", "RulesConfig"]

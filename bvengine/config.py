@@ -7,7 +7,6 @@ wall clock and never hard-code a constant inline.
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, replace
 
 # --- fixed values -----------------------------------------------------------
@@ -72,23 +71,15 @@ FEDERAL_EMPLOYEE = "Federal Employee"
 SUPPLEMENTAL = "Supplemental"
 SEGMENT_TYPES = (MEDICARE_ADVANTAGE, MANAGED_MEDICAID, MEDICARE_FFS, COMMERCIAL, FEDERAL_EMPLOYEE, SUPPLEMENTAL)
 COMMERCIAL_LIKE_TYPES = (COMMERCIAL, FEDERAL_EMPLOYEE, SUPPLEMENTAL)
-EXCLUDED_PROVIDER = ("Raymond", "Douglas")
 EXCLUDED_STATE = "CA"
-RESULT_CAP = 1024
 # --- end of fixed values ----------------------------------------------------
 
 PARITY_MODES = ("as_written", "repaired", "intent")
 
 
-@dataclass(frozen=True)
-class RulesConfig:
-    """Everything a run of the extract depends on besides the input tables.
-
-    ``parity`` chooses how the three defective membership lists of the source
-    statement are read (see README, "Parity"): ``"as_written"`` reproduces
-    them, ``"repaired"`` (default) lets the narrow lists see the columns their
-    filters name, ``"intent"`` also makes the ON-clause conditions filter.
-    """
+@dataclass(frozen=True, kw_only=True)
+class Rules:
+    """The rule constants; a run adds its own parameters (``RulesConfig``)."""
 
     site_record_types: tuple[str, ...] = SITE_RECORD_TYPES
     contact_record_type: str = CONTACT_RECORD_TYPE
@@ -102,24 +93,28 @@ class RulesConfig:
     repull_hours: int = REPULL_HOURS
     repull_hours_if_sunday: int = REPULL_HOURS_IF_SUNDAY
     repull_hours_if_saturday: int = REPULL_HOURS_IF_SATURDAY
-    excluded_provider: tuple[str, str] = EXCLUDED_PROVIDER
     excluded_state: str = EXCLUDED_STATE
-    cap: int | None = RESULT_CAP
-    parity: str = "repaired"
-    # Dimension sides at or under this many rows are broadcast; larger ones
-    # are shuffle-joined (AQE may still pick a broadcast at run time).  A
-    # site or provider row with its contact is ~18 short strings (~400 B),
-    # so the bound keeps one broadcast under ~100 MB per executor.
-    broadcast_max_rows: int = 250_000
-    # Buckets that spread NULL join keys of optional left joins.
-    null_key_buckets: int = 256
-    # Cut the large inputs to the gated members (a broadcast semi join) only
-    # when the member table holds more rows than this; below it the extra
-    # jobs cost more than the smaller shuffles save.
-    reduce_min_members: int = 1_000_000
-    # Task ids (short strings) of the gated members' coverages are broadcast
-    # to cut the submission logs when there are at most this many (~40 MB).
-    reduce_max_tasks: int = 1_000_000
+
+
+RULES = Rules()
+
+
+@dataclass(frozen=True, kw_only=True)
+class RulesConfig(Rules):
+    """Everything a run of the extract depends on besides the input tables
+    and the clock.
+
+    ``parity`` chooses how the three defective membership lists of the source
+    statement are read (see README, "Parity"): ``"as_written"`` reproduces
+    them, ``"repaired"`` lets the narrow lists see the columns their filters
+    name, ``"intent"`` also makes the ON-clause conditions filter.
+    ``excluded_providers`` are (first name, last name) pairs.  ``cap`` keeps
+    that many rows (``TOP n``); None keeps all.
+    """
+
+    parity: str
+    excluded_providers: tuple[tuple[str, str], ...]
+    cap: int | None = None
 
     def __post_init__(self):
         if self.parity not in PARITY_MODES:
@@ -127,9 +122,3 @@ class RulesConfig:
 
     def with_(self, **kw) -> "RulesConfig":
         return replace(self, **kw)
-
-
-DEFAULT = RulesConfig()
-
-# The clock the checks and the bench run at (a Saturday; cutoff Tue 08:00).
-DEFAULT_AS_OF = _dt.datetime(2024, 2, 3, 12, 0, 0)

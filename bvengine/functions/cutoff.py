@@ -15,11 +15,11 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, RulesConfig
+from ..config import RULES, Rules
 from .exprs import col
 
 
-def repull_cutoff(as_of: _dt.datetime, cfg: RulesConfig = DEFAULT) -> _dt.datetime:
+def repull_cutoff(as_of: _dt.datetime, cfg: Rules = RULES) -> _dt.datetime:
     base = as_of - _dt.timedelta(hours=cfg.repull_hours)
     # Python weekday(): Monday=0 .. Saturday=5, Sunday=6
     if base.weekday() == 6:
@@ -33,7 +33,7 @@ def _minus_hours(ts: Column, hours: int) -> Column:
     return ts - F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
-def repull_cutoff_col(as_of, cfg: RulesConfig = DEFAULT) -> Column:
+def repull_cutoff_col(as_of, cfg: Rules = RULES) -> Column:
     """Column form; ``dayofweek`` is 1=Sunday .. 7=Saturday."""
     ts = col(as_of)
     base = _minus_hours(ts, cfg.repull_hours)
@@ -45,7 +45,7 @@ def repull_cutoff_col(as_of, cfg: RulesConfig = DEFAULT) -> Column:
     )
 
 
-def cutoff_literal(as_of: _dt.datetime, cfg: RulesConfig = DEFAULT) -> Column:
+def cutoff_literal(as_of: _dt.datetime, cfg: Rules = RULES) -> Column:
     """The scalar cutoff as a zone-less timestamp literal."""
     c = repull_cutoff(as_of, cfg)
     return F.lit(c.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -5,29 +5,21 @@ table; the business rules in ``bvengine.plans`` compose them.
 """
 
 from .aggregate import flag_pivot, has_all
-from .gates import blocked_keys, exclude_unless_stale
-from .joins import (
-    bounded_broadcast,
-    bounded_sizes,
-    join_on_first_key,
-    left_join_on,
-    qcol,
-    role_join,
-    spread_null_key,
-    with_member_flag,
-)
+from .gates import blocked_keys, exclude_unless_stale, hot_key_salt
+from .joins import SALTS, dealt_join, join_on_first_key, left_join_on, qcol, role_join, salt_of, with_member_flag
 from .limit import top_distinct
 from .membership import attach_flags, member_summary
 from .window import latest_per_key, row_number_desc
 
 __all__ = [
+    "SALTS",
     "attach_flags",
     "blocked_keys",
-    "bounded_broadcast",
-    "bounded_sizes",
+    "dealt_join",
     "exclude_unless_stale",
     "flag_pivot",
     "has_all",
+    "hot_key_salt",
     "join_on_first_key",
     "latest_per_key",
     "left_join_on",
@@ -35,7 +27,7 @@ __all__ = [
     "qcol",
     "role_join",
     "row_number_desc",
-    "spread_null_key",
+    "salt_of",
     "top_distinct",
     "with_member_flag",
 ]

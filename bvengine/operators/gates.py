@@ -3,12 +3,13 @@ submission is older than a cutoff (and an optional condition holds)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import col, truth
+from .joins import SALTS, salt_of
 
 
 def blocked_keys(
@@ -46,6 +47,9 @@ def exclude_unless_stale(
     cutoff: Column,
     extra_aggs: Mapping[str, Column] | None = None,
     extra_cond: Column | None = None,
+    hot_key: str | None = None,
+    salt: str | None = None,
+    hint: str | None = None,
 ) -> DataFrame:
     """Keep rows of ``df`` whose key was never logged, or whose log is stale.
 
@@ -53,6 +57,24 @@ def exclude_unless_stale(
     WHERE lg.key IS NULL OR (MAX(ts) < cutoff AND extra_cond)``, written as a
     LEFT ANTI join against the blocked keys (Catalyst does not make this
     rewrite itself).
+
+    ``hot_key`` names one key that many rows may share (an "unnamed" key):
+    its rows are dealt over ``SALTS`` tasks, and NULL keys over all, by the
+    column ``salt`` (``salt_of``), which several gates may share.
     """
     blocked = blocked_keys(log, log_key, ts, cutoff, extra_aggs, extra_cond)
-    return df.join(blocked, col(key) == F.col("__blocked_key"), "left_anti")
+    if hot_key is None:
+        blocked = blocked.hint(hint) if hint else blocked
+        return df.join(blocked, col(key) == F.col("__blocked_key"), "left_anti")
+    if salt is None:
+        raise ValueError("hot_key needs the salt column")
+    shares = F.when(F.col("__blocked_key") == F.lit(hot_key), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    blocked = blocked.withColumn("__bs", F.explode(shares.otherwise(F.array(F.lit(0).cast("bigint")))))
+    blocked = blocked.hint(hint) if hint else blocked
+    return df.join(blocked, (col(key) == F.col("__blocked_key")) & (F.col(salt) == F.col("__bs")), "left_anti")
+
+
+def hot_key_salt(key: Column | str, hot_key: str, by: Sequence[Column | str]) -> Column:
+    """The salt column of ``exclude_unless_stale``: 0 but for the hot key and NULLs."""
+    k = col(key)
+    return F.when(k.isNull() | (k == F.lit(hot_key)), salt_of(k, by, SALTS)).otherwise(F.lit(0).cast("bigint"))

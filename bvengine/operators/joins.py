@@ -1,4 +1,4 @@
-"""Join operators: checked broadcast, role-playing dimensions, computed keys,
+"""Join operators: dealt joins, role-playing dimensions, computed keys,
 membership flags, ON-clause conditions on the preserved side."""
 
 from __future__ import annotations
@@ -16,47 +16,43 @@ def qcol(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast iff it holds at most ``max_rows`` rows.
+#: Copies of a dimension row, over which the rows of one key are dealt.
+SALTS = 16
 
-    Beyond the bound the side is returned as is and the join shuffles (AQE
-    can still switch to a broadcast at run time from real shuffle sizes).
-    """
-    fits = bounded_sizes({"side": df}, max_rows)["side"]
-    return (F.broadcast(df), True) if fits else (df, False)
 
+def salt_of(key: Column, by: Sequence[Column | str], salts: int) -> Column:
+    """A row's share of its key: NULL keys match nothing, so each row gets a
+    share of its own; other keys are dealt over ``salts`` shares.  A hash of
+    the row's columns, so a recomputed task deals alike."""
+    h = F.xxhash64(*[col(c) for c in by])
+    return F.when(key.isNull(), h).otherwise(F.pmod(h, F.lit(salts).cast("bigint")))
 
-def bounded_sizes(sides: dict[str, DataFrame], max_rows: int | dict[str, int]) -> dict[str, bool]:
-    """Size check of several sides in one job: ``{side: rows <= bound}``.
 
-    ``max_rows`` is one bound or a bound per side.  The rows are counted by
-    one grouped count over the union of the (column-pruned, filter-pushed)
-    sides: every task folds its rows into one partial count per side, so
-    only a handful of rows are shuffled and reach the driver.  (A
-    ``limit(n + 1).count()`` would instead move up to ``n`` rows from every
-    task into a single one.)
-    """
-    if not sides:
-        return {}
-    bound = {name: max_rows[name] if isinstance(max_rows, dict) else max_rows for name in sides}
-    parts = [df.select(F.lit(name).alias("__side")) for name, df in sides.items()]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
-    counts = {r["__side"]: r["n"] for r in union.groupBy("__side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: counts.get(name, 0) <= bound[name] for name in sides}
-
-
-def spread_null_key(key: Column, spread_by: Sequence[Column | str], buckets: int) -> Column:
-    """A string join key whose NULLs are spread over ``buckets`` values that
-    can never match (they start with a control character).  ``key`` must be
-    a string column; its collation is kept.
-
-    An optional LEFT JOIN key that is NULL for a third of the rows would
-    otherwise hash every such row to one shuffle partition.
+def dealt_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: Column | str,
+    right_key: str,
+    how: str = "left",
+    by: Sequence[Column | str] | None = None,
+    salts: int = SALTS,
+    hint: str | None = None,
+) -> DataFrame:
+    """Equi-join in which no key sends all its rows to one task.
+
+    Rows of ``left`` are dealt by ``salt_of`` (over the columns ``by``,
+    default all), and each row of ``right`` is repeated per share, so the
+    result is that of the plain join.  Meant for a ``right`` that is small
+    beside ``left``; with ``salts=1`` only NULL keys are spread and ``right``
+    is not repeated.  ``hint`` is a join hint for ``right``.
     """
-    salt = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(buckets))
-    return F.coalesce(key, F.concat(F.lit("\u0001null-"), salt.cast("string")))
+    out = left.withColumn("__lk", col(left_key)).withColumn("__ls", salt_of(F.col("__lk"), by or [qcol(c) for c in left.columns], salts))
+    r = right.filter(qcol(right_key).isNotNull())
+    shares = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) if salts > 1 else F.lit(0).cast("bigint")
+    r = r.withColumn("__rs", shares)
+    r = r.hint(hint) if hint else r
+    on = (F.col("__lk") == r[f"`{right_key}`"]) & (F.col("__ls") == F.col("__rs"))
+    return out.join(r, on, how).drop("__lk", "__ls", "__rs")
 
 
 def role_join(
@@ -67,31 +63,21 @@ def role_join(
     dim_key: str = "id",
     columns: Sequence[str] | None = None,
     how: str = "left",
-    broadcast: bool = False,
-    spread_by: Sequence[Column | str] | None = None,
-    null_buckets: int = 256,
+    by: Sequence[Column | str] | None = None,
+    salts: int = SALTS,
+    hint: str | None = None,
 ) -> DataFrame:
     """Join one role of a dimension (the same table under another alias).
 
     The dimension's columns come back prefixed (``prefix + name``), so the
-    same dimension can be joined several times.  ``broadcast`` must only be
-    set for a side whose size was checked (``bounded_broadcast``).  For a
-    shuffled LEFT JOIN, ``spread_by`` spreads NULL keys (see
-    ``spread_null_key``).
+    same dimension can be joined several times.  Hot and NULL keys are dealt
+    (``dealt_join``); Spark broadcasts the dimension where its size allows.
     """
     cols = list(columns) if columns is not None else list(dim.columns)
     if dim_key not in cols:
         cols = [dim_key] + cols
     d = dim.select(*[qcol(c).alias(prefix + c) for c in cols])
-    k = col(key)
-    dk = F.col(prefix + dim_key)
-    if broadcast:
-        return df.join(F.broadcast(d), k == dk, how)
-    if spread_by and how == "left":
-        tmp = f"__jk_{prefix}"
-        out = df.withColumn(tmp, spread_null_key(k, spread_by, null_buckets))
-        return out.join(d, F.col(tmp) == dk, how).drop(tmp)
-    return df.join(d, k == dk, how)
+    return dealt_join(df, d, key, prefix + dim_key, how, by, salts, hint)
 
 
 def join_on_first_key(
@@ -102,10 +88,11 @@ def join_on_first_key(
     how: str = "left",
     key_name: str = "__first_key",
     keep_key: bool = False,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join on ``COALESCE(keys...)``: the first non-NULL candidate key."""
     out = left.withColumn(key_name, F.coalesce(*[col(k) for k in keys]))
-    out = out.join(right, F.col(key_name) == right[right_key], how)
+    out = dealt_join(out, right, key_name, right_key, how, salts=salts)
     return out if keep_key else out.drop(key_name)
 
 
@@ -144,8 +131,8 @@ def with_member_flag(
     The list is made distinct first (partial + final aggregation), so the
     LEFT JOIN cannot fan out; NULL list entries can never match and are
     dropped.  NULL ``key`` gives false, which is what ``CASE WHEN key IN
-    (..) THEN 1 ELSE 0`` yields.
+    (..) THEN 1 ELSE 0`` yields; rows with a NULL ``key`` are spread.
     """
     m = members.select(F.col(member_key).alias("__mk")).filter(F.col("__mk").isNotNull()).distinct()
-    out = df.join(m, col(key) == F.col("__mk"), "left")
+    out = dealt_join(df, m, key, "__mk", salts=1)
     return out.withColumn(name, F.col("__mk").isNotNull()).drop("__mk")

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import col, truth
+from ..functions.exprs import truth
+from .joins import dealt_join
 
 
 def member_summary(df: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:
@@ -31,11 +32,10 @@ def attach_flags(
     summary: DataFrame,
     summary_key: str,
     names: Sequence[str],
-    broadcast: bool = False,
+    hint: str | None = None,
 ) -> DataFrame:
-    """LEFT JOIN the summary on ``key``; a key absent from it gets false."""
+    """LEFT JOIN the summary on ``key``; a key absent from it gets false.  Rows
+    with a NULL key are spread."""
     s = summary.select(F.col(summary_key).alias("__sk"), *[F.col(n) for n in names])
-    if broadcast:
-        s = F.broadcast(s)
-    out = df.join(s, col(key) == F.col("__sk"), "left").drop("__sk")
+    out = dealt_join(df, s, key, "__sk", salts=1, hint=hint).drop("__sk")
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(False)) for n in names})

@@ -3,29 +3,24 @@
 The plan has two levels.  Member-level work runs on one row per program
 member; only then are members joined to their coverages (about ten per
 member), so the wide coverage rows are shuffled as few times as possible.
-When the member table is large and the gated members are few enough to
-broadcast, their keys first cut every large input (consents, coverages,
-accounts, contacts, and the submission logs by the task ids they can
-produce) map-side, so the shuffles below carry only rows those members can
-reach:
+Nothing runs while the plan is built, and no size decides its shape: Spark
+picks broadcasts from bytes at run time, and the keys that can be hot (sites,
+providers, payers, the unnamed task) are always dealt over many tasks.
 
 member level
   1. program members cut to the programs / Pending / Benefits Investigation;
   2. LEFT SEMI to members holding both Active consents (one aggregation);
-  3. accounts pre-joined once with their latest primary contact (the contact
-     shuffle is shared by every role), then the member account (INNER, raw
-     state not CA) and the provider (LEFT, inner in effect; broadcast behind
-     a row bound);
+  3. the six party roles in long form (member, role, account): one join with
+     the accounts and their latest primary contact (one window), one pivot
+     back per member; NULL keys never enter it;
   4. the per-member coverage summary (the eight ``IN`` lists of the source
      as one aggregation);
 coverage level
-  5. Active coverages with a payer name and subscriber id, LEFT payer map
-     (broadcast behind a row bound), resolved payer id and its gate;
+  5. Active coverages with a payer name and subscriber id, LEFT payer map,
+     resolved payer id and its gate;
   6. members x coverages on the member id, govt flag, segment filter;
   7. LEFT ANTI the blocked task ids of both submission logs;
-  8. practice and three ASOC sites (LEFT; broadcast behind a row bound, or
-     shuffled at member level with NULL keys spread over buckets);
-  9. the 76 output expressions, DISTINCT, deterministic cap.
+  8. the 76 output expressions, DISTINCT, deterministic cap.
 """
 
 from __future__ import annotations
@@ -36,10 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import DEFAULT, DEFAULT_AS_OF, RulesConfig
+from ..config import RULES, Rules, RulesConfig
 from ..functions.cutoff import cutoff_literal
-from ..operators.gates import exclude_unless_stale
-from ..operators.joins import bounded_sizes, role_join
+from ..operators.gates import exclude_unless_stale, hot_key_salt
+from ..operators.joins import SALTS, dealt_join
 from ..operators.limit import top_distinct
 from ..operators.membership import attach_flags
 from ..sources.loader import DomainTables
@@ -54,15 +49,64 @@ PATIENT_COLS = ("id", "firstname", "lastname", *CONTACT_COLS)
 PROVIDER_COLS = ("id", "firstname", "lastname", "npi_vod__c", "hzn_tax_id__c", *CONTACT_COLS)
 
 
-def party_dimension(account: DataFrame, contact_info: DataFrame, record_types, cfg: RulesConfig = DEFAULT) -> DataFrame:
-    """Accounts of the given record types with their latest primary contact.
+# Output prefix, key column of the member row, kind of account, columns used.
+ROLES = (
+    ("pe_", "member_mvn__c", "patient", PATIENT_COLS),
+    ("h_", "__h_key", "provider", PROVIDER_COLS),
+    ("e_", "__e_key", "site", SITE_COLS),
+    ("e1_", "__e1_key", "site", SITE_COLS),
+    ("e2_", "__e2_key", "site", SITE_COLS),
+    ("e3_", "__e3_key", "site", SITE_COLS),
+)
+# A task id without either name: many coverages may share it.
+UNNAMED_TASK = " "
 
-    The contact window is computed once; every role below reads this frame,
-    so Spark shares the contact shuffle between roles (ReusedExchange).
-    """
+
+def party_dimension(account: DataFrame, contact_info: DataFrame, cfg: Rules = RULES, hint: str | None = None) -> DataFrame:
+    """Patients, providers and sites (``kind``) with their latest primary contact."""
+    rt = F.col("recordtypeid")
+    kind = (
+        F.when(rt == F.lit(cfg.patient_record_type), "patient")
+        .when(rt == F.lit(cfg.provider_record_type), "provider")
+        .when(rt.isin(*cfg.site_record_types), "site")
+    )
     contact = R.primary_contact(contact_info, cfg).select("account_mvn__c", *CONTACT_COLS)
-    acct = account.filter(F.col("recordtypeid").isin(*record_types))
-    return acct.join(contact, acct["id"] == contact["account_mvn__c"], "left").drop("account_mvn__c")
+    contact = contact.hint(hint) if hint else contact
+    acct = account.filter(rt.isin(cfg.patient_record_type, cfg.provider_record_type, *cfg.site_record_types))
+    return acct.withColumn("kind", kind).join(contact, F.col("id") == F.col("account_mvn__c"), "left").drop("account_mvn__c")
+
+
+def with_parties(m: DataFrame, party: DataFrame, member_id: str = "pm_id", roles=ROLES, hint: str | None = None) -> DataFrame:
+    """``m`` with each role's account columns, prefixed; NULL where the role's
+    key is NULL or names no account of the role's kind.
+
+    ``member_id`` and the accounts' ``id`` are unique (record ids).  The role
+    keys are joined in long form, so accounts and contacts are read, ranked
+    and shuffled once for all roles.  Patients have one member each; sites and
+    providers serve many, so their rows are repeated ``SALTS`` times and the
+    members of one are dealt over the copies.
+    """
+    entries = F.array(*[F.struct(F.lit(p).alias("role"), F.lit(kind).alias("kind"), F.col(k).alias("key")) for p, k, kind, _ in roles])
+    long = m.select(member_id, F.explode(F.filter(entries, lambda e: e["key"].isNotNull())).alias("e")).select(member_id, "e.*")
+    salt = F.pmod(F.xxhash64(member_id, "role"), F.lit(SALTS).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    long = long.withColumn("salt", F.when(F.col("kind") == "patient", zero).otherwise(salt))
+    wanted = list(dict.fromkeys(c for _, _, _, cols in roles for c in cols))
+    copies = F.when(F.col("kind") == "patient", F.array(zero)).otherwise(F.sequence(zero, F.lit(SALTS - 1).cast("bigint")))
+    side = party.select("kind", F.explode(copies).alias("salt"), *wanted)
+    side = side.hint(hint) if hint else side
+    on = (long["key"] == side["id"]) & (long["kind"] == side["kind"]) & (long["salt"] == side["salt"])
+    found = long.join(side, on).select(member_id, "role", F.struct(*wanted).alias("party"))
+    found = found.groupBy(F.col(member_id).alias("__pm")).agg(F.collect_list(F.struct("role", "party")).alias("__parties"))
+
+    def of(role: str) -> Column:
+        return F.get(F.filter("__parties", lambda x: x["role"] == F.lit(role)), F.lit(0))["party"]
+
+    found = found.select("__pm", *[of(p).alias(f"__{p}") for p, *_ in roles])
+    found = found.hint(hint) if hint else found
+    out = m.join(found, F.col(member_id) == F.col("__pm"), "left")
+    out = out.withColumns({f"{p}{c}": F.col(f"__{p}")[c] for p, _, _, cols in roles for c in cols})
+    return out.drop("__pm", *[f"__{p}" for p, *_ in roles])
 
 
 def _party_block(p: str, pbi: Column | None = None) -> list[Column]:
@@ -89,7 +133,7 @@ def _site_block(p: str, pbi: Column | None = None) -> list[Column]:
     ] + _party_block(p, pbi)
 
 
-def output_columns(cfg: RulesConfig = DEFAULT) -> list[Column]:
+def output_columns(cfg: Rules = RULES) -> list[Column]:
     """The 76 output expressions over the joined row, in output order."""
     pbi = R.pending_bi("pm_status", "pm_reason", cfg)
     d1, d2, d3 = R.diagnosis_codes(
@@ -142,89 +186,34 @@ def output_columns(cfg: RulesConfig = DEFAULT) -> list[Column]:
 
 def benefit_verification_extract(
     t: DomainTables,
-    as_of: _dt.datetime = DEFAULT_AS_OF,
-    cfg: RulesConfig = DEFAULT,
-    broadcast_sites: bool | None = None,
-    broadcast_payers: bool | None = None,
-    broadcast_providers: bool | None = None,
-    reduce_by_members: bool | None = None,
+    as_of: _dt.datetime,
+    cfg: RulesConfig,
+    join_hint: str | None = None,
+    reduce_by_members: bool = False,
 ) -> DataFrame:
     """The work list.  ``as_of`` replaces the server clock; ``cfg.cap=None``
-    returns every distinct row.  ``broadcast_*=None`` decides by a bounded
-    row count of the dimension; True/False forces the choice.
-
-    ``reduce_by_members`` (default: when the gated members pass the same row
-    bound and the member table holds more than ``cfg.reduce_min_members``
-    rows) broadcasts the keys of the gated members and cuts consents,
-    coverages (both the member's own and those behind the member summary),
-    accounts and contacts to the rows those members can reach, and the
-    submission logs to the task ids their coverages can produce (if at most
-    ``cfg.reduce_max_tasks``), before any of them is aggregated or shuffled.
-    Only Pending / Benefits Investigation members of the two programs can
-    reach the output, so at scale this turns full-table shuffles into
-    shuffles of a small slice.  The result is the same.
+    returns every distinct row.
+
+    ``join_hint="merge"`` makes every join a shuffled one.
+    ``reduce_by_members`` first cuts consents and coverages to the gated
+    members by semi joins, which pays where most members are not gated; the
+    result is the same.
     """
     cutoff = cutoff_literal(as_of, cfg)
-    rt = F.col("recordtypeid")
-    gated = t.program_member.filter(
-        R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
-    )
 
-    # size checks (dimensions, gated and all members), in one job
-    unknown = {
-        name: df
-        for name, df, flag in (
-            ("payers", t.payer_mapping.select("payer_name"), broadcast_payers),
-            ("providers", t.account.filter(rt == F.lit(cfg.provider_record_type)).select("id"), broadcast_providers),
-            ("sites", t.account.filter(rt.isin(*cfg.site_record_types)).select("id"), broadcast_sites),
-            ("members", gated.select("id"), reduce_by_members),
-            ("all_members", t.program_member.select("id"), reduce_by_members),
-        )
-        if flag is None
-    }
-    bounds = {name: cfg.broadcast_max_rows for name in unknown}
-    if "all_members" in bounds:
-        bounds["all_members"] = cfg.reduce_min_members
-    fits = bounded_sizes(unknown, bounds)
-    broadcast_payers = fits.get("payers", broadcast_payers)
-    broadcast_providers = fits.get("providers", broadcast_providers)
-    broadcast_sites = fits.get("sites", broadcast_sites)
-    if reduce_by_members is None:
-        # the gated slice can be broadcast, and the member table is large
-        reduce_by_members = fits["members"] and not fits["all_members"]
-
-    consent_src, coverage_src, account_src, contact_src, member_coverages = (
-        t.authorization_consent, t.benefits_coverage, t.account, t.contact_info, t.benefits_coverage)
-    outbound_src, allcare_src = t.outbound_log, t.allcare_log
-    if reduce_by_members:
-        # keys of the gated members, broadcast (their count was bounded)
-        # member ids and names are keys: no DISTINCT needed (duplicates would
-        # only repeat a build-side key of the semi join)
-        ids = F.broadcast(gated.select(F.col("id").alias("__rk")))
-        names = F.broadcast(gated.select(F.col("name").alias("__rk")))
-        key_cols = ("member_mvn__c", "physician_mvn__c", "enrolling_physician_mvn__c", "hzn_updated_site_of_care__c",
-                    "site_of_care_mvn__c", "hzn_asoc_opt_1__c", "hzn_asoc_opt_2__c", "hzn_asoc_opt_3__c")
-        accts = F.broadcast(
-            gated.select(F.explode(F.array(*[F.col(c) for c in key_cols])).alias("__rk")).filter(F.col("__rk").isNotNull())
-            .distinct()
-        )
-        consent_src = consent_src.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
-        member_coverages = t.benefits_coverage.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
-        coverage_src = coverage_src.join(names, F.col("hzn_pm_id__c") == F.col("__rk"), "left_semi")
-        account_src = account_src.join(accts, F.col("id") == F.col("__rk"), "left_semi")
-        contact_src = contact_src.join(accts, F.col("account_mvn__c") == F.col("__rk"), "left_semi")
-        # the task ids those coverages can produce cut both submission logs,
-        # when there are few enough of them to broadcast
-        gated_names = F.broadcast(gated.select(F.col("id").alias("__tk_pm"), F.col("name").alias("__tk_name")))
-        tasks = member_coverages.join(gated_names, F.col("program_member_mvn__c") == F.col("__tk_pm")).select(
-            R.task_id("name", "__tk_name").alias("__rk"))
-        if bounded_sizes({"tasks": tasks}, cfg.reduce_max_tasks)["tasks"]:
-            tasks_b = F.broadcast(tasks)
-            outbound_src = outbound_src.join(tasks_b, F.col("customer bv task id") == F.col("__rk"), "left_semi")
-            allcare_src = allcare_src.join(tasks_b, F.col("customer bv task id") == F.col("__rk"), "left_semi")
+    def side(df: DataFrame) -> DataFrame:
+        return df.hint(join_hint) if join_hint else df
 
     # ---- member level: one row per program member (x coverages later) ----
     # 1. driving table, cut first
+    gated = t.program_member.filter(
+        R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
+    )
+    consents, coverages = t.authorization_consent, t.benefits_coverage
+    if reduce_by_members:
+        ids = side(gated.select(F.col("id").alias("__rk")))
+        consents = consents.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
+        coverages = coverages.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
     m = gated.select(
         F.col("id").alias("pm_id"),
         F.col("name").alias("pm_name"),
@@ -242,52 +231,25 @@ def benefit_verification_extract(
     )
 
     # 2. both consents Active (a semi join: the consent row adds no column)
-    consented = R.consented_members(consent_src, cfg).withColumnRenamed(
-        "program_member_mvn__c", "__consent_pm"
-    )
-    m = m.join(consented, F.col("pm_id") == F.col("__consent_pm"), "left_semi")
-
-    # 3. parties: accounts with their latest primary contact
-    record_types = (cfg.patient_record_type, cfg.provider_record_type, *cfg.site_record_types)
-    party = party_dimension(account_src, contact_src, record_types, cfg)
+    consented = R.consented_members(consents, cfg).withColumnRenamed("program_member_mvn__c", "__consent_pm")
+    m = m.join(side(consented), F.col("pm_id") == F.col("__consent_pm"), "left_semi")
 
-    # member account: INNER, then the raw-state exclusion (drops no contact)
-    pe = party.filter(rt == F.lit(cfg.patient_record_type))
-    m = role_join(m, pe, "member_mvn__c", "pe_", columns=PATIENT_COLS, how="inner")
-    m = m.filter(R.state_exclusion("pe_state_mvn__c", cfg))
+    # 3. parties.  The member account is INNER, then the raw-state exclusion;
+    #    the provider exclusion's three-valued NOT drops members without one.
+    m = with_parties(m, party_dimension(t.account, t.contact_info, cfg, join_hint), hint=join_hint)
+    m = m.filter(F.col("pe_id").isNotNull() & R.state_exclusion("pe_state_mvn__c", cfg))
+    m = m.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg.excluded_providers))
 
-    # provider: LEFT as written; the exclusion's three-valued NOT drops
-    # unmatched members, so Catalyst plans an inner join and drops NULL keys
-    # before the shuffle.
-    h = party.filter(rt == F.lit(cfg.provider_record_type))
-    m = role_join(m, h, "__h_key", "h_", columns=PROVIDER_COLS, how="left", broadcast=broadcast_providers)
-    m = m.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg))
-
-    # member summary: the eight IN lists of the source as one aggregation
+    # 4. member summary: the eight IN lists of the source as one aggregation
     summary = R.coverage_summary(
-        coverage_src.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)),
-        t.payer_mapping, cfg, broadcast_map=broadcast_payers,
+        t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)), t.payer_mapping, cfg, join_hint
     )
-    m = attach_flags(m, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS)
-
-    # sites: broadcast when the dimension is small enough (joined after the
-    # gates, on fewer rows); otherwise shuffled here, at member level, with
-    # NULL keys spread over buckets.
-    site = party.filter(rt.isin(*cfg.site_record_types))
-    roles = (("e_", "__e_key"), ("e1_", "__e1_key"), ("e2_", "__e2_key"), ("e3_", "__e3_key"))
-
-    def join_sites(df: DataFrame, spread_by) -> DataFrame:
-        for prefix, key in roles:
-            df = role_join(df, site, key, prefix, columns=SITE_COLS, how="left", broadcast=broadcast_sites,
-                           spread_by=spread_by, null_buckets=cfg.null_key_buckets)
-        return df
-
-    if not broadcast_sites:
-        m = join_sites(m, ["pm_id"])
+    m = attach_flags(m, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS, join_hint)
 
     # ---- coverage level ----
-    # 4. Active coverages with a payer name and a subscriber id
-    bc = member_coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
+    # 5. Active coverages with a payer name and a subscriber id, payer map:
+    #    LEFT (a repeated payer name fans out, as in the source)
+    bc = coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
         F.col("id").alias("bc_id"),
         F.col("name").alias("bc_name"),
         F.col("program_member_mvn__c").alias("bc_pm"),
@@ -297,31 +259,28 @@ def benefit_verification_extract(
         R.payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c").alias("bc_payer"),
         "hzn_plan_member_id__c", "payer_phone_mvn__c", "plan_name_mvn__c",
     ).filter(R.completeness_gate("bc_payer", "hzn_plan_member_id__c"))
-
-    # 5. payer map: LEFT (a repeated payer name fans out, as in the source)
     hpm = t.payer_mapping.select(F.col("payer_name").alias("hpm_name"), F.col("infinitus_payer_id").alias("hpm_id"))
-    bc = bc.join(F.broadcast(hpm) if broadcast_payers else hpm, F.col("hpm_name") == F.col("bc_payer"), "left")
+    bc = dealt_join(bc, hpm, "bc_payer", "hpm_name", "left", by=["bc_id"], hint=join_hint)
     bc = bc.withColumn("payer_id", R.resolve_payer_id("hpm_id", "bc_payer")).filter(R.supported_payer("payer_id"))
 
     # 6. members x coverages (the one join between the two levels)
-    x = m.join(bc, F.col("pm_id") == F.col("bc_pm"), "inner").drop("bc_pm")
+    x = m.join(side(bc), F.col("pm_id") == F.col("bc_pm"), "inner").drop("bc_pm")
     x = x.withColumn("task_id", R.task_id("bc_name", "pm_name")).withColumn(
         "govt_flag",
         R.other_tier_flag("hzn_plan_coverage_type__c", "bc_tier", "bc_status", "has_nc_primary", "has_nc_secondary", cfg),
     )
-    x = x.filter(R.segment_filter("hzn_plan_coverage_type__c", "govt_flag", cfg=cfg))
+    x = x.filter(R.segment_filter("hzn_plan_coverage_type__c", "govt_flag", cfg))
 
     # 7. submission logs: drop tasks already sent unless stale (and accepted);
-    #    both anti joins share the partitioning by task id.
+    #    both anti joins share the partitioning by task id and salt.
+    x = x.withColumn("__task_salt", hot_key_salt("task_id", UNNAMED_TASK, ["bc_id"]))
     x = exclude_unless_stale(
-        x, "task_id", outbound_src, "customer bv task id", "extraction_date", cutoff,
-        extra_aggs={"count_accepted": F.sum(F.col("is_accepted").cast("int"))},
-        extra_cond=F.col("count_accepted") > 0,
+        x, "task_id", t.outbound_log, "customer bv task id", "extraction_date", cutoff,
+        extra_aggs={"count_accepted": F.sum("is_accepted")}, extra_cond=F.col("count_accepted") > 0,
+        hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint,
     )
-    x = exclude_unless_stale(x, "task_id", allcare_src, "customer bv task id", "extraction date", cutoff)
-
-    if broadcast_sites:
-        x = join_sites(x, None)
+    x = exclude_unless_stale(x, "task_id", t.allcare_log, "customer bv task id", "extraction date", cutoff,
+                             hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint)
 
     # 8. project, DISTINCT, cap
     out = x.select(*output_columns(cfg))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import DEFAULT, RulesConfig
+from ..config import RULES, Rules, RulesConfig
 from ..functions.exprs import (
     col,
     contains_any,
@@ -27,6 +27,7 @@ from ..functions.exprs import (
     zip5,
 )
 from ..operators.aggregate import has_all
+from ..operators.joins import dealt_join
 from ..operators.membership import member_summary
 from ..operators.window import latest_per_key
 
@@ -41,12 +42,12 @@ def task_id(coverage_name, member_name) -> Column:
     return null_safe_concat(coverage_name, F.lit(" "), member_name)
 
 
-def pending_bi(status, reason, cfg: RulesConfig = DEFAULT) -> Column:
+def pending_bi(status, reason, cfg: Rules = RULES) -> Column:
     return (col(status) == F.lit(cfg.pending_status)) & (col(reason) == F.lit(cfg.pending_reason))
 
 
 # BR-2
-def facility_type(status, reason, program, site_type, cfg: RulesConfig = DEFAULT) -> Column:
+def facility_type(status, reason, program, site_type, cfg: Rules = RULES) -> Column:
     """Ordered facility-type rules; the first TRUE branch wins.
 
     Pending + Benefits Investigation decide by program.  Otherwise
@@ -81,7 +82,7 @@ def plan_is_noncommercial(plan_type) -> Column:
 
 # BR-3
 def other_tier_flag(
-    plan_type, tier_col, coverage_status, has_nc_primary, has_nc_secondary, cfg: RulesConfig = DEFAULT
+    plan_type, tier_col, coverage_status, has_nc_primary, has_nc_secondary, cfg: RulesConfig
 ) -> Column:
     """1 if this (commercial) coverage is Secondary while the member has an
     active non-commercial Primary, or Primary with a non-commercial
@@ -177,7 +178,7 @@ def insurance_status(tier_col) -> Column:
 
 
 # BR-16
-def consented_members(consent: DataFrame, cfg: RulesConfig = DEFAULT) -> DataFrame:
+def consented_members(consent: DataFrame, cfg: Rules = RULES) -> DataFrame:
     """Members holding an Active row of every required consent type."""
     return has_all(
         consent,
@@ -189,12 +190,12 @@ def consented_members(consent: DataFrame, cfg: RulesConfig = DEFAULT) -> DataFra
 
 
 # BR-17
-def primary_contact(contact: DataFrame, cfg: RulesConfig = DEFAULT) -> DataFrame:
+def primary_contact(contact: DataFrame, cfg: Rules = RULES) -> DataFrame:
     """The newest primary contact of the contact record type with a zip, per
     account (ties broken by contact id).  Contacts without an account can
     never be joined and are dropped before the shuffle."""
     src = contact.filter(
-        (F.col("primary_mvn__c") == F.lit(True))
+        (F.col("primary_mvn__c") == F.lit(1))
         & (F.col("recordtypeid") == F.lit(cfg.contact_record_type))
         & F.col("zip_mvn__c").isNotNull()
         & F.col("account_mvn__c").isNotNull()
@@ -208,15 +209,15 @@ SUMMARY_FLAGS = ("has_nc_primary", "has_nc_secondary", "has_not_ma_ffs", "has_no
 
 
 def coverage_summary(
-    active_coverage: DataFrame, payer_map: DataFrame | None, cfg: RulesConfig = DEFAULT, broadcast_map: bool = False
+    active_coverage: DataFrame, payer_map: DataFrame | None, cfg: RulesConfig, hint: str | None = None
 ) -> DataFrame:
     """Per ``hzn_pm_id__c`` over Active coverages, one flag per membership list.
 
     ``active_coverage`` needs ``hzn_pm_id__c``, the plan type, both tier
     columns and both payer-name columns.  Under ``intent`` the FFS and
     commercial lists test the payer map, so it is joined first (duplicates
-    from a repeated payer name are harmless to ``bool_or``); set
-    ``broadcast_map`` only for a map whose size was checked.
+    from a repeated payer name are harmless to ``bool_or``); hot and NULL
+    payer names are dealt over many tasks.
     """
     pt = F.col("hzn_plan_coverage_type__c")
     t = tier("hzn_insurance_type__c", "coverage_type_mvn__c")
@@ -225,10 +226,8 @@ def coverage_summary(
         if payer_map is None:
             raise ValueError("parity='intent' needs the payer map")
         m = payer_map.select(F.col("payer_name").alias("__pn"), F.col("infinitus_payer_id").alias("__pid"))
-        if broadcast_map:
-            m = F.broadcast(m)
         src = src.withColumn("__payer", payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c"))
-        src = src.join(m, F.col("__pn") == F.col("__payer"), "left")
+        src = dealt_join(src, m, "__payer", "__pn", "left", hint=hint)
         gap = unsupported_non_blues("__pid", "__payer")
         ffs = (~pt.isin(*C.SEGMENT_TYPES)) | (pt.isin(*C.SEGMENT_TYPES) & gap)
         comm = gap
@@ -247,7 +246,7 @@ def coverage_summary(
 
 
 # BR-21
-def segment_filter(plan_type, flag, summary_cols: dict[str, str] | None = None, cfg: RulesConfig = DEFAULT) -> Column:
+def segment_filter(plan_type, flag, cfg: RulesConfig, summary_cols: dict[str, str] | None = None) -> Column:
     """Keep a coverage row iff A or B.
 
     A: the plan type (NULL = commercial) is commercial and the flag is 0.
@@ -278,20 +277,23 @@ def completeness_gate(payer, plan_member_id) -> Column:
 
 
 # BR-23
-def provider_exclusion(first, last, cfg: RulesConfig = DEFAULT) -> Column:
-    """``NOT (first = X AND last = Y)``: unknown (no provider, or a NULL name
-    that cannot rule the pair out) drops the row, as written."""
-    fx, lx = cfg.excluded_provider
-    return ~((col(first) == F.lit(fx)) & (col(last) == F.lit(lx)))
+def provider_exclusion(first, last, excluded) -> Column:
+    """``NOT (first = X AND last = Y)`` for each pair in ``excluded``: unknown
+    (no provider, or a NULL name that cannot rule the pair out) drops the
+    row, as written."""
+    keep = F.lit(True)
+    for fx, lx in excluded:
+        keep = keep & ~((col(first) == F.lit(fx)) & (col(last) == F.lit(lx)))
+    return keep
 
 
 # BR-24
-def state_exclusion(raw_state, cfg: RulesConfig = DEFAULT) -> Column:
+def state_exclusion(raw_state, cfg: Rules = RULES) -> Column:
     """Raw contact state ``<> 'CA'`` (before the ``US-`` strip); NULL drops."""
     return col(raw_state) != F.lit(cfg.excluded_state)
 
 
 # BR-25
-def program_status_gate(program, status, reason, cfg: RulesConfig = DEFAULT) -> Column:
+def program_status_gate(program, status, reason, cfg: Rules = RULES) -> Column:
     return col(program).isin(*cfg.programs) & pending_bi(status, reason, cfg)
 

@@ -1,11 +1,7 @@
-"""Session helpers: sensible defaults for local runs and tests, and the
-checkpoint folder (read from the cluster's setting, set only if absent)."""
+"""Session helper: sensible defaults for local runs and tests."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -31,19 +27,3 @@ def local_session(cores: int | str = "*", app: str = "bvengine", extra: dict | N
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster it must be set (shared storage); only a local session with
-    no setting gets a fresh scratch folder, so tests can run.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-        d = tempfile.mkdtemp(prefix="bvengine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d

@@ -2,7 +2,7 @@
 
 from .loader import DRIVER_TABLES, DomainTables, SchemaError, conform, load, read_table
 from .sink import write_worklist
-from .schemas import DOMAIN_SCHEMAS, OUTPUT_COLUMNS, OUTPUT_SCHEMA, WAREHOUSE_NAMES
+from .schemas import DOMAIN_SCHEMAS, OUTPUT_COLUMNS, OUTPUT_SCHEMA
 
 __all__ = [
     "DOMAIN_SCHEMAS",
@@ -11,7 +11,6 @@ __all__ = [
     "OUTPUT_COLUMNS",
     "OUTPUT_SCHEMA",
     "SchemaError",
-    "WAREHOUSE_NAMES",
     "conform",
     "load",
     "read_table",

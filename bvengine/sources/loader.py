@@ -7,20 +7,35 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
 
-from .schemas import DOMAIN_SCHEMAS, DRIVER_SCHEMAS, WAREHOUSE_NAMES
+from .schemas import DOMAIN_SCHEMAS, DRIVER_SCHEMAS
 
 
 class SchemaError(ValueError):
     pass
 
 
-def conform(df: DataFrame, schema: StructType, name: str = "table", collation: str | None = None) -> DataFrame:
+def wall_clock(instant, time_zone: str):
+    """An instant's wall-clock time in ``time_zone`` (NTZ), whatever the
+    session's own zone is."""
+    micros = F.unix_micros(F.from_utc_timestamp(instant, time_zone))
+    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def conform(
+    df: DataFrame, schema: StructType, name: str = "table", collation: str | None = None, time_zone: str | None = None
+) -> DataFrame:
     """Select the declared columns (case-insensitively) cast to the declared
     types.  A missing column raises; extra columns are pruned (and so never
     read from Parquet).
 
+    The rules work on wall-clock times.  A column of instants (TIMESTAMP with
+    local time zone) is refused unless ``time_zone`` says whose wall clock is
+    meant; nothing depends on the session's zone.
+
     ``collation`` (e.g. ``"UTF8_LCASE_RTRIM"``: case-insensitive, trailing
     blanks ignored, like a SQL Server default collation) is applied to every
     string column, so comparisons, LIKE tests, REPLACE, join keys, grouping
@@ -34,7 +49,11 @@ def conform(df: DataFrame, schema: StructType, name: str = "table", collation: s
     def one(f):
         src = have[f.name.lower()]
         c = F.col(f"`{src.name}`")
-        if src.dataType != f.dataType:
+        if isinstance(f.dataType, TimestampNTZType) and isinstance(src.dataType, TimestampType):
+            if time_zone is None:
+                raise SchemaError(f"{name}.{src.name} holds instants; pass time_zone to read them as wall-clock times")
+            c = wall_clock(c, time_zone)
+        elif src.dataType != f.dataType:
             c = c.cast(f.dataType)
         if collation and isinstance(f.dataType, StringType):
             c = F.collate(c, collation)
@@ -45,17 +64,17 @@ def conform(df: DataFrame, schema: StructType, name: str = "table", collation: s
 
 
 def load(
-    spark: SparkSession, name: str, path: str | None = None, table: str | None = None, collation: str | None = None
+    spark: SparkSession, name: str, path: str | None = None, table: str | None = None, collation: str | None = None,
+    time_zone: str | None = None,
 ) -> DataFrame:
     """Load one domain table by logical name, from Parquet ``path`` or from a
-    catalog ``table`` (default: the warehouse name the statement uses)."""
+    catalog ``table``."""
     if name not in DOMAIN_SCHEMAS:
         raise KeyError(f"unknown table {name!r}; known: {sorted(DOMAIN_SCHEMAS)}")
-    if path is not None:
-        df = spark.read.parquet(path)
-    else:
-        df = spark.table(table or WAREHOUSE_NAMES[name])
-    return conform(df, DOMAIN_SCHEMAS[name], name, collation)
+    if (path is None) == (table is None):
+        raise ValueError(f"{name}: give either a path or a catalog table")
+    df = spark.read.parquet(path) if path is not None else spark.table(table)
+    return conform(df, DOMAIN_SCHEMAS[name], name, collation, time_zone)
 
 
 @dataclass
@@ -73,19 +92,20 @@ class DomainTables:
     allcare_log: DataFrame
 
     @classmethod
-    def from_frames(cls, frames: Mapping[str, DataFrame], collation: str | None = None) -> "DomainTables":
-        return cls(**{f.name: conform(frames[f.name], DOMAIN_SCHEMAS[f.name], f.name, collation) for f in fields(cls)})
+    def from_frames(cls, frames: Mapping[str, DataFrame], collation: str | None = None, time_zone: str | None = None) -> "DomainTables":
+        return cls(**{f.name: conform(frames[f.name], DOMAIN_SCHEMAS[f.name], f.name, collation, time_zone) for f in fields(cls)})
 
     @classmethod
-    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], collation: str | None = None) -> "DomainTables":
-        return cls(**{f.name: load(spark, f.name, path=paths[f.name], collation=collation) for f in fields(cls)})
+    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], collation: str | None = None, time_zone: str | None = None) -> "DomainTables":
+        return cls(**{f.name: load(spark, f.name, path=paths[f.name], collation=collation, time_zone=time_zone) for f in fields(cls)})
 
     @classmethod
-    def from_catalog(
-        cls, spark: SparkSession, names: Mapping[str, str] | None = None, collation: str | None = None
-    ) -> "DomainTables":
-        names = dict(WAREHOUSE_NAMES, **(names or {}))
-        return cls(**{f.name: load(spark, f.name, table=names[f.name], collation=collation) for f in fields(cls)})
+    def from_catalog(cls, spark: SparkSession, names: Mapping[str, str], collation: str | None = None, time_zone: str | None = None) -> "DomainTables":
+        """``names`` gives the catalog name of each of the nine tables."""
+        missing = [f.name for f in fields(cls) if f.name not in names]
+        if missing:
+            raise KeyError(f"no catalog name for {missing}")
+        return cls(**{f.name: load(spark, f.name, table=names[f.name], collation=collation, time_zone=time_zone) for f in fields(cls)})
 
 
 DRIVER_TABLES = (

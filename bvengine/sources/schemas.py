@@ -8,7 +8,6 @@ never silently NULL) and cast to the declared types.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -19,18 +18,19 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-S, B, D, N, I = StringType(), BooleanType(), DateType(), TimestampNTZType(), IntegerType()
+S, D, N, I = StringType(), DateType(), TimestampNTZType(), IntegerType()
 
 # --- fixed values -----------------------------------------------------------
-# Table names, column names and output column names below must equal the
-# source statement's for the extract to read its tables and produce its
-# columns; they are listed in the order the statement uses them.
+# Column names and output column names below must equal the source
+# statement's for the extract to read its tables and produce its columns; they are listed in the order the statement uses them.
 
 
 def _schema(*fields: tuple[str, object], required: tuple[str, ...] = ("id",)) -> StructType:
     return StructType([StructField(n, t, n not in required) for n, t in fields])
 
 
+# Flags are integers (a BIT or BOOLEAN source becomes 0 / 1): the statement
+# compares one with 1 and sums the other.
 ACCOUNT = _schema(
     ("id", S), ("recordtypeid", S), ("name", S), ("formatted_name_vod__c", S), ("firstname", S),
     ("lastname", S), ("type", S), ("npi_vod__c", S), ("hzn_npi_facility__c", S),
@@ -41,7 +41,7 @@ ACCOUNT = _schema(
 # ``id`` is not read by the statement; it is the tie-breaker for contacts
 # modified at the same instant (the statement leaves such ties undefined).
 CONTACT_INFO = _schema(
-    ("id", S), ("account_mvn__c", S), ("recordtypeid", S), ("primary_mvn__c", B), ("zip_mvn__c", S),
+    ("id", S), ("account_mvn__c", S), ("recordtypeid", S), ("primary_mvn__c", I), ("zip_mvn__c", S),
     ("address_line_1_mvn__c", S), ("address_line_2_mvn__c", S), ("city_mvn__c", S),
     ("state_mvn__c", S), ("lastmodifieddate", N),
 )
@@ -70,7 +70,7 @@ PAYER_MAPPING = _schema(("payer_name", S), ("infinitus_payer_id", S), required=(
 
 RECORD_TYPE = _schema(("id", S))
 
-OUTBOUND_LOG = _schema(("customer bv task id", S), ("extraction_date", N), ("is_accepted", B), required=())
+OUTBOUND_LOG = _schema(("customer bv task id", S), ("extraction_date", N), ("is_accepted", I), required=())
 
 # The second vendor's log names its date column with a blank.
 ALLCARE_LOG = _schema(("customer bv task id", S), ("extraction date", N), required=())
@@ -87,20 +87,6 @@ DOMAIN_SCHEMAS: dict[str, StructType] = {
     "allcare_log": ALLCARE_LOG,
 }
 
-# Warehouse names the statement reads (schema.table).
-WAREHOUSE_NAMES: dict[str, str] = {
-    "account": "raw_veeva.account_sf1",
-    "contact_info": "raw_veeva.contact_info_sf1",
-    "program_member": "raw_patient_services.program_member_sf1",
-    "benefits_coverage": "raw_patient_services.benefits_coverage_sf1",
-    "authorization_consent": "raw_patient_services.authorization_consent_sf1",
-    "payer_mapping": "benefit_verification.infinitus_horizon_payer_mapping",
-    "record_type": "raw_veeva.record_type_sf1",
-    "outbound_log": "benefit_verification.log_outbound_infinitus",
-    "allcare_log": "benefit_verification.allcare_extract",
-}
-
-
 def _party_block(prefix: str) -> list[str]:
     return [
         f"{prefix} Street Address",

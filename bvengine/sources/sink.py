@@ -1,26 +1,21 @@
 """Sink: write the work list.
 
 The source statement only returns rows; the caller stores them.  A capped
-list (at most ``cap`` rows) is written as one file, so a vendor gets one
-file per run; an uncapped list keeps Spark's partitioning (no funnel
-through one task).
+list comes out of the cap's merge as one partition, so it is one file; an
+uncapped list keeps Spark's partitioning.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# A capped result is small by construction; above this many rows the single
-# file is not forced.
-SINGLE_FILE_MAX_ROWS = 100_000
 
-
-def write_worklist(df: DataFrame, path: str, fmt: str = "parquet", cap: int | None = None, mode: str = "overwrite") -> None:
-    """Write ``df`` to ``path`` as ``parquet`` or ``csv`` (with a header)."""
+def write_worklist(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
+    """Write ``df`` to ``path`` as ``parquet`` or ``csv`` (with a header).  An
+    earlier list is only replaced with ``mode="overwrite"``."""
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"fmt must be 'parquet' or 'csv', got {fmt!r}")
-    out = df.coalesce(1) if cap is not None and cap <= SINGLE_FILE_MAX_ROWS else df
-    w = out.write.mode(mode)
+    w = df.write.mode(mode)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

@@ -12,11 +12,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from bvengine import config as C
+from bvengine.config import RulesConfig
 from bvengine.sources.loader import DomainTables
 from bvengine.sources.schemas import DOMAIN_SCHEMAS
 
-PT, PR, ST, CT = C.PATIENT_RECORD_TYPE, C.PROVIDER_RECORD_TYPE, C.SITE_RECORD_TYPES[0], C.CONTACT_RECORD_TYPE
+# Fixed values, written here again so that a wrong one in the library shows.
+PT, PR, ST, CT = "01246000000NGFYAA4", "01246000000u0E6AAI", "012460000015LxGAAU", "01246000000NGFNAA4"
+EXCLUDED = ("Alex", "Example")
+CONFIG = RulesConfig(parity="repaired", excluded_providers=(EXCLUDED,))
 AS_OF = dt.datetime(2024, 2, 3, 12, 0)  # cutoff 2024-01-30 08:00
 OLD = dt.datetime(2024, 1, 20, 9, 0)
 RECENT = dt.datetime(2024, 2, 1, 9, 0)
@@ -25,7 +28,7 @@ RECENT = dt.datetime(2024, 2, 1, 9, 0)
 def _pm(i, **kw):
     row = dict(
         id=f"PM{i}", name=f"N{i}", member_mvn__c=f"PAT{i}", status_mvn__c="Pending",
-        status_reason_mvn__c=C.BENEFITS_INVESTIGATION, program_name_mvn__c=C.TEPRO,
+        status_reason_mvn__c="Benefits Investigation", program_name_mvn__c="TEPRO",
         patient_birthdate_mvn__c=dt.date(1980, 1, 1), physician_mvn__c="DOC1", enrolling_physician_mvn__c=None,
         hzn_updated_site_of_care__c=None, site_of_care_mvn__c="SITE1", hzn_asoc_opt_1__c=None,
         hzn_asoc_opt_2__c=None, hzn_asoc_opt_3__c=None, hzn_kxx_primary_diagnosis__c=None,
@@ -55,7 +58,7 @@ def _acct(id_, rt, **kw):
 
 
 def _contact(cid, account, **kw):
-    row = dict(id=cid, account_mvn__c=account, recordtypeid=CT, primary_mvn__c=True, zip_mvn__c="10001",
+    row = dict(id=cid, account_mvn__c=account, recordtypeid=CT, primary_mvn__c=1, zip_mvn__c="10001",
                address_line_1_mvn__c=f"{cid} Main St", address_line_2_mvn__c=None, city_mvn__c="Town",
                state_mvn__c="NY", lastmodifieddate=dt.datetime(2024, 1, 1, 10, 0))
     row.update(kw)
@@ -67,9 +70,9 @@ def _contact(cid, account, **kw):
 # (type, status)), no_patient (bool).
 CASES: dict[int, dict] = {
     1: {},                                                           # clean, kept
-    2: {"pm": dict(program_name_mvn__c=C.KRYSTEXXA, hzn_kxx_primary_diagnosis__c="Other")},
-    3: {"pm": dict(program_name_mvn__c=C.KRYSTEXXA, hzn_kxx_primary_diagnosis__c="M10.9")},
-    4: {"pm": dict(program_name_mvn__c=C.KRYSTEXXA, hzn_kxx_primary_diagnosis__c=None)},
+    2: {"pm": dict(program_name_mvn__c="KRYSTEXXA", hzn_kxx_primary_diagnosis__c="Other")},
+    3: {"pm": dict(program_name_mvn__c="KRYSTEXXA", hzn_kxx_primary_diagnosis__c="M10.9")},
+    4: {"pm": dict(program_name_mvn__c="KRYSTEXXA", hzn_kxx_primary_diagnosis__c=None)},
     5: {"pm": dict(program_name_mvn__c="UPLIZNA")},                   # wrong program
     6: {"pm": dict(status_mvn__c="Active")},                         # wrong status
     7: {"pm": dict(status_reason_mvn__c="Other")},                   # wrong reason
@@ -121,15 +124,19 @@ CASES: dict[int, dict] = {
     45: {"pm": dict(hzn_asoc_opt_1__c="SITE1", hzn_asoc_opt_2__c="SITE_M", hzn_updated_site_of_care__c="SITE_I",
                     site_of_care_mvn__c="SITE1")},
     47: {"no_patient": True},                                        # no patient account: dropped
-    48: {"contacts": [dict(primary_mvn__c=False)]},                  # non-primary contact only: dropped
+    48: {"contacts": [dict(primary_mvn__c=0)]},                  # non-primary contact only: dropped
     49: {"contacts": [dict(recordtypeid="RT-OTHER")]},               # wrong contact record type: dropped
     50: {"bcs": [dict(status_mvn__c="Inactive")]},                   # inactive coverage: dropped
+    51: {"contacts": [dict(primary_mvn__c=2)]},                      # the flag is compared with 1: dropped
+    52: {"contacts": [dict(primary_mvn__c=None)]},                   # dropped
+    53: {"log": [("CV53 N53", OLD, 2), ("CV53 N53", OLD, -1)]},      # the flag is summed: 1, kept
+    54: {"log": [("CV54 N54", OLD, 1), ("CV54 N54", OLD, -1)]},      # sums to 0: dropped
 }
 
 COMMON_KEPT = {
     "CV1 N1", "CV2 N2", "CV3 N3", "CV4 N4", "CV10 N10", "CV17 N17", "CV18 N18", "CV21 N21", "CV22 N22",
     "CV46 N46", "CV30b N30", "CV32 N32", "CV36 N36", " N38", "CV40 N40", "CV41 N41", "CV42 N42", "CV43 N43",
-    "CV44 N44", "CV45 N45",
+    "CV44 N44", "CV45 N45", "CV53 N53",
 }
 EXPECTED = {
     "repaired": COMMON_KEPT | {"CV26b N26", "CV28b N28"},
@@ -154,13 +161,13 @@ def build_rows():
         for t, s in case.get("consents", [("HIPAA Authorization", "Active"), ("CNE/PAM Consent", "Active")]):
             consents.append(dict(program_member_mvn__c=f"PM{i}", status_mvn__c=s, type_mvn__c=t))
         for task, ts, acc in case.get("log", []):
-            log.append({"customer bv task id": task, "extraction_date": ts, "is_accepted": acc})
+            log.append({"customer bv task id": task, "extraction_date": ts, "is_accepted": None if acc is None else int(acc)})
         for task, ts in case.get("log2", []):
             log2.append({"customer bv task id": task, "extraction date": ts})
     accts += [
         _acct("DOC1", PR, firstname="Ann", lastname="Lee", npi_vod__c="1234567890", hzn_tax_id__c="12-3456789"),
-        _acct("DOC_X", PR, firstname=C.EXCLUDED_PROVIDER[0], lastname=C.EXCLUDED_PROVIDER[1], npi_vod__c="1111111111"),
-        _acct("DOC_N1", PR, firstname=None, lastname=C.EXCLUDED_PROVIDER[1]),
+        _acct("DOC_X", PR, firstname=EXCLUDED[0], lastname=EXCLUDED[1], npi_vod__c="1111111111"),
+        _acct("DOC_N1", PR, firstname=None, lastname=EXCLUDED[1]),
         _acct("DOC_N2", PR, firstname=None, lastname="Smith"),
         _acct("DOC_L", PR, firstname="Lia", lastname="Ko", npi_vod__c="NPI 123-456-7890"),
         _acct("DOC_9", PR, firstname="Bo", lastname="Ng", npi_vod__c="123456789"),
@@ -168,7 +175,7 @@ def build_rows():
               hzn_tax_id__c="987654321"),
         _acct("SITE_M", ST, name=None, formatted_name_vod__c="Formatted M", hzn_npi_facility__c="12345",
               hzn_npi_primary_hcp__c="3333333333"),
-        _acct("SITE_I", C.SITE_RECORD_TYPES[1], name="Infusion Co", type="Independent Site of Infusion"),
+        _acct("SITE_I", "01246000000u0DwAAI", name="Infusion Co", type="Independent Site of Infusion"),
         _acct("SITE_NOT", "RT-OTHER", name="Not a site"),
     ]
     contacts += [

@@ -1,10 +1,8 @@
 import pytest
 
-from bvengine import config as C
-from bvengine.config import DEFAULT
 from bvengine.plans.extract import benefit_verification_extract
 from bvengine.sources.schemas import OUTPUT_COLUMNS, OUTPUT_SCHEMA
-from golden import AS_OF, EXPECTED, golden_tables
+from golden import AS_OF, CONFIG, EXPECTED, golden_tables
 
 
 @pytest.fixture(scope="module")
@@ -13,25 +11,21 @@ def tables(spark):
 
 
 def run(tables, parity="repaired", cap=None, **kw):
-    return benefit_verification_extract(tables, AS_OF, DEFAULT.with_(parity=parity, cap=cap), **kw)
+    return benefit_verification_extract(tables, AS_OF, CONFIG.with_(parity=parity, cap=cap), **kw)
 
 
 @pytest.mark.parametrize("parity", ["repaired", "intent", "as_written"])
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_kept_task_ids(tables, parity, broadcast):
-    df = run(tables, parity, broadcast_sites=broadcast, broadcast_payers=broadcast, broadcast_providers=broadcast,
-             reduce_by_members=broadcast)
+@pytest.mark.parametrize("options", [{}, {"join_hint": "merge"}, {"reduce_by_members": True}])
+def test_kept_task_ids(tables, parity, options):
+    df = run(tables, parity, **options)
     got = {r[0] for r in df.select("`Customer BV Task ID`").collect()}
     assert got == EXPECTED[parity]
 
 
-@pytest.mark.parametrize("parity", ["repaired", "intent", "as_written"])
-def test_member_reduction_changes_nothing(tables, parity):
-    def ids(reduce):
-        df = run(tables, parity, reduce_by_members=reduce)
-        return sorted(tuple(r) for r in df.collect())
-
-    assert ids(True) == ids(False)
+def test_no_provider_excluded(tables):
+    """Without a pair to exclude the provider join is a plain LEFT JOIN."""
+    got = {r[0] for r in benefit_verification_extract(tables, AS_OF, CONFIG.with_(excluded_providers=())).collect()}
+    assert got == EXPECTED["repaired"] | {"CV14 N14", "CV15 N15", "CV16 N16"}
 
 
 def test_output_schema(tables):
@@ -58,7 +52,7 @@ def test_payer_mapped_twice_fans_out(rows):
 
 
 def test_blues_fallback(rows):
-    assert one(rows, "CV21 N21")["Infinitus Payer ID"] == C.BLUES_FALLBACK_PAYER_ID
+    assert one(rows, "CV21 N21")["Infinitus Payer ID"] == "4ac3679b-7123-450e-ae60-3960770a7f51"
     assert one(rows, "CV46 N46")["Customer Payer Name"] == "PayerA"
 
 
@@ -75,9 +69,9 @@ def test_diagnosis_slots(rows):
 
 def test_facility_and_product(rows):
     r1, r2 = one(rows, "CV1 N1"), one(rows, "CV2 N2")
-    assert r1["Facility Type"] == C.FACILITY_INFUSION_CENTER and r1["Product Code #1"] == "75987013015"
-    assert r2["Facility Type"] == C.FACILITY_SPECIALIST_OFFICE and r2["Product Code #1"] == "7598708010"
-    assert [r1[f"CPT Code #{i}"] for i in range(1, 5)] == list(C.CPT_CODES)
+    assert r1["Facility Type"] == "INF_FACILITY_TYPE_INFUSION_CENTER" and r1["Product Code #1"] == "75987013015"
+    assert r2["Facility Type"] == "INF_FACILITY_TYPE_SPECIALIST_OFFICE" and r2["Product Code #1"] == "7598708010"
+    assert [r1[f"CPT Code #{i}"] for i in range(1, 5)] == [96365, 96366, 96413, 96415]
 
 
 def test_contacts_states_zips(rows):
@@ -123,9 +117,9 @@ def test_cap_is_deterministic(tables):
     assert ids == [r[0] for r in run(tables, cap=3).select("`Customer BV Task ID`").collect()]
 
 
-def test_default_cap_is_1024(tables):
-    assert DEFAULT.cap == 1024
-    assert run(tables, cap=DEFAULT.cap).count() == len(EXPECTED["repaired"]) + 1  # PayerB fans out
+def test_all_rows_without_a_cap(tables):
+    assert CONFIG.cap is None
+    assert run(tables).count() == len(EXPECTED["repaired"]) + 1  # PayerB fans out
 
 
 def test_case_insensitive_collation(spark):

@@ -10,7 +10,7 @@ from bvengine.sources.loader import load, read_table
 def test_invalid_parameters_raise(spark):
     df = spark.createDataFrame([("a", "x")], "k string, v string")
     with pytest.raises(ValueError):
-        RulesConfig(parity="whatever")
+        RulesConfig(parity="whatever", excluded_providers=())
     with pytest.raises(ValueError):
         ordered_case([])
     with pytest.raises(ValueError):
@@ -43,16 +43,28 @@ def test_left_join_on_inert_keeps_every_left_row(spark):
     assert [r["k"] for r in filt.collect()] == [2]
 
 
-def test_spread_null_key_spreads_and_never_matches(spark):
-    from bvengine.operators import role_join, spread_null_key
+def test_salt_spreads_nulls_and_never_matches(spark):
+    from bvengine.operators import role_join, salt_of
 
     rows = [(f"r{i}", None if i % 3 else f"S{i % 5}") for i in range(300)]   # two thirds NULL
     df = spark.createDataFrame(rows, "rid string, site string")
-    keys = df.select(spread_null_key(F.col("site"), ["rid"], 16).alias("k"), "site")
-    salted = keys.filter(F.col("site").isNull()).select("k").distinct().count()
-    assert salted >= 12                                   # NULL keys land on many values, not one
-    assert keys.filter(F.col("site").isNotNull() & (F.col("k") != F.col("site"))).count() == 0
-    dim = spark.createDataFrame([(f"S{i}", f"name{i}") for i in range(5)], "id string, name string")
-    spread = role_join(df, dim, "site", "s_", spread_by=["rid"], null_buckets=16)
-    plain = role_join(df, dim, "site", "s_")
-    assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    salts = df.select("site", salt_of(F.col("site"), ["rid"], 16).alias("s"))
+    assert salts.filter(F.col("site").isNull()).select("s").distinct().count() == 200
+    assert salts.filter(F.col("site").isNotNull() & ~F.col("s").between(0, 15)).count() == 0
+    dim = spark.createDataFrame([(f"S{i}", f"name{i}") for i in range(5)] + [(None, "none")], "id string, name string")
+    got = role_join(df, dim, "site", "s_", by=["rid"])
+    want = df.join(dim.select(F.col("id").alias("s_id"), F.col("name").alias("s_name")), F.col("site") == F.col("s_id"), "left")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_dealt_join_keeps_the_join_types(spark):
+    from bvengine.operators import dealt_join
+
+    left = spark.createDataFrame([(i, k) for i, k in enumerate([1, 1, 2, None, 3, None])], "i int, k int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n"), (9, "z")], "rk int, v string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        for salts in (1, 4):
+            got = dealt_join(left, right, "k", "rk", how, salts=salts)
+            want = left.join(right, left["k"] == right["rk"], how)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), how

@@ -6,12 +6,11 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from bvengine.config import DEFAULT
 from bvengine.plans import rules as R
 from bvengine.plans.extract import benefit_verification_extract
 from bvengine.sources.loader import DomainTables, SchemaError, load
 from bvengine.sources.schemas import DOMAIN_SCHEMAS
-from golden import AS_OF, golden_tables
+from golden import AS_OF, CONFIG, golden_tables
 
 
 def plan_text(df, mode="formatted"):
@@ -38,27 +37,54 @@ def test_latest_contact_uses_window_group_limit(spark, parquet_tables):
     assert "WindowGroupLimit" in txt
 
 
-def test_extract_has_no_python_udf_and_broadcasts_dimensions(parquet_tables):
-    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_extract_is_native_and_capped_by_a_top_n(parquet_tables):
+    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, CONFIG.with_(cap=1024)))
+    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "Cartesian", "NestedLoop"):
         assert node not in txt
-    assert "BroadcastHashJoin" in txt
     assert "TakeOrderedAndProject" in txt
     # the eight IN lists are one aggregation + LEFT JOIN, not existence joins
     assert "ExistenceJoin" not in txt
 
 
-def test_filters_reach_the_scan(parquet_tables):
-    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT))
-    # the program / status gate is pushed into the program-member scan
-    assert "PushedFilters: [IsNotNull(status_mvn__c), IsNotNull(status_reason_mvn__c), In(program_name_mvn__c" in txt \
-        or ("In(program_name_mvn__c" in txt and "EqualTo(status_mvn__c,Pending)" in txt)
+def test_building_the_plan_runs_no_job(spark, parquet_tables):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-building", "")
+    try:
+        benefit_verification_extract(parquet_tables, AS_OF, CONFIG)
+        assert list(tracker.getJobIdsForGroup("plan-building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_contacts_are_ranked_once_and_accounts_read_once(parquet_tables, no_broadcast):
+    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, CONFIG), "simple")
+    final = txt.split("== Physical Plan ==")[1]
+    assert final.count("+- Window [row_number()") == 1, final
+    assert final.count("/contact_info]") == 1 and final.count("/account]") == 1
 
 
-def test_shuffled_fallback_spreads_null_keys(parquet_tables):
-    df = benefit_verification_extract(parquet_tables, AS_OF, DEFAULT, broadcast_sites=False, broadcast_payers=False)
-    txt = plan_text(df)
-    assert "xxhash64" in txt
+def test_merge_hint_leaves_no_broadcast(parquet_tables):
+    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, CONFIG, join_hint="merge"), "simple")
+    assert "BroadcastHashJoin" not in txt and "SortMergeJoin" in txt
+    df = benefit_verification_extract(parquet_tables, AS_OF, CONFIG, join_hint="merge")
+    df.collect()
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_reach_the_scan(parquet_tables):
+    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, CONFIG))
+    # the program / status gate is pushed into the program-member scan
+    pushed = [x for x in txt.splitlines() if x.startswith("PushedFilters") and "program_name_mvn__c" in x]
+    assert len(pushed) >= 1  # the gated members, and their ids for a runtime filter
+    assert "In(program_name_mvn__c" in pushed[0] and "EqualTo(status_mvn__c,Pending)" in pushed[0]
+    assert "EqualTo(status_reason_mvn__c,Benefits Investigation)" in pushed[0]
 
 
 def test_load_rejects_missing_columns(spark, tmp_path):
@@ -77,24 +103,38 @@ def test_load_casts_and_prunes(spark, tmp_path):
     assert df.filter(F.col("payer_name") == "A").count() == 1
 
 
-def test_member_reduction_cuts_contacts_before_the_window(parquet_tables):
-    txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT, reduce_by_members=True))
-    assert "LeftSemi" in txt
-    off = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT, reduce_by_members=False))
-    assert off.count("LeftSemi") < txt.count("LeftSemi")
+def test_member_reduction_adds_semi_joins(parquet_tables):
+    on, off = (plan_text(benefit_verification_extract(parquet_tables, AS_OF, CONFIG, reduce_by_members=x)) for x in (True, False))
+    assert on.count("LeftSemi") > off.count("LeftSemi")
+
+
+def test_instants_need_a_time_zone(spark):
+    import datetime as dt
 
+    from bvengine.sources.loader import conform
 
-def test_member_reduction_is_automatic_for_large_member_tables(parquet_tables):
-    small = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT))
-    large = plan_text(benefit_verification_extract(parquet_tables, AS_OF, DEFAULT.with_(reduce_min_members=10)))
-    assert large.count("LeftSemi") > small.count("LeftSemi")
+    schema = DOMAIN_SCHEMAS["allcare_log"]
+    was = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            df = spark.sql("SELECT 't' AS `customer bv task id`, timestamp_micros(s) AS `extraction date` "
+                           "FROM VALUES (1706961600000000), (1720440000123456), (CAST(NULL AS BIGINT)), (-86400000000) AS t(s)")
+            with pytest.raises(SchemaError):
+                conform(df, schema)
+            got = [r[1] for r in conform(df, schema, time_zone="America/Chicago").collect()]
+            assert got == [dt.datetime(2024, 2, 3, 6), dt.datetime(2024, 7, 8, 7, 0, 0, 123456), None, dt.datetime(1969, 12, 30, 18)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
 
 
-def test_bounded_sizes_per_side_bounds(spark):
-    from bvengine.operators import bounded_sizes
+def test_flags_stay_integers(spark):
+    from bvengine.sources.loader import conform
 
-    got = bounded_sizes({"a": spark.range(5), "b": spark.range(50)}, {"a": 5, "b": 10})
-    assert got == {"a": True, "b": False}
+    df = spark.createDataFrame([(None, None, v) for v in (0, 1, 2, -1, None)], "`customer bv task id` string, extraction_date timestamp_ntz, is_accepted int")
+    assert [r[2] for r in conform(df, DOMAIN_SCHEMAS["outbound_log"]).collect()] == [0, 1, 2, -1, None]
+    bits = spark.createDataFrame([(None, None, v) for v in (True, False, None)], "`customer bv task id` string, extraction_date timestamp_ntz, is_accepted boolean")
+    assert [r[2] for r in conform(bits, DOMAIN_SCHEMAS["outbound_log"]).collect()] == [1, 0, None]
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
