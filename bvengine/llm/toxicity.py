@@ -177,6 +177,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def chosen(found: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """The patterns worth keeping of those found, (toxic documents, weight) each: a beginning only where no single
+    word accounts for it, at its greatest length, and words and longer beginnings only where none kept covers them."""
+    whole = [p for p in found if not p.endswith("*")]
+    starts = sorted((p for p in found if p.endswith("*")), key=len)
+    kept: dict[str, float] = {}
+    for p in starts:
+        k, weight = found[p]
+        one_word = any(found[w][0] >= 0.8 * k for w in whole if w.startswith(p[:-1]))
+        longer = any(found[q][0] >= 0.95 * k for q in starts if len(q) > len(p) and q.startswith(p[:-1]))
+        covered = any(p.startswith(q[:-1]) and v >= weight - 0.5 for q, v in kept.items())
+        if not (one_word or longer or covered):
+            kept[p] = weight
+    for p in whole:
+        if not any(p.startswith(q[:-1]) and v >= found[p][1] - 0.5 for q, v in kept.items()):
+            kept[p] = found[p][1]
+    return kept
+
+
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES, patterns: int = PATTERNS) -> Grammar:
     """A grammar from labelled documents (doc_id, toxic) that are not held out."""
     base = Grammar()
@@ -208,14 +227,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
             .limit(patterns)
             .collect()
         )
-        words_ = dict(base.words)
-        best = {r["p"]: r for r in found}
-        for p, row in best.items():
-            stem = p.rstrip("*")
-            # a longer pattern is kept only where no shorter beginning says the same or more
-            shorter = [best.get(stem[:n] + "*") for n in PREFIXES if n < len(stem) or n == len(stem) and not p.endswith("*")]
-            if not any(s and s["weight"] >= row["weight"] - 0.5 for s in shorter):
-                words_[p] = min(6.0, max(1.0, float(row["weight"])))
+        words_ = base.words | {p: min(6.0, max(1.0, float(w))) for p, w in chosen({r["p"]: (r["k1"], r["weight"]) for r in found}).items()}
         grammar = Grammar(words_)
         rows = sample.select("toxic", _features(grammar)(F.col("text")).alias("f")).select("toxic", "f.*").collect()  # bounded by the sample
         data = np.array([tuple(x) for x in rows], float)

@@ -59,6 +59,12 @@ def test_learns_from_labels_and_scores_all_rows(spark):
     assert {r["doc_id"] for r in clean.collect()} == {i for i in by if not by[i]["predicted"]}
 
 
+def test_patterns_are_as_specific_as_the_words_allow():
+    found = {"scu*": (50, 5.0), "scum*": (50, 5.0), "scum": (50, 5.0), "low*": (60, 5.0), "lowe*": (60, 5.0), "lowei*": (59, 5.0), "loweis": (20, 5.0), "lowein": (15, 5.0)}
+    assert X.chosen(found) == {"lowei*": 5.0, "scum": 5.0}
+    assert X.chosen({}) == {}
+
+
 def test_labels_of_held_out_rows_change_nothing(spark):
     rows, labels = corpus()
     docs = documents(spark, rows)
