@@ -11,10 +11,13 @@ L / (n + m - L), a Jaccard coefficient that respects order. Pairs of `threshold`
 documents of similarity 0.8 are missed by all bands with a probability below 0.002; at 0.85 below 0.0001.
 
 No bucket gives all its pairs. Documents of equal word sequences are one class. In each bucket the classes are
-first compared with one leader: in round one each class with the smallest leader of its buckets, in round two with
-the leaders of all its buckets that are not yet connected with it; only classes that share a bucket and are still
-in different components are then compared pair by pair. Links between classes that are connected already need no
-check, since the result is the connected components.
+first compared with one head, the class whose buckets are largest (the centre of a family of copies): in round one
+each class with the head of its largest family, in round two with the heads of all its buckets that it is not yet
+connected with. Links between classes that are connected need no check, since the result is the connected
+components. What is left, pairs of classes that share a bucket in different components, is compared pair by pair,
+but for those that an exact bound excludes. A class's k-mers are dealt by hash over about as many bins, and a bin
+holds the exclusive or of their one-byte hashes: where two classes differ in D bins, at least D of their n + m
+k-mers are unmatched, so L <= (n + m - D) / 2. Buckets are compared in blocks of bounded size.
 
 Texts without words (null, empty, only punctuation) are each a group of their own, as they have nothing to
 compare. Documents of fewer than K words are one k-mer. Rows that repeat an id are separate rows of one class or
@@ -40,6 +43,8 @@ BANDS, PICKS = 28, 7
 WORD = re.compile(r"[^\W_]+")
 #: Elements of the hash matrix of one pass: longer documents take the bands a few at a time.
 MATRIX = 1 << 21
+#: Bins of the bound at most, and rows of a block of an open bucket.
+MOST_BINS, BLOCK = 4096, 1024
 
 
 class Words(dict):
@@ -130,7 +135,7 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
 
 
 def sequences(docs: DataFrame, bands: int, picks: int) -> DataFrame:
-    """Per row of (doc_id, text): class (hash of the word sequence, null without words), words, bucket keys."""
+    """Per row of (doc_id, text): row, digest of the word sequence (null without words), words, bucket keys."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Words()
@@ -142,21 +147,21 @@ def sequences(docs: DataFrame, bands: int, picks: int) -> DataFrame:
                     if len(w):
                         data = w.astype("<u4").tobytes()
                         keys = sketch(kmers(w), bands, picks).view(np.int64)
-                        out.append((doc_id, hashlib.blake2b(data, digest_size=16).hexdigest(), data, keys))
+                        out.append((doc_id, hashlib.blake2b(data, digest_size=16).digest(), data, keys))
                     else:
                         out.append((doc_id, None, None, None))
-                yield pd.DataFrame(out, columns=["doc_id", "class", "words", "keys"])
+                yield pd.DataFrame(out, columns=["doc_id", "digest", "words", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = rows.mapInPandas(of, "doc_id string, class string, words binary, keys array<long>")
-    return made.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    made = rows.mapInPandas(of, "doc_id string, digest binary, words binary, keys array<long>")
+    return made.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)).withColumn("row", F.monotonically_increasing_id())
 
 
 def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of classes whose similarity reaches the threshold. Only the words of classes in some pair
     are moved; each side comes by an equi-join, whose large partitions Spark splits."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    texts = words.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("words").alias("words"))
+    texts = words.join(wanted, "class", "left_semi")
     both = pairs.join(texts.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b").join(
         texts.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a"
     )
@@ -169,41 +174,115 @@ def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
             ]
             yield pdf.loc[np.array(good, bool), ["a", "b"]]
 
-    return both.select("a", "b", "wa", "wb").mapInPandas(similar, "a string, b string")
+    return both.select("a", "b", "wa", "wb").mapInPandas(similar, "a long, b long")
+
+
+def bins(h: np.ndarray) -> np.ndarray:
+    """Bytes of the bins of a class: a power of two of them, 3/4 of the k-mers or more, at most MOST_BINS."""
+    count = min(MOST_BINS, 1 << max(4, int(np.ceil(np.log2(0.75 * len(h))))))
+    x = mix(h + np.uint64(0xA0761D6478BD642F))
+    out = np.zeros(count, np.uint8)
+    np.bitwise_xor.at(out, (x & np.uint64(count - 1)).astype(np.intp), (x >> np.uint64(56)).astype(np.uint8))
+    return out
+
+
+def folded(b: np.ndarray, count: int) -> np.ndarray:
+    """The bins of a class as if there were only `count`."""
+    return np.bitwise_xor.reduce(b.reshape(-1, count), axis=0)
+
+
+def open_pairs(threshold: float):
+    def of(group: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of a block of left and a block of right classes that the bound does not exclude."""
+        out = []
+        sides = []
+        for left in (True, False):
+            part = group[group["left"] == left]
+            sides.append((part["class"].to_numpy(), part["part"].to_numpy(), part["n"].to_numpy(), [np.frombuffer(x, np.uint8) for x in part["bins"]]))
+        (ca, pa, na, ba), (cb, pb, nb, bb) = sides
+        tables: dict = {}  # the right side, folded to each number of bins that is needed
+        for k in range(len(ca)):
+            near = (cb > ca[k]) & (pb != pa[k])
+            near &= np.minimum(nb, na[k]) >= threshold * np.maximum(nb, na[k])
+            for size in {len(bb[i]) for i in np.flatnonzero(near)}:
+                count = min(size, len(ba[k]))
+                if (size, count) not in tables:
+                    rows = np.array([i for i, x in enumerate(bb) if len(x) == size])
+                    tables[size, count] = rows, np.array([folded(bb[i], count) for i in rows])
+                rows, table = tables[size, count]
+                use = near[rows]
+                differ = (table[use] != folded(ba[k], count)).sum(axis=1)
+                good = rows[use][differ <= (nb[rows[use]] + na[k]) * (1 - threshold) / (1 + threshold) + 1e-9]
+                out.append(pd.DataFrame({"a": ca[k], "b": cb[good]}))
+        return pd.concat(out) if out else pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+
+    return of
+
+
+def candidates(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per class of `wanted`: words, n (its k-mers) and bins. The only step that moves all documents' words."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            h = [kmers(np.frombuffer(x, "<u4")) for x in pdf["words"]]
+            yield pdf.assign(n=[len(x) for x in h], bins=[bins(x).tobytes() for x in h])
+
+    found = rows.select(F.col("row").alias("class"), "words").join(wanted.hint("merge"), "class", "left_semi")
+    return found.mapInPandas(of, "class long, words binary, n long, bins binary")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, picks: int = PICKS) -> DataFrame:
     """Per row of (doc_id, text): class_id (smallest doc_id of its group), class_size and kept."""
-    rows = stored(sequences(docs, bands, picks).withColumn("row", F.monotonically_increasing_id()), "sequences")
-    words = rows.where("class is not null").select("class", "words")
-    keys = rows.where("class is not null").select("class", F.explode("keys").alias("key")).distinct()
-    heads = keys.groupBy("key").agg(F.min("class").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "head")
-    buckets = stored(keys.join(heads, "key"), "buckets")
+    rows = stored(sequences(docs, bands, picks), "sequences")
+    # a class is named by the first row that holds its words
+    first_row = rows.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"))
+    member = stored(rows.select("doc_id", "row", "digest").join(first_row, "digest", "left").select("doc_id", "row", "class"), "members")
+    heads_of = member.where("row = class").select("class")
+    keys = rows.select(F.col("row").alias("class"), "keys").join(heads_of, "class", "left_semi").select("class", F.explode("keys").alias("key"))
+    keys = keys.repartition("key")  # the sizes and the join with them share this shuffle
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = stored(keys.join(sizes, "key"), "shared")
+    words = stored(candidates(rows, shared.select("class").distinct()), "candidates")
+    score = shared.groupBy("class").agg(F.sum("c").alias("score"))
+    heads = shared.join(score, "class").groupBy("key").agg(F.max_by("class", "score").alias("head"), F.max("score").alias("head_score"))
+    buckets = stored(shared.select("key", "class").join(heads, "key"), "buckets")
+
+    def now(links: DataFrame) -> DataFrame:
+        return components(links).withColumnRenamed("node", "class")
+
+    def opened(links: DataFrame, name: str) -> DataFrame:
+        """The buckets that still hold several components, with each class's component as `part`."""
+        part = F.coalesce("component", "class").alias("part")
+        all_ = stored(buckets.join(now(links), "class", "left").select("key", "class", "head", part), name)
+        split = all_.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+        return all_.join(split, "key", "left_semi")
 
     star = buckets.where("class <> head")
-    first = stored(star.groupBy("class").agg(F.min("head").alias("a")).select("a", F.col("class").alias("b")), "pairs1")
-    links = stored(verify(first, words, threshold), "links1")
-    for step in (2, 3):
-        reached = components(links).withColumnRenamed("node", "class")
-        part = lambda col: F.coalesce(F.col(col), F.col("class"))
-        open_ = stored(buckets.join(reached, "class", "left").select("key", "class", "head", part("component").alias("part")), f"open{step}")
-        split = open_.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
-        open_ = open_.join(split, "key", "left_semi")
-        if step == 2:
-            of_head = open_.where("class = head").select("key", F.col("part").alias("head_part"))
-            pairs = open_.join(of_head, "key").where("part <> head_part").select(F.col("head").alias("a"), F.col("class").alias("b"))
-        else:
-            left = open_.select("key", F.col("class").alias("a"), F.col("part").alias("pa"))
-            right = open_.select("key", F.col("class").alias("b"), F.col("part").alias("pb"))
-            pairs = left.join(right, "key").where("pa <> pb and a < b").select("a", "b")
-        pairs = stored(pairs.distinct().join(first, ["a", "b"], "left_anti"), f"pairs{step}")
-        first = first.unionByName(pairs)
-        links = links.unionByName(stored(verify(pairs, words, threshold), f"links{step}"))
-    reached = components(links).withColumnRenamed("node", "class")
-    alone = F.concat(F.lit("row "), F.col("row").cast("string"))
-    grouped = stored(
-        rows.select("doc_id", "row", "class").join(reached, "class", "left").select("doc_id", F.coalesce("component", "class", alone).alias("group")), "grouped"
-    )
+    tried = stored(star.groupBy("class").agg(F.max_by("head", "head_score").alias("a")).select("a", F.col("class").alias("b")), "pairs1")
+    links = stored(verify(tried, words, threshold), "links1")
+
+    open_ = opened(links, "open2")
+    of_head = open_.where("class = head").select("key", F.col("part").alias("head_part"))
+    pairs = open_.join(of_head, "key").where("part <> head_part").select(F.col("head").alias("a"), F.col("class").alias("b"))
+    pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs2")
+    tried = tried.unionByName(pairs)
+    links = links.unionByName(stored(verify(pairs, words, threshold), "links2"))
+
+    open_ = opened(links, "open3")
+    sizes = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    open_ = open_.join(sizes, "key").join(words.select("class", "n", "bins"), "class").select("key", "class", "part", "n", "bins", "blocks")
+    open_ = stored(open_, "open4")
+    own = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    left = open_.select("*", own.alias("i"), F.lit(True).alias("left")).withColumn("j", every)
+    right = open_.select("*", own.alias("j"), F.lit(False).alias("left")).withColumn("i", every)
+    pairs = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(open_pairs(threshold), "a long, b long")
+    both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = stored(pairs.distinct().join(both_ways, ["a", "b"], "left_anti"), "pairs3")
+    links = links.unionByName(stored(verify(pairs, words, threshold), "links3"))
+
+    alone = -1 - F.col("row")  # rows without words, apart from all classes
+    grouped = stored(member.join(now(links), "class", "left").select("doc_id", F.coalesce("component", "class", alone).alias("group")), "grouped")
     sizes = grouped.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return grouped.join(sizes, "group").select(
         "doc_id", "class_id", "class_size", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept")
@@ -213,4 +292,5 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, p
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with one row of each group: the one with the smallest doc_id. Rows without an id stay only where
     their group has no id at all."""
-    return docs.join(classes(docs, threshold).where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    gone = classes(docs, threshold).where("not kept").select("doc_id").distinct()
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti")  # alike at every size: never a broadcast

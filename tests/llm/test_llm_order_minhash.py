@@ -2,6 +2,7 @@ import random
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from bvengine.llm import order_minhash as O
@@ -112,6 +113,21 @@ def test_alignment_against_the_plain_table(seed):
     assert O.aligned(x, y) == O.aligned(y, x)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_the_bound_excludes_no_link(seed):
+    r = random.Random(seed)
+    texts = [" ".join(prose(s, r.choice([6, 30, 150, 700]))) for s in range(3)]
+    texts += [edited(t, r.randrange(9), k) for k in range(8) for t in texts]
+    table = O.Words()
+    h = [O.kmers(O.words_of(t, table)) for t in texts]
+    group = pd.DataFrame({"class": range(len(h)), "part": range(len(h)), "n": map(len, h), "bins": [O.bins(x).tobytes() for x in h]})
+    both = pd.concat([group.assign(left=True), group.assign(left=False)])
+    got = set(map(tuple, O.open_pairs(O.THRESHOLD)(both).itertuples(index=False)))
+    want = {(i, j) for j in range(len(h)) for i in range(j) if O.aligned(h[i], h[j]) >= O.THRESHOLD}
+    assert want <= got and len(got) < 0.8 * len(h) * (len(h) - 1) / 2
+    assert (O.folded(O.bins(h[0]), 16) == np.bitwise_xor.reduce(O.bins(h[0]).reshape(-1, 16))).all()
+
+
 def test_sketch_sees_order_and_repetition():
     table = O.Words()
     a = O.kmers(O.words_of(" ".join(prose(1, 300)), table))
