@@ -18,6 +18,7 @@ need. Repeated rows are packed each. Extra columns are not read. An empty table
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +32,7 @@ from bvengine.llm.common import stored
 
 LENGTH, END = 1024, 0
 FEATURES, DIMS, BITS = 256, 4, 12
+OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 @lru_cache(maxsize=2)
@@ -50,6 +52,39 @@ def directions() -> np.ndarray:
     return np.random.default_rng(20240229).standard_normal((FEATURES, DIMS))
 
 
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 for itself, the other
+    bytes, in order, for the characters from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+@lru_cache(maxsize=2)
+def merger(path: str):
+    """The vocabulary of the tokenizer's file for the faster merging library; ids are the file's. Its special tokens,
+    which have no merges, are left out."""
+    import public_tokenizers
+    import tiktoken
+
+    t, to_byte = tokenizer(path), byte_of()
+    special = {x.content for x in t.get_added_tokens_decoder().values()}
+    ranks = {bytes(map(to_byte.__getitem__, word)): i for word, i in t.get_vocab().items() if word not in special}
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def encode(path: str, texts: list[str], kind: str) -> list[bytes]:
+    """Ids of each text as the tokenizer gives them. Letters, digits, punctuation and plain white space are classed
+    alike by both libraries; a text with other white space goes through the tokenizer itself."""
+    fast = merger(path)
+    return [
+        np.array(tokenizer(path).encode(t, add_special_tokens=False).ids, kind).tobytes()
+        if OTHER_SPACE.search(t)
+        else fast.encode_to_numpy(t, disallowed_special=()).astype(kind).tobytes()
+        for t in texts
+    ]
+
+
 def vectors(ids: list[np.ndarray]) -> np.ndarray:
     """A point in DIMS dimensions per document."""
     out = np.zeros((len(ids), FEATURES))
@@ -103,17 +138,16 @@ def tokens(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     """Per row of (doc_id, text): its ids with the end id (16 bits each where the vocabulary allows), n and key."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = tokenizer(path)
-        kind = "<u2" if t.get_vocab_size() <= 1 << 16 else "<u4"
+        kind = "<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
+        last = np.array([end], kind).tobytes()
         for pdf in batches:
             for start in range(0, len(pdf), 64):
                 part = pdf.iloc[start : start + 64]
-                got = t.encode_batch_fast([x if isinstance(x, str) else "" for x in part["text"]], add_special_tokens=False)
-                ids = [np.array(e.ids, kind) for e in got]
-                data = [np.append(i, np.array([end], kind)).tobytes() for i in ids]
+                data = encode(path, [x if isinstance(x, str) else "" for x in part["text"]], kind)
+                ids = [np.frombuffer(x, kind) for x in data]
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].values, "n": [len(i) + 1 for i in ids], "key": keys(ids).astype(np.int64),
-                    "width": int(kind[2]), "ids": data,
+                    "width": int(kind[2]), "ids": [x + last for x in data],
                 })
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))

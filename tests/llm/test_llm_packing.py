@@ -43,6 +43,21 @@ def test_pieces_rebuild_every_document(spark, length):
     check(rows, got, length)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "word", "don't", "'s", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", "\u2003", "\x1c", "é", "中", "12", "!!", ".", "🙂", "<|endoftext|>", "_", "²"]), max_size=25).map("".join))
+def test_ids_are_the_tokenizers(text):
+    want = P.tokenizer(PATH).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(P.encode(PATH, [text, "x"], "<u2")[0], "<u2").tolist() == want
+
+
+def test_ids_of_the_given_texts_are_the_tokenizers():
+    import pyarrow.parquet as pq
+
+    texts = [x or "" for x in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()]
+    want = P.tokenizer(PATH).encode_batch(texts, add_special_tokens=False)
+    assert P.encode(PATH, texts, "<u2") == [np.array(e.ids, "<u2").tobytes() for e in want]
+
+
 def test_edges(spark):
     assert P.pack(documents(spark, [(1, "a")]).limit(0), PATH).count() == 0
     got = P.pack(documents(spark, [(None, "a b"), (1, "a b"), (1, "a b")]), PATH).collect()
