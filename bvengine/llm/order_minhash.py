@@ -247,28 +247,31 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, p
     heads = shared.join(score, "class").groupBy("key").agg(F.max_by("class", "score").alias("head"), F.max("score").alias("head_score"))
     buckets = stored(shared.select("key", "class").join(heads, "key"), "buckets")
 
-    def now(links: DataFrame) -> DataFrame:
+    def connected(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+        """Components (class, component) of the links and of those found before, which come as stars."""
+        if before is not None:
+            links = links.unionByName(before.select(F.col("class").alias("a"), F.col("component").alias("b")))
         return components(links).withColumnRenamed("node", "class")
 
-    def opened(links: DataFrame, name: str) -> DataFrame:
+    def opened(reached: DataFrame, name: str) -> DataFrame:
         """The buckets that still hold several components, with each class's component as `part`."""
         part = F.coalesce("component", "class").alias("part")
-        all_ = stored(buckets.join(now(links), "class", "left").select("key", "class", "head", part), name)
+        all_ = stored(buckets.join(reached, "class", "left").select("key", "class", "head", part), name)
         split = all_.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
         return all_.join(split, "key", "left_semi")
 
     star = buckets.where("class <> head")
     tried = stored(star.groupBy("class").agg(F.max_by("head", "head_score").alias("a")).select("a", F.col("class").alias("b")), "pairs1")
-    links = stored(verify(tried, words, threshold), "links1")
+    reached = connected(stored(verify(tried, words, threshold), "links1"))
 
-    open_ = opened(links, "open2")
+    open_ = opened(reached, "open2")
     of_head = open_.where("class = head").select("key", F.col("part").alias("head_part"))
     pairs = open_.join(of_head, "key").where("part <> head_part").select(F.col("head").alias("a"), F.col("class").alias("b"))
     pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs2")
     tried = tried.unionByName(pairs)
-    links = links.unionByName(stored(verify(pairs, words, threshold), "links2"))
+    reached = connected(stored(verify(pairs, words, threshold), "links2"), reached)
 
-    open_ = opened(links, "open3")
+    open_ = opened(reached, "open3")
     sizes = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     open_ = open_.join(sizes, "key").join(words.select("class", "n", "bins"), "class").select("key", "class", "part", "n", "bins", "blocks")
     open_ = stored(open_, "open4")
@@ -279,10 +282,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, p
     pairs = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(open_pairs(threshold), "a long, b long")
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = stored(pairs.distinct().join(both_ways, ["a", "b"], "left_anti"), "pairs3")
-    links = links.unionByName(stored(verify(pairs, words, threshold), "links3"))
+    reached = connected(stored(verify(pairs, words, threshold), "links3"), reached)
 
     alone = -1 - F.col("row")  # rows without words, apart from all classes
-    grouped = stored(member.join(now(links), "class", "left").select("doc_id", F.coalesce("component", "class", alone).alias("group")), "grouped")
+    grouped = stored(member.join(reached, "class", "left").select("doc_id", F.coalesce("component", "class", alone).alias("group")), "grouped")
     sizes = grouped.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return grouped.join(sizes, "group").select(
         "doc_id", "class_id", "class_size", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept")
