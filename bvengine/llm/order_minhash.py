@@ -7,8 +7,13 @@ bucket key. Documents that share a bucket are candidates: order and repetition c
 
 Candidates are verified by banded alignment of the labelled k-mers: the longest common subsequence L of both, in
 the band of diagonals that the threshold leaves (|i - j| <= n + m - 2L at the least L), gives the similarity
-L / (n + m - L), a Jaccard coefficient that respects order. Pairs of `threshold` = 0.8 or more are linked. Two
-documents of similarity 0.8 are missed by all bands with a probability below 0.002; at 0.85 below 0.0001.
+L / (n + m - L), a Jaccard coefficient that respects order. Pairs of `threshold` = 0.8 or more are linked. A pair
+that shares I of U k-mers shares a band with the chance C(I, 7) / C(U, 7), so few k-mers make bands a poor search.
+Pairs with a document of at most `threshold` * SHORT = 60 k-mers are therefore searched exactly, by a prefix filter
+and not by bands: the k-mers of every class of at most SHORT are ordered by one order that all classes share, those
+that many classes hold last, and the first n - ceil(threshold * n) + 1 of them are bucket keys. Two classes that reach
+the threshold share such a key, whatever the order. Above 60 k-mers the bands miss a pair of similarity 0.8 with a
+probability of 0.0025 at most (long texts 0.0014), one of 0.85 with 0.00004 at most.
 
 No bucket gives all its pairs. Documents of equal word sequences are one class. In each bucket the classes are
 first compared with one head, the class whose buckets are largest (the centre of a family of copies): in round one
@@ -41,6 +46,9 @@ from bvengine.llm.common import components, stored
 K, THRESHOLD = 5, 0.8
 BANDS, PICKS = 28, 7
 WORD = re.compile(r"[^\W_]+")
+#: Classes of at most so many k-mers have prefix keys. COMMON k-mers at most, of those in OFTEN short classes or more,
+#: come last in their order, by their counts; that bounds the buckets and decides no result.
+SHORT, COMMON, OFTEN = 75, 1 << 14, 16
 #: Elements of the hash matrix of one pass: longer documents take the bands a few at a time.
 MATRIX = 1 << 21
 #: Bins of the bound at most, and rows of a block of an open bucket.
@@ -134,8 +142,20 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
     return common / (n + m - common)
 
 
-def sequences(docs: DataFrame, bands: int, picks: int) -> DataFrame:
-    """Per row of (doc_id, text): row, digest of the word sequence (null without words), words, bucket keys."""
+def prefix(h: np.ndarray, common: np.ndarray, counts: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """The bucket keys of a short class: its first k-mers in the order by count among `common` (sorted; 0 elsewhere),
+    then hash. One more than may be missing from a class that reaches the threshold with it."""
+    count = np.zeros(len(h), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+        count = np.where(common[at] == h, counts[at], 0)
+    x = mix(h ^ np.uint64(0x8CB92BA72F3D8DD7))
+    return x[np.lexsort((x, count))[: len(h) - int(np.ceil(threshold * len(h) - 1e-9)) + 1]]
+
+
+def sequences(docs: DataFrame, bands: int, picks: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row of (doc_id, text): row, digest of the word sequence (null without words), words, keys of the bands
+    (none where the exact search finds all partners) and grams, the k-mers of short texts."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Words()
@@ -146,17 +166,35 @@ def sequences(docs: DataFrame, bands: int, picks: int) -> DataFrame:
                     w = words_of(text, table)
                     if len(w):
                         data = w.astype("<u4").tobytes()
-                        keys = sketch(kmers(w), bands, picks).view(np.int64)
-                        out.append((doc_id, hashlib.blake2b(data, digest_size=16).digest(), data, keys))
+                        h = kmers(w)
+                        keys = sketch(h, bands, picks).view(np.int64) if len(h) > threshold * SHORT else []
+                        grams = h.view(np.int64) if len(h) <= SHORT else None
+                        out.append((doc_id, hashlib.blake2b(data, digest_size=16).digest(), data, keys, grams))
                     else:
-                        out.append((doc_id, None, None, None))
-                yield pd.DataFrame(out, columns=["doc_id", "digest", "words", "keys"])
+                        out.append((doc_id, None, None, None, None))
+                yield pd.DataFrame(out, columns=["doc_id", "digest", "words", "keys", "grams"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = rows.mapInPandas(of, "doc_id string, digest binary, words binary, keys array<long>")
+    made = rows.mapInPandas(of, "doc_id string, digest binary, words binary, keys array<long>, grams array<long>")
     return made.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)).withColumn("row", F.monotonically_increasing_id())
 
 
+def prefixes(short: DataFrame, threshold: float) -> DataFrame:
+    """(class, key) of the prefix keys of the short classes (class, grams). The driver gets COMMON counts at most."""
+    often = short.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= OFTEN)
+    top = often.orderBy(F.desc("c"), "gram").limit(COMMON).collect()
+    common = np.array([r["gram"] for r in top], np.int64).view(np.uint64)
+    order = np.argsort(common)
+    common, counts = common[order], np.array([r["c"] for r in top], np.int64)[order]
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keys = [prefix(np.asarray(x, np.int64).view(np.uint64), common, counts, threshold).view(np.int64) for x in pdf["grams"]]
+            yield pd.DataFrame({"class": pdf["class"], "keys": keys})
+
+    return short.mapInPandas(of, "class long, keys array<long>").select("class", F.explode("keys").alias("key"))
+
+
 def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of classes whose similarity reaches the threshold. Only the words of classes in some pair
     are moved; each side comes by an equi-join, whose large partitions Spark splits."""
@@ -233,12 +271,14 @@ def candidates(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, picks: int = PICKS) -> DataFrame:
     """Per row of (doc_id, text): class_id (smallest doc_id of its group), class_size and kept."""
-    rows = stored(sequences(docs, bands, picks), "sequences")
+    rows = stored(sequences(docs, bands, picks, threshold), "sequences")
     # a class is named by the first row that holds its words
     first_row = rows.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"))
     member = stored(rows.select("doc_id", "row", "digest").join(first_row, "digest", "left").select("doc_id", "row", "class"), "members")
     heads_of = member.where("row = class").select("class")
     keys = rows.select(F.col("row").alias("class"), "keys").join(heads_of, "class", "left_semi").select("class", F.explode("keys").alias("key"))
+    short = rows.where("grams is not null").select(F.col("row").alias("class"), "grams").join(heads_of, "class", "left_semi")
+    keys = keys.unionByName(prefixes(stored(short, "short"), threshold))
     keys = keys.repartition("key")  # the sizes and the join with them share this shuffle
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = stored(keys.join(sizes, "key"), "shared")

@@ -148,3 +148,37 @@ def test_edges(spark):
     long = " ".join(prose(9, 40_000))
     pair = O.classes(documents(spark, [(1, long), (2, edited(long, 40, 1))])).collect()
     assert {r["class_id"] for r in pair} == {1}
+
+
+def short_texts():
+    """Texts of 5 to 40 words, each with copies of one or two edits, and one line that most of them share."""
+    rows, line = [], " ".join(prose(31, 9))
+    for d in range(150):
+        text = " ".join(prose(9000 + d, 5 + d % 36)) + (" " + line if d % 3 == 0 else "")
+        ws = text.split()
+        copies = [text, text + " more", " ".join(ws[:-1] + ["other"]), "first " + text, edited(text, 1, d), edited(text, 2, d)]
+        rows += [(10 * d + k, t) for k, t in enumerate(copies)]
+    return rows
+
+
+def test_short_texts_against_brute_force(spark):
+    rows = short_texts()
+    found = {}
+    for r in O.classes(documents(spark, rows).repartition(4)).collect():
+        found.setdefault(r["class_id"], []).append(str(r["doc_id"]))
+    assert sorted(map(sorted, found.values())) == groups(rows)
+
+
+@pytest.mark.parametrize("common", [False, True])
+def test_every_short_pair_shares_a_prefix_key(common):
+    table = O.Words()
+    h = [O.kmers(O.words_of(t, table)) for _, t in short_texts()]
+    grams, counts = np.unique(np.concatenate(h), return_counts=True) if common else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    keys = [set(O.prefix(x, grams, counts).tolist()) for x in h]
+    linked = [(i, j) for i in range(len(h)) for j in range(i) if O.aligned(h[i], h[j]) >= O.THRESHOLD]
+    assert len(linked) > 150 and all(keys[i] & keys[j] for i, j in linked)
+    for n in range(1, O.SHORT + 1):  # the least overlap that can do, with the longest partner
+        for m in range(n, int(n / O.THRESHOLD + 1e-9) + 1):
+            least = int(np.ceil(O.THRESHOLD * (n + m) / (1 + O.THRESHOLD) - 1e-9))
+            take = [x - int(np.ceil(O.THRESHOLD * x - 1e-9)) + 1 for x in (n, m)]
+            assert take[0] >= n - least + 1 and take[1] >= m - least + 1
