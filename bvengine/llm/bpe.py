@@ -5,7 +5,9 @@ chunks look for the first place where a non-space is followed by a blank or a li
 pattern crosses such a place, so pre-tokens started on either side agree from there on. A chunk's piece runs from
 that place in its left overlap to that place in its right overlap and is pre-tokenised and encoded on its own,
 in parallel with all others. Where an overlap holds no such place (one pre-token of more than ``overlap`` code
-points), the two sides are left as text, joined in the stitching step and encoded there, so nothing is lost.
+points), the two sides are left as text, joined in the stitching step and encoded there, so nothing is lost. A run of
+white space too long for the pattern's matcher is cut by the pattern's own rule: all but its last character, or all of
+it at the end of the text, is one pre-token and goes straight to the merges.
 Decoding looks up each id's bytes and concatenates them.
 
 Chunks of one document meet again by a shuffle on the document's row and are read there in order, one at a time;
@@ -27,6 +29,9 @@ from pyspark.sql import functions as F
 
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 SYNC = re.compile(r"(?<=\S)[ \n]")
+#: The matcher fails on runs of a million characters. Its white space is Python's without the separators 1C to 1F.
+LONG_SPACE = 100_000
+LONG_RUN = re.compile(r"[^\S\x1c-\x1f]{%d,}" % LONG_SPACE)
 #: Rows between the chunk and the stitching step; head and tail are text that has no boundary of its own.
 PIECES = "row long, doc_id string, part int, parts int, n long, head string, ids binary, tail string, ids_sha256 string, decoded_sha256 string"
 
@@ -43,7 +48,17 @@ def encoder(path: str):
 
 def encode(path: str, text: str) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return encoder(path).encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes() if text else b""
+    import numpy as np
+
+    out, at = [], 0
+    for m in LONG_RUN.finditer(text) if len(text) >= LONG_SPACE else ():
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        out.append(encoder(path).encode_to_numpy(text[at : m.start()], disallowed_special=()))
+        # the merges of one pre-token, without the pattern
+        out.append(np.array(encoder(path)._core_bpe.encode_single_piece(text[m.start() : end].encode()), np.uint32))
+        at = end
+    out.append(encoder(path).encode_to_numpy(text[at:], disallowed_special=()))
+    return b"".join(x.astype("<u4").tobytes() for x in out)
 
 
 def decode(path: str, ids: bytes) -> bytes:

@@ -33,6 +33,9 @@ from bvengine.llm.common import stored
 LENGTH, END = 1024, 0
 FEATURES, DIMS, BITS = 256, 4, 12
 OTHER_SPACE = re.compile(r"[^\S \n]")
+#: The merging library's pattern fails on runs of a million blanks or line ends.
+LONG_SPACE = 100_000
+LONG_RUN = re.compile(r"[ \n]{%d}" % LONG_SPACE)
 
 
 @lru_cache(maxsize=2)
@@ -75,11 +78,11 @@ def merger(path: str):
 
 def encode(path: str, texts: list[str], kind: str) -> list[bytes]:
     """Ids of each text as the tokenizer gives them. Letters, digits, punctuation and plain white space are classed
-    alike by both libraries; a text with other white space goes through the tokenizer itself."""
+    alike by both libraries; a text with other white space, or with a long run of it, goes through the tokenizer itself."""
     fast = merger(path)
     return [
         np.array(tokenizer(path).encode(t, add_special_tokens=False).ids, kind).tobytes()
-        if OTHER_SPACE.search(t)
+        if OTHER_SPACE.search(t) or len(t) >= LONG_SPACE and LONG_RUN.search(t)
         else fast.encode_to_numpy(t, disallowed_special=()).astype(kind).tobytes()
         for t in texts
     ]

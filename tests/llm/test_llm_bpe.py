@@ -39,3 +39,31 @@ def test_edges(spark):
     assert bpe.encode_documents(docs.limit(0), RANKS).count() == 0
     with pytest.raises(ValueError):
         bpe.encode_documents(docs, RANKS, 8, 9)
+
+
+SPACES = [" ", "\n", " \n", "\t", "\xa0", "\u2003\n", "\r\n"]
+AROUND = [("", ""), ("a", "b"), ("", "'s 12"), ("don't ", "!"), ("\x1c", "\x1d"), ("a", "\x1cb")]
+
+
+@pytest.mark.parametrize("space", SPACES)
+def test_cut_runs_give_the_ids_of_the_whole_text(space, monkeypatch):
+    import re
+
+    monkeypatch.setattr(bpe, "LONG_SPACE", 6)
+    monkeypatch.setattr(bpe, "LONG_RUN", re.compile(bpe.LONG_RUN.pattern.replace("100000", "6")))
+    for n in range(3, 12):
+        for a, b in AROUND:
+            text = (a + space * n + b) * 3
+            assert bpe.encode(RANKS, text) == struct.pack(f"<{len(bpe.encoder(RANKS).encode_ordinary(text))}I", *bpe.encoder(RANKS).encode_ordinary(text))
+
+
+def test_runs_beyond_the_matcher(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "word " * 9 + " \n" * 1_000_000 + "end", "x" * 1_200_000]
+    got = {r["doc_id"]: r for r in bpe.encode_documents(documents(spark, list(enumerate(texts))), RANKS).collect()}
+    for i, text in enumerate(texts):
+        ids = t.encode(text, add_special_tokens=False).ids
+        assert got[i]["n_tokens"] == len(ids) and got[i]["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert got[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()

@@ -84,3 +84,10 @@ def test_neighbours_on_the_curve_are_alike():
     key = P.keys([np.array(t.encode(x).ids) for x in texts])
     order = np.argsort(key, kind="stable") % 6
     assert np.mean(order[1:] == order[:-1]) > 0.5  # 1/6 by chance
+
+
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n" * 1_000_000])
+def test_long_runs_of_white_space(run):
+    for text in (run, f"a{run}b", f"{run}'s 12"):
+        want = P.tokenizer(PATH).encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(P.encode(PATH, [text], "<u2")[0], "<u2").tolist() == want
