@@ -42,6 +42,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`df` stored with a number per row, and the number's column: the same number at every reading."""
+    column = free_name(df, "row_number")
+    return stored(df.withColumn(column, F.monotonically_increasing_id()), name), column
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """`wanted`, with underscores in front until no column of `df` has that name (Spark ignores case)."""
     taken = {c.lower() for c in df.columns}

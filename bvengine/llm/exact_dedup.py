@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bvengine.llm.common import stored
+from bvengine.llm.common import numbered, stored
 
 #: A lone space is left alone by the pattern, since it would be replaced by itself.
 BLANKS = re.compile(r"[\t-\r][ \t-\r]*| [ \t-\r]+")
@@ -61,15 +61,16 @@ def cuts(data: bytes, mean: int = MEAN, least: int = LEAST, most: int = MOST) ->
     return [*out, n] if n > last else out
 
 
-def recipes(docs: DataFrame) -> DataFrame:
-    """Per row of (doc_id, text): text_sha256 of the normalised text, and the recipe as array of (fp, digest)."""
+def recipes(docs: DataFrame, number: str | None = None) -> DataFrame:
+    """Per row of (doc_id, text): text_sha256 of the normalised text, and the recipe as array of (fp, digest); with
+    `number`, a column of stored row numbers, also that as row."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for pdf in batches:
             out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+            for doc_id, text, *row in pdf.itertuples(index=False, name=None):
                 data = normalise(text).encode()
                 recipe, start = [], 0
                 for end in cuts(data):
@@ -77,12 +78,13 @@ def recipes(docs: DataFrame) -> DataFrame:
                     fp = xxhash.xxh3_64_intdigest(chunk)
                     recipe.append({"fp": fp - (1 << 64 if fp >> 63 else 0), "digest": hashlib.sha256(chunk).digest()})
                     start = end
-                out.append((doc_id, hashlib.sha256(data).hexdigest(), recipe))
-            yield pd.DataFrame(out, columns=["doc_id", "text_sha256", "recipe"])
+                out.append((doc_id, hashlib.sha256(data).hexdigest(), recipe, *row))
+            yield pd.DataFrame(out, columns=["doc_id", "text_sha256", "recipe"] + ["row"] * bool(number))
 
     kind = docs.schema["doc_id"].dataType
-    made = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text")).mapInPandas(
-        cut, "doc_id string, text_sha256 string, recipe array<struct<fp:long,digest:binary>>"
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text"), *([F.col(number).alias("row")] if number else []))
+    made = rows.mapInPandas(
+        cut, "doc_id string, text_sha256 string, recipe array<struct<fp:long,digest:binary>>" + (", row long" if number else "")
     )
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
 
@@ -96,8 +98,9 @@ def clashes(made: DataFrame) -> DataFrame:
 
 
 def identify(made: DataFrame) -> DataFrame:
-    """`made` with the recipe as `ids`: array of (fp, ordinal), equal only for equal chunks."""
-    made = made.withColumn("row", F.monotonically_increasing_id())
+    """`made` with its row and the recipe as `ids`: array of (fp, ordinal), equal only for equal chunks."""
+    if "row" not in made.columns:
+        made = made.withColumn("row", F.monotonically_increasing_id())
     plain = F.transform("recipe", lambda c: F.struct(c["fp"].alias("fp"), F.lit(0).alias("ordinal")))
     hit = made.select("row", F.posexplode("recipe").alias("pos", "c")).select("row", "pos", "c.fp", "c.digest")
     fixes = (
@@ -108,7 +111,7 @@ def identify(made: DataFrame) -> DataFrame:
     mended = F.transform(
         plain, lambda c, i: F.struct(c["fp"].alias("fp"), F.coalesce(F.try_element_at("fix", i), F.lit(0)).alias("ordinal"))
     )
-    return made.join(fixes, "row", "left").select("doc_id", "text_sha256", F.when(F.col("fix").isNull(), plain).otherwise(mended).alias("ids"))
+    return made.join(fixes, "row", "left").select("row", "doc_id", "text_sha256", F.when(F.col("fix").isNull(), plain).otherwise(mended).alias("ids"))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -125,7 +128,14 @@ def groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows whose text equals that of a row with a smaller doc_id. Of rows that share both the
-    text and the doc_id, or have a null id and no copy with one, all stay."""
-    return docs.join(groups(docs).where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+def keep_first(docs: DataFrame, keep_null_ids: bool = True) -> DataFrame:
+    """`docs` without the rows whose text equals that of a row with a smaller doc_id, or of an earlier row with the
+    same one. Rows are told apart by a stored number, not by id. Rows with a null id all stay, or, without
+    `keep_null_ids`, come last: the first of them stays where no copy has an id."""
+    columns = docs.columns
+    docs, number = numbered(docs, "numbered")
+    rows = identify(stored(recipes(docs, number), "recipes"))
+    first = rows.groupBy("ids").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias(number)).select(number)
+    if keep_null_ids:
+        first = first.unionByName(docs.where("doc_id is null").select(number))
+    return docs.join(first.hint("merge"), number, "left_semi").select(*columns)  # alike at every size: never a broadcast

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bvengine.llm.common import components, stored
+from bvengine.llm.common import components, numbered, stored
 
 K, THRESHOLD = 5, 0.8
 BANDS, PICKS = 28, 7
@@ -153,30 +153,36 @@ def prefix(h: np.ndarray, common: np.ndarray, counts: np.ndarray, threshold: flo
     return x[np.lexsort((x, count))[: len(h) - int(np.ceil(threshold * len(h) - 1e-9)) + 1]]
 
 
-def sequences(docs: DataFrame, bands: int, picks: int, threshold: float = THRESHOLD) -> DataFrame:
+def sequences(docs: DataFrame, bands: int, picks: int, threshold: float = THRESHOLD, number: str | None = None) -> DataFrame:
     """Per row of (doc_id, text): row, digest of the word sequence (null without words), words, keys of the bands
-    (none where the exact search finds all partners) and grams, the k-mers of short texts."""
+    (none where the exact search finds all partners) and grams, the k-mers of short texts. `number` names a column
+    of stored row numbers; without it rows are numbered here."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Words()
         for pdf in batches:
             for start in range(0, len(pdf), 500):
                 out = []
-                for doc_id, text in pdf.iloc[start : start + 500].itertuples(index=False, name=None):
+                for doc_id, text, *row in pdf.iloc[start : start + 500].itertuples(index=False, name=None):
                     w = words_of(text, table)
                     if len(w):
                         data = w.astype("<u4").tobytes()
                         h = kmers(w)
                         keys = sketch(h, bands, picks).view(np.int64) if len(h) > threshold * SHORT else []
                         grams = h.view(np.int64) if len(h) <= SHORT else None
-                        out.append((doc_id, hashlib.blake2b(data, digest_size=16).digest(), data, keys, grams))
+                        out.append((doc_id, hashlib.blake2b(data, digest_size=16).digest(), data, keys, grams, *row))
                     else:
-                        out.append((doc_id, None, None, None, None))
-                yield pd.DataFrame(out, columns=["doc_id", "digest", "words", "keys", "grams"])
+                        out.append((doc_id, None, None, None, None, *row))
+                yield pd.DataFrame(out, columns=columns)
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = rows.mapInPandas(of, "doc_id string, digest binary, words binary, keys array<long>, grams array<long>")
-    return made.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)).withColumn("row", F.monotonically_increasing_id())
+    columns = ["doc_id", "digest", "words", "keys", "grams"] + ["row"] * bool(number)
+    rows = docs.select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col(number).alias("row")] if number else [])
+    )
+    kind = "doc_id string, digest binary, words binary, keys array<long>, grams array<long>"
+    made = rows.mapInPandas(of, kind + (", row long" if number else ""))
+    made = made.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    return made if number else made.withColumn("row", F.monotonically_increasing_id())
 
 
 def prefixes(short: DataFrame, threshold: float) -> DataFrame:
@@ -269,9 +275,9 @@ def candidates(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInPandas(of, "class long, words binary, n long, bins binary")
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, picks: int = PICKS) -> DataFrame:
-    """Per row of (doc_id, text): class_id (smallest doc_id of its group), class_size and kept."""
-    rows = stored(sequences(docs, bands, picks, threshold), "sequences")
+def grouped(docs: DataFrame, threshold: float, bands: int, picks: int, number: str | None = None) -> DataFrame:
+    """Per row of (doc_id, text): doc_id, row and group, stored."""
+    rows = stored(sequences(docs, bands, picks, threshold, number), "sequences")
     # a class is named by the first row that holds its words
     first_row = rows.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"))
     member = stored(rows.select("doc_id", "row", "digest").join(first_row, "digest", "left").select("doc_id", "row", "class"), "members")
@@ -325,15 +331,24 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, p
     reached = connected(stored(verify(pairs, words, threshold), "links3"), reached)
 
     alone = -1 - F.col("row")  # rows without words, apart from all classes
-    grouped = stored(member.join(reached, "class", "left").select("doc_id", F.coalesce("component", "class", alone).alias("group")), "grouped")
-    sizes = grouped.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return grouped.join(sizes, "group").select(
+    return stored(member.join(reached, "class", "left").select("doc_id", "row", F.coalesce("component", "class", alone).alias("group")), "grouped")
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, picks: int = PICKS) -> DataFrame:
+    """Per row of (doc_id, text): class_id (smallest doc_id of its group), class_size and kept."""
+    rows = grouped(docs, threshold, bands, picks)
+    sizes = rows.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    return rows.join(sizes, "group").select(
         "doc_id", "class_id", "class_size", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept")
     )
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` with one row of each group: the one with the smallest doc_id. Rows without an id stay only where
-    their group has no id at all."""
-    gone = classes(docs, threshold).where("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti")  # alike at every size: never a broadcast
+    """`docs` with one row of each group: the one with the smallest doc_id, of rows that share it the first. A row
+    without an id stays only where its group has no id at all. Rows are told apart by a stored number, not by id."""
+    columns = docs.columns
+    docs, number = numbered(docs, "numbered")
+    rows = grouped(docs, threshold, BANDS, PICKS, number)
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias(number))
+    # alike at every size: never a broadcast
+    return docs.join(first.select(number).hint("merge"), number, "left_semi").select(*columns)

@@ -25,12 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the smallest doc_id."""
-    return exact_dedup.keep_first(docs)
+    """Of rows with equal texts, the one with the smallest doc_id; null ids come last."""
+    return exact_dedup.keep_first(docs, keep_null_ids=False)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the one with the smallest doc_id."""
+    """Of each group of near duplicates, the row with the smallest doc_id; null ids come last."""
     return order_minhash.keep_first(docs)
 
 

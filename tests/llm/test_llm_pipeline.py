@@ -74,3 +74,34 @@ def test_nothing_else_needs_the_package(monkeypatch):
     assert not [n for n in entry.queries() if n.startswith("op") or n == "pipeline"] and entry.queries()
     monkeypatch.delitem(sys.modules, "__spark_entry__")
     sys.modules.update(kept)
+
+
+B = "this text has copies under other ids and its words are plain enough to be found by any search"
+REPEATED = [
+    (3, B), (4, "one text that is no copy of any other row here"), (4, B), (5, "one text that is no copy of any other row here"),
+    (6, "the same row twice"), (6, "the same row twice"), (None, "only null ids hold this"), (None, "only null ids hold this"),
+    (None, B), (None, "a third text whose id is missing too"), (None, ""), (7, ""),
+]
+ONE_EACH = sorted([
+    (3, B), (4, "one text that is no copy of any other row here"), (6, "the same row twice"), (None, "only null ids hold this"),
+    (None, "a third text whose id is missing too"), (7, ""),
+], key=str)
+
+
+def test_dedup_drops_rows_and_not_ids(spark):
+    from llm.helpers import documents
+
+    docs = documents(spark, REPEATED).repartition(3)
+
+    def kept(df):
+        assert df.columns == docs.columns
+        return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+    assert kept(corpus_pipeline.drop_copies(spark, docs, SF)) == ONE_EACH
+    # texts without words have no group
+    assert kept(corpus_pipeline.drop_near_copies(spark, docs, SF)) == sorted([*ONE_EACH, (None, "")], key=str)
+    near = [(i, t + " more" * (k % 2) if t else t) for k, (i, t) in enumerate(REPEATED[:5] + [(None, B + " end"), (None, B)])]
+    got = kept(corpus_pipeline.drop_near_copies(spark, documents(spark, near), SF))
+    assert [i for i, t in got if t.startswith(B)] == [3]
+    ids = [i for i, _ in kept(exact_dedup.keep_first(docs))]
+    assert ids.count(None) == 5 and sorted(i for i in ids if i is not None) == [3, 4, 6, 7]
