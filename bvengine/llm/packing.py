@@ -45,9 +45,12 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def added(path: str) -> tuple[str, ...]:
+    return tuple(x.content for x in tokenizer(path).get_added_tokens_decoder().values())
 
 
 @lru_cache(maxsize=1)
@@ -71,18 +74,18 @@ def merger(path: str):
     import tiktoken
 
     t, to_byte = tokenizer(path), byte_of()
-    special = {x.content for x in t.get_added_tokens_decoder().values()}
+    special = added(path)
     ranks = {bytes(map(to_byte.__getitem__, word)): i for word, i in t.get_vocab().items() if word not in special}
     return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def encode(path: str, texts: list[str], kind: str) -> list[bytes]:
     """Ids of each text as the tokenizer gives them. Letters, digits, punctuation and plain white space are classed
-    alike by both libraries; a text with other white space, or with a long run of it, goes through the tokenizer itself."""
+    alike by both libraries; a text with other white space, a long run of it, or the string of an added token goes through the tokenizer itself."""
     fast = merger(path)
     return [
         np.array(tokenizer(path).encode(t, add_special_tokens=False).ids, kind).tobytes()
-        if OTHER_SPACE.search(t) or len(t) >= LONG_SPACE and LONG_RUN.search(t)
+        if OTHER_SPACE.search(t) or any(x in t for x in added(path)) or len(t) >= LONG_SPACE and LONG_RUN.search(t)
         else fast.encode_to_numpy(t, disallowed_special=()).astype(kind).tobytes()
         for t in texts
     ]

@@ -91,3 +91,12 @@ def test_long_runs_of_white_space(run):
     for text in (run, f"a{run}b", f"{run}'s 12"):
         want = P.tokenizer(PATH).encode(text, add_special_tokens=False).ids
         assert np.frombuffer(P.encode(PATH, [text], "<u2")[0], "<u2").tolist() == want
+
+
+def test_added_tokens_are_read_as_the_library_reads_them():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    for text in ("x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>", "<|endoftext"):
+        want = t.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(P.encode(PATH, [text], "<u2")[0], "<u2").tolist() == want
