@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bvengine.llm import bpe, embedding_join, exact_dedup, order_minhash, packing, pii, sharding, toxicity, url_filter, warc
+from bvengine.llm import (
+    bpe, embedding_join, exact_dedup, hard_negatives, order_minhash, packing, pii, sharding, substring_dedup, token_alignment, toxicity,
+    url_filter, warc,
+)
 from bvengine.llm.common import table
 
 
@@ -55,6 +58,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.report(table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -63,7 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_embedding_join, op3_bpe, op4_exact_dedup, op5_url_filter, op6_toxicity, op7_packing, op8_order_minhash,
-        op9_sharding, op10_warc, pipeline,
+        op9_sharding, op10_warc, op11_substring_dedup, op12_token_alignment, op13_hard_negatives, pipeline,
     )
 }
 
@@ -82,4 +100,34 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> m THEN m END AS refers_to
         FROM q
     """,
+    "op11_substring_dedup": """
+        WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        s AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i, w FROM t WHERE len(w) >= 13),
+        g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x FROM s),
+        d AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY x) AS first FROM g) WHERE first < doc_id),
+        r AS (SELECT DISTINCT doc_id, i + j AS k FROM d, generate_series(0, 12) AS o(j)),
+        p AS (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS k FROM t WHERE len(w) > 0),
+        k AS (SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.k) AS kept FROM p ANTI JOIN r ON p.doc_id = r.doc_id AND p.k = r.k GROUP BY p.doc_id),
+        n AS (SELECT doc_id, count(*) AS n FROM r GROUP BY doc_id)
+        SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+        FROM t LEFT JOIN n ON t.doc_id = n.doc_id LEFT JOIN k ON t.doc_id = k.doc_id
+    """,
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ),
+        p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+        SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)::INT AS rank,
+               s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }

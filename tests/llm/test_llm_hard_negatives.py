@@ -1,0 +1,85 @@
+"""Hard negatives against all inner products."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bvengine.llm import hard_negatives as H
+
+SCHEMA = "vec_id long, embedding array<float>, label int, `row` string, bound int"
+
+
+def brute(rows, is_anchor, positives=5, negatives=10):
+    use = []
+    for i, v, lab in rows:
+        if i is not None and lab is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            use.append((i, [math.floor(256 * float(np.float32(x))) for x in v], lab))
+    out = []
+    for k, (i, v, lab) in enumerate(use):
+        if not is_anchor(i):
+            continue
+        scored = [(sum(x * y for x, y in zip(v, w, strict=True)), j, m) for n, (j, w, m) in enumerate(use) if n != k and len(w) == len(v)]
+        scored.sort(key=lambda x: (-x[0], x[1]))
+        for ps, p, _ in [x for x in scored if x[2] == lab][:positives]:
+            found = [x for x in scored if x[2] != lab and 30 * ps <= 100 * x[0] <= 90 * ps][:negatives]
+            out += [(i, p, r, j, ps, s) for r, (s, j, _) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def vectors(n=900, seed=4):
+    r = np.random.default_rng(seed)
+    centre = r.standard_normal((6, 12)) * 1.5
+    rows = []
+    for i in range(n):
+        lab = int(r.integers(0, 6))
+        rows.append((i, [float(x) for x in (centre[lab] * r.uniform(0.2, 1) + r.standard_normal(12) * 0.6) * 0.2], lab))
+    rows += [(2000 + i, rows[7][1], i % 2) for i in range(300)]  # copies, over two labels
+    rows += [(3000, None, 1), (3001, [], 1), (3002, [], 2), (3003, [0.0] * 12, 1), (3010, [0.0] * 12, 2), (3004, [float("nan")] * 12, 1), (3005, [float("inf")] * 12, 1)]
+    rows += [(3006, [None] + [1.0] * 11, 1), (3007, rows[1][1], None), (None, rows[1][1], 1), (3008, [1.0, 2.0], 1), (3009, [2.0, 1.0], 2), (3020, [-1.0, 0.5], 1), (3030, [3.0, 2.0], 2)]
+    rows += [(3040 + i, [float(x) for x in r.standard_normal(12) * 1e9], i % 2) for i in range(6)]
+    return rows
+
+
+@pytest.mark.parametrize(("cluster", "size", "members", "candidates"), [(64, 2048, 1024, 4096), (8, 40, 5, 16), (3, 1, 1024, 4096)])
+def test_against_brute_force(spark, monkeypatch, cluster, size, members, candidates):
+    monkeypatch.setattr(H, "MEMBERS", members)
+    monkeypatch.setattr(H, "CANDIDATES", candidates)
+    rows = vectors()
+    df = spark.createDataFrame([(*x, "z", 1) for x in rows], SCHEMA).repartition(4)
+    got = H.mine(df, F.col("vec_id") % 10 == 0, cluster=cluster, size=size).collect()
+    assert sorted(tuple(x) for x in got) == brute(rows, lambda i: i % 10 == 0)
+
+
+def test_members_stop_early(spark):
+    """Anchors in tight clusters read only the first bins of their lists."""
+    r = np.random.default_rng(1)
+    centre = r.standard_normal((8, 16))
+    rows = [(i, [float(x) for x in centre[i % 8] + r.standard_normal(16) * 0.02], i % 8 // 2) for i in range(1600)]
+    df = spark.createDataFrame([(*x, "z", 1) for x in rows], SCHEMA)
+    read = []
+    monkey = H.walked
+
+    def counted(members, listed, bins, low, high, same):
+        out = monkey(members, listed, bins, low, high, same)
+        read.append(out.select("anchor").count())
+        return out
+
+    H.walked = counted
+    try:
+        got = sorted(tuple(x) for x in H.mine(df, F.col("vec_id") % 100 == 0, cluster=2, size=100).collect())
+    finally:
+        H.walked = monkey
+    assert got == brute(rows, lambda i: i % 100 == 0)
+    assert read[1] < read[0]
+
+
+def test_empty(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert H.mine(none, F.col("vec_id") % 10 == 0).count() == 0
+    some = spark.createDataFrame([(1, [1.0], 1, "z", 1)], SCHEMA)
+    assert H.mine(some, F.col("vec_id") % 10 == 0).count() == 0
+    assert H.mine(some, F.col("vec_id") % 10 == 1).count() == 0
+    with pytest.raises(ValueError):
+        H.mine(some, F.lit(True), positives=0)
