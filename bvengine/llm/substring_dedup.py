@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -54,12 +55,18 @@ def hashes(text: Column) -> Column:
     return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
+@lru_cache
+def factors(k: int, seed: int) -> np.ndarray:
+    """k random odd numbers."""
+    return np.random.default_rng(seed).integers(1, 1 << 62, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def grams(words: np.ndarray, k: int, seed: int) -> np.ndarray:
     """A 64-bit hash of each k consecutive words."""
     n = max(0, len(words) - k + 1)
     h = np.zeros(n, np.uint64)
-    for j, c in enumerate(np.random.default_rng(seed).integers(1, 1 << 62, k, dtype=np.uint64)):
-        h += words.view(np.uint64)[j : j + n] * (c * np.uint64(2) + np.uint64(1))
+    for j, c in enumerate(factors(k, seed)):
+        h += words.view(np.uint64)[j : j + n] * c
     h ^= h >> np.uint64(32)
     h *= np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
@@ -268,7 +275,7 @@ def remainder(left: DataFrame, window: int) -> DataFrame:
         for pdf in batches:
             texts = [np.frombuffer(w, np.int64) for w in pdf["words"]]
             size = np.array([len(t) - window + 1 for t in texts], int)
-            place = np.concatenate([np.arange(n) for n in size]) if len(size) else size
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             yield pd.DataFrame({
                 "row": np.repeat(pdf["row"].to_numpy(np.int64), size), "order": np.repeat(pdf["order"].to_numpy(np.int64), size),
                 "start": np.repeat(pdf["start"].to_numpy(np.int64), size) + place,
