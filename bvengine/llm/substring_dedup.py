@@ -33,10 +33,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bvengine.llm.common import numbered, stored
+from bvengine.llm.common import lean, numbered, stored
 
 WINDOW, GRAM = 13, 5
 #: Rows of a block are 1 << ROWS; words that one copy of a reference is to factor.
@@ -45,14 +45,33 @@ REFERENCE, TARGET, ALONE = 1, 2, 3
 
 RUNS = "home long, kind int, row long, order long, start long, words binary"
 FACTORS = "row long, order long, start long, n long, words binary"
-
-
-def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-
-
-def hashes(text: Column) -> Column:
-    return F.transform(words_of(text), lambda w: F.xxhash64(w))
+KEPT = "doc_id string, n_words long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept string"
+
+
+@lru_cache(maxsize=1)
+def places(n: int) -> np.ndarray:
+    """A random odd number per place in a word."""
+    return np.random.default_rng(17).integers(1, 1 << 62, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def hashed(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of the texts, one after the other, and the number of words of each text."""
+    data = [t.encode() if isinstance(t, str) else b"" for t in texts]
+    text = np.frombuffer(b" ".join([*data, b""]), np.uint8)
+    blank = (text == 32) | ((text >= 9) & (text <= 13))
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1 if len(text) else np.zeros(0, int)
+    edge = edge if not len(text) or blank[0] else np.concatenate([[0], edge])
+    start, end = edge[::2], edge[1::2]  # the last byte is blank, so every word ends
+    size = end - start
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    table = places(1 << max(10, int(size.max(initial=0)).bit_length()))
+    value = (text[~blank].astype(np.uint64) + np.uint64(1)) * table[place]
+    h = np.add.reduceat(value, np.cumsum(size) - size) if len(size) else np.zeros(0, np.uint64)
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    ends = np.cumsum([len(x) + 1 for x in data])
+    return h.view(np.int64), np.diff(np.searchsorted(start, ends), prepend=0)
 
 
 @lru_cache
@@ -73,14 +92,17 @@ def grams(words: np.ndarray, k: int, seed: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def anchors(words: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Per window: the least hash of the grams inside it."""
+def anchors(words: np.ndarray, counts: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows inside one text each: the first word's place, the text's number, and the least hash of its grams."""
+    size = np.maximum(0, counts - window + 1)
+    text = np.repeat(np.arange(len(counts)), size)
+    first = np.repeat(np.cumsum(counts) - counts, size) + np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
     g = grams(words, gram, 3)
     n = max(0, len(words) - window + 1)
     least = g[:n].copy()
     for j in range(1, window - gram + 1):
         np.minimum(least, g[j : j + n], out=least)
-    return least
+    return first, text, least[first]
 
 
 def pieces(change: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -98,16 +120,15 @@ def shared(rows: DataFrame, window: int, gram: int) -> DataFrame:
                 continue
             block = pdf["row"].to_numpy() >> ROWS
             for a, b in pieces(np.diff(block) != 0):
-                per = [anchors(np.asarray(w, np.int64), window, gram) for w in pdf["words"].iloc[a:b]]
-                ids = np.repeat(pdf["order"].to_numpy()[a:b], [len(x) for x in per])
-                found = np.concatenate(per)
+                _, text, found = anchors(*hashed(pdf["text"].iloc[a:b].tolist()), window, gram)
+                ids = pdf["order"].to_numpy()[a:b][text]
                 by = np.lexsort((ids, found))
                 found, ids = found[by], ids[by]
-                first = np.flatnonzero(np.diff(found, prepend=found[:1] - 1)) if len(found) else np.zeros(0, int)
+                first = np.flatnonzero(np.diff(found, prepend=found[:1] - 1))
                 last = np.append(first[1:], len(found))[: len(first)] - 1
                 yield pd.DataFrame({"block": int(block[a]), "anchor": found[first], "low": ids[first], "high": ids[last]})
 
-    found = rows.select("row", "order", hashes(F.col("text")).alias("words")).mapInPandas(of, "block long, anchor long, low long, high long")
+    found = rows.select("row", "order", "text").mapInPandas(of, "block long, anchor long, low long, high long")
     every = Window.partitionBy("anchor")
     found = found.withColumn("first", F.min(F.struct("low", "block")).over(every)).withColumn("high", F.max("high").over(every))
     return found.where("first.low < high").select("block", "anchor", F.col("first.low").alias("least"), F.col("first.block").alias("home"))
@@ -120,7 +141,6 @@ def runs(rows: DataFrame, index: DataFrame, window: int, gram: int) -> DataFrame
     texts = rows.select(F.shiftright("row", ROWS).alias("block"), F.lit(1).alias("side"), "row", "order", "text", *[none.alias(c) for c in ("anchor", "least", "home")])
     marks = index.select("block", F.lit(0).alias("side"), *[none.alias(c) for c in ("row", "order")], F.lit(None).cast("string").alias("text"), "anchor", "least", "home")
     met = texts.unionByName(marks).repartition("block").sortWithinPartitions("block", "side", "anchor", "row")
-    met = met.withColumn("words", F.when(F.col("side") == 1, hashes(F.col("text")))).drop("text")
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, parts, table = None, [], None
@@ -138,27 +158,29 @@ def runs(rows: DataFrame, index: DataFrame, window: int, gram: int) -> DataFrame
                 if table is None:
                     table = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
                 if len(table):
-                    part = pdf.iloc[a:b]
-                    for row, order, words in zip(part["row"].tolist(), part["order"].tolist(), part["words"], strict=True):
-                        out += stretches(int(block), int(row), int(order), np.asarray(words, np.int64), table, window, gram)
+                    out += stretches(int(block), pdf.iloc[a:b], table, window, gram)
             yield pd.DataFrame(out, columns=["home", "kind", "row", "order", "start", "words"])
 
     return met.mapInPandas(of, RUNS)
 
 
-def stretches(block: int, row: int, order: int, words: np.ndarray, table: np.ndarray, window: int, gram: int) -> list[tuple]:
-    least = anchors(words, window, gram)
-    if not len(least):
+def stretches(block: int, texts: pd.DataFrame, table: np.ndarray, window: int, gram: int) -> list[tuple]:
+    words, counts = hashed(texts["text"].tolist())
+    row, order, offset = texts["row"].to_numpy(), texts["order"].to_numpy(), np.cumsum(counts) - counts
+    first, text, least = anchors(words, counts, window, gram)
+    if not len(first):
         return []
     at = np.minimum(np.searchsorted(table[:, 0], least), len(table) - 1)
-    hit, first, home = table[at, 0] == least, table[at, 1], table[at, 2]
-    kind = np.where(first < order, TARGET, np.where(home == block, REFERENCE, ALONE)) * hit
+    hit, lowest, home = table[at, 0] == least, table[at, 1], table[at, 2]
+    kind = np.where(lowest < order[text], TARGET, np.where(home == block, REFERENCE, ALONE)) * hit
     home = home * hit
-    return [
-        (int(home[a]), int(kind[a]), row, order, a, words[a : b + window - 1].tobytes())
-        for a, b in pieces((np.diff(kind) != 0) | (np.diff(home) != 0))
-        if kind[a]
-    ]
+    out = []
+    for a, b in pieces((np.diff(kind) != 0) | (np.diff(home) != 0) | (np.diff(text) != 0)):
+        if kind[a]:
+            k = text[a]
+            run = words[first[a] : first[b - 1] + window].tobytes()
+            out.append((int(home[a]), int(kind[a]), int(row[k]), int(order[k]), int(first[a] - offset[k]), run))
+    return out
 
 
 class Reference:
@@ -172,9 +194,9 @@ class Reference:
         self.bytes = self.codes.astype(">u4").tobytes()  # big-endian, so that bytes order as words do
         self.suffixes = suffix_array(self.codes)
         self.order = self.suffixes.tolist()
-        hashed = grams(self.codes, window, 5)
-        self.by = np.argsort(hashed, kind="stable")
-        self.hashed = hashed[self.by]
+        of_windows = grams(self.codes, window, 5)
+        self.by = np.argsort(of_windows, kind="stable")
+        self.hashed = of_windows[self.by]
 
     def code(self, words: np.ndarray) -> np.ndarray:
         """Codes of a text; words that the reference does not hold have the one past its last."""
@@ -273,13 +295,13 @@ def remainder(left: DataFrame, window: int) -> DataFrame:
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = [np.frombuffer(w, np.int64) for w in pdf["words"]]
-            size = np.array([len(t) - window + 1 for t in texts], int)
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            words = np.frombuffer(b"".join(pdf["words"]), np.int64)
+            counts = pdf["words"].map(len).to_numpy(int) // 8
+            first, text, _ = anchors(words, counts, window, window)
             yield pd.DataFrame({
-                "row": np.repeat(pdf["row"].to_numpy(np.int64), size), "order": np.repeat(pdf["order"].to_numpy(np.int64), size),
-                "start": np.repeat(pdf["start"].to_numpy(np.int64), size) + place,
-                "h1": np.concatenate([grams(t, window, 7) for t in texts] or [place]), "h2": np.concatenate([grams(t, window, 11) for t in texts] or [place]),
+                "row": pdf["row"].to_numpy()[text], "order": pdf["order"].to_numpy()[text],
+                "start": pdf["start"].to_numpy()[text] + first - (np.cumsum(counts) - counts)[text],
+                "h1": grams(words, window, 7)[first], "h2": grams(words, window, 11)[first],
             })
 
     each = left.select("row", "order", "start", "words").mapInPandas(of, "row long, order long, start long, h1 long, h2 long")
@@ -305,19 +327,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, deal
     last = F.lit((1 << 63) - 1)
     rows, number = numbered(docs.select("doc_id", F.col("text").cast("string").alias("text")), "rows")
     rows = rows.withColumnRenamed(number, "row").withColumn("order", F.coalesce(F.col("doc_id").cast("long"), last))
-    stretch = stored(runs(rows, shared(rows, window, gram), window, gram), "runs")
-    parsed = stored(factored(stretch, window, dealt), "factors")
+    with lean(docs.sparkSession):
+        stretch = stored(runs(rows, shared(rows, window, gram), window, gram), "runs")
+        parsed = stored(factored(stretch, window, dealt), "factors")
     left = parsed.where("words is not null").unionByName(
         stretch.where(F.col("kind") == ALONE).select("row", "order", "start", F.lit(0).cast("long").alias("n"), "words")
     )
     ranges = parsed.where("words is null").select("row", "start", "n").unionByName(remainder(left, window))
-    out = rows.select("row", "doc_id", "text").join(spans(ranges), "row", "left").withColumn("words", words_of(F.col("text")))
-    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"]), F.lit(0).cast("long"))
-    # what stays lies between the spans: from one's end to the next one's start
-    n = F.size("words").cast("long")
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda x: x["end"]))
-    ends = F.concat(F.transform("spans", lambda x: x["start"]), F.array(n))
-    between = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice("words", (a + 1).cast("int"), (b - a).cast("int"))))
-    kept = F.when(F.col("spans").isNull(), F.col("words")).otherwise(between)
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return out.select("doc_id", n.alias("n_words"), removed.alias("n_removed"), F.coalesce("spans", empty).alias("spans"), F.array_join(kept, " ").alias("kept"))
+    met = rows.select("row", F.col("doc_id").cast("string").alias("doc_id"), "text").join(spans(ranges), "row", "left")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for doc_id, text, found in zip(pdf["doc_id"], pdf["text"], pdf["spans"], strict=True):
+                words = text.encode().split() if isinstance(text, str) else []  # bytes split at these six characters
+                found = [(x["start"], x["end"]) for x in found] if found is not None else []
+                kept, at = [], 0
+                for a, b in found:
+                    kept += words[at:a]
+                    at = b
+                kept += words[at:]
+                out.append((doc_id, len(words), len(words) - len(kept), found, b" ".join(kept).decode()))
+            yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
+
+    made = met.select("doc_id", "text", "spans").mapInPandas(cut, KEPT)
+    return made.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
