@@ -211,39 +211,50 @@ class Reference:
         best = 0
         for s in self.order[max(0, i - 1) : i + 1]:
             n = min(len(codes) - at, len(self.codes) - s)
-            differ = codes[at : at + n] != self.codes[s : s + n]
-            best = max(best, int(differ.argmax()) if differ.any() else n)
+            same = codes[at : at + n] == self.codes[s : s + n]
+            first = int(same.argmin()) if n else 0
+            best = max(best, n if n and same[first] else first)
         return best
 
     def held(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Which of the windows at `starts` the reference holds, by their words."""
         h = grams(codes, self.window, 5)[starts]
         low, high = np.searchsorted(self.hashed, h), np.searchsorted(self.hashed, h, "right")
+        maybe = np.flatnonzero(low < high)
+        there = self.by[low[maybe]]
+        equal = np.ones(len(maybe), bool)
+        for j in range(self.window):
+            equal &= codes[starts[maybe] + j] == self.codes[there + j]
+        for k in np.flatnonzero(~equal & (high[maybe] - low[maybe] > 1)):  # another window of the same hash
+            window = codes[starts[maybe[k]] : starts[maybe[k]] + self.window]
+            others = self.by[low[maybe[k]] + 1 : high[maybe[k]]]
+            equal[k] = any(np.array_equal(window, self.codes[s : s + self.window]) for s in others)
         out = np.zeros(len(starts), bool)
-        for k in np.flatnonzero(low < high):
-            window = codes[starts[k] : starts[k] + self.window]
-            out[k] = any(np.array_equal(window, self.codes[s : s + self.window]) for s in self.by[low[k] : low[k] + 1])
-            if not out[k]:  # two windows of one hash
-                out[k] = any(np.array_equal(window, self.codes[s : s + self.window]) for s in self.by[low[k] + 1 : high[k]])
+        out[maybe] = equal
         return out
 
-    def parse(self, words: np.ndarray) -> np.ndarray:
-        """Per window of a text: whether the reference holds it, from the greedy factors."""
-        codes, n = self.code(words), len(words) - self.window + 1
-        text = codes.astype(">u4").tobytes()
-        found = np.zeros(n, bool)
+    def parse(self, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """Per text and window: whether the reference holds it, from the greedy factors."""
+        counts = np.array([len(t) for t in texts])
+        every = self.code(np.concatenate(texts))
+        found, known = np.zeros(len(every), bool), len(self.vocabulary)
         across: list[tuple[int, int]] = []  # starts of windows that a factor's end cuts
-        at = 0
-        while at < n:
-            size = self.longest(text, codes, at) if codes[at] <= len(self.vocabulary) else 0
-            inside = max(0, size - self.window + 1)
-            found[at : at + inside] = True
-            across.append((at + max(1, inside), min(n, at + max(1, size))))
-            at += max(1, size)
-        starts = np.concatenate([np.arange(a, b) for a, b in across]) if across else np.zeros(0, int)
-        if len(starts):
-            found[starts] = self.held(codes, starts)
-        return found
+        offsets = np.cumsum(counts) - counts
+        for offset, count in zip(offsets.tolist(), counts.tolist(), strict=True):
+            codes, n = every[offset : offset + count], count - self.window + 1
+            text = codes.astype(">u4").tobytes()
+            at = 0
+            while at < n:
+                size = self.longest(text, codes, at) if codes[at] <= known else 0
+                inside = max(0, size - self.window + 1)
+                found[offset + at : offset + at + inside] = True
+                across.append((offset + at + max(1, inside), offset + min(n, at + max(1, size))))
+                at += max(1, size)
+        low, high = np.array(across).T
+        size = np.maximum(0, high - low)
+        starts = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        found[starts] = self.held(every, starts)
+        return [found[a : a + c - self.window + 1] for a, c in zip(offsets, counts, strict=True)]
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
@@ -273,11 +284,11 @@ def factored(stretch: DataFrame, window: int, dealt: int) -> DataFrame:
         targets = group[group["kind"] == TARGET]
         if not len(targets) or not texts:
             return pd.DataFrame(columns=columns)
-        ref, out, seen = Reference(texts, window), [], {}
+        different = list(dict.fromkeys(targets["words"]))  # copies have equal stretches
+        parsed = Reference(texts, window).parse([np.frombuffer(w, np.int64) for w in different])
+        known, out = dict(zip(different, parsed, strict=True)), []
         for row, order, start, data in targets[["row", "order", "start", "words"]].itertuples(index=False, name=None):
-            words = np.frombuffer(data, np.int64)
-            if (found := seen.get(data)) is None:  # copies have equal stretches
-                found = seen[data] = ref.parse(words)
+            words, found = np.frombuffer(data, np.int64), known[data]
             for a, b in pieces(np.diff(found) != 0):
                 out.append((row, order, start + a, b - a + window - 1, None if found[a] else words[a : b + window - 1].tobytes()))
         return pd.DataFrame(out, columns=columns)
