@@ -4,12 +4,17 @@ The lexical transducer maps words to symbols: insult (with a weight), threat, ta
 Its patterns are whole words and word beginnings, from short fixed lists and from labelled documents: a pattern is
 learned where its share of toxic documents beats its share of clean ones by a log-likelihood ratio, and its weight
 is its smoothed log odds. A clause (text up to a full stop, question or exclamation mark, semicolon, line end, or
-`CLAUSE` words) is a string of symbols read left to right by four composed transducers:
+`CLAUSE` words) is a string of symbols, read left to right by five transducers, each a table (state, symbol) -> (state, factor):
 
-- insult: adds the word's weight; a further insult in the clause counts `REPEAT` times its weight
-- threat: adds its weight once a target stands within `REACH` words, else a part of it
-- target: raises the weight of what follows within `REACH` words
-- negation and reported speech: lower the weight of what follows within `REACH` words, or to the clause's end
+- insult: a further insult in the clause counts `REPEAT` times its weight
+- threat: counts in full with a target within `REACH` words on either side, else in part; the target after it is
+  promised, and a path whose promise is not kept ends
+- target: raises the weight of insults that follow within `REACH` words
+- negation: lowers the weight of what follows within `REACH` words
+- reported speech: lowers the weight of what follows to the clause's end
+
+Their composition is one table over the reachable tuples of states. A path through it weighs the sum of its words'
+weights, each times the factors of its arc; a clause's score is its best path, found in one pass.
 
 A document's features are the sum of its clause scores, the largest, and the number of matched clauses; a logistic
 link fitted on the same labelled sample, held to default coefficients by a Gaussian prior, gives the score.
@@ -19,16 +24,20 @@ The grammar is bounded by `PATTERNS` learned patterns, so it is small enough to
 whole texts. Labels, lang, source and doc_id are no inputs of a score.
 
 Null and empty texts have no clause and get the score of the intercept (below 0.5). Labels of unknown documents
-are ignored; several labels of one document all count. Without labels the fixed lists and defaults hold.
+are ignored; several labels of one document all count. Without labels the fixed lists and defaults hold. Long texts
+are read whole, in time proportional to their length, also without any stop. Repeated rows are scored each; of patterns with
+equal ratios the first in alphabetical order is taken. Extra columns are not read (`clean` returns them unchanged). An empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -100,57 +109,144 @@ def symbols(text: str, automaton) -> dict[int, tuple[str, float]]:
     return out
 
 
+#: What a word is to the grammar: a target or not, a negation or a report or neither, an insult or a threat or neither.
+SYMBOLS = [(t, m, h) for t in (False, True) for m in ("", "negation", "report") for h in ("", "insult", "threat")]
+FAR = REACH + 1
+
+
+def arcs(states, step) -> dict:
+    """The table of a transducer: (state, symbol) -> its (state, factor) arcs."""
+    return {(s, x): tuple(step(s, *x)) for s in states for x in SYMBOLS}
+
+
+def insult_step(seen, target, mark, hit):
+    yield (True, REPEAT if seen else 1.0) if hit == "insult" else (seen, 1.0)
+
+
+def target_step(since, target, mark, hit):
+    since = 0 if target else min(since + 1, FAR)
+    yield since, TARGETED if hit == "insult" and since <= REACH else 1.0
+
+
+def negation_step(since, target, mark, hit):
+    since = 0 if mark == "negation" else min(since + 1, FAR)
+    yield since, NEGATED if since <= REACH else 1.0
+
+
+def report_step(reported, target, mark, hit):
+    reported = reported or mark == "report"
+    yield reported, REPORTED if reported else 1.0
+
+
+def threat_step(state, target, mark, hit):
+    """Words since the last target, and words left for the target that the earliest open threat is promised (0: none)."""
+    since, left = state
+    since = 0 if target else min(since + 1, FAR)
+    if left and not target and left == 1:
+        return  # the promise is broken
+    left = 0 if target else max(0, left - 1)
+    if hit != "threat":
+        yield (since, left), 1.0
+    elif since <= REACH:
+        yield (since, left), 1.0
+    else:
+        yield (since, left), LOOSE
+        yield (since, left or REACH), 1.0
+
+
+#: (start, table, whether a state may end a clause) of each transducer.
+AGES = range(FAR + 1)
+TRANSDUCERS = {
+    "insult": (False, arcs((False, True), insult_step), lambda s: True),
+    "threat": ((FAR, 0), arcs([(a, b) for a in AGES for b in range(REACH + 1)], threat_step), lambda s: s[1] == 0),
+    "target": (FAR, arcs(AGES, target_step), lambda s: True),
+    "negation": (FAR, arcs(AGES, negation_step), lambda s: True),
+    "report": (False, arcs((False, True), report_step), lambda s: True),
+}
+
+
+@lru_cache(maxsize=1)
+def composed() -> tuple[list[list[tuple[tuple[int, float], ...]]], list[bool]]:
+    """Of the reachable tuples of states, numbered from the start: the arcs by symbol, and which may end a clause."""
+    tables = [t for _, t, _ in TRANSDUCERS.values()]
+    ends = [e for _, _, e in TRANSDUCERS.values()]
+    start = tuple(s for s, _, _ in TRANSDUCERS.values())
+    number, todo, table = {start: 0}, [start], []
+    for states in todo:  # grows while it is read
+        row = []
+        for x in SYMBOLS:
+            out = []
+            for way in product(*[t[s, x] for t, s in zip(tables, states, strict=True)]):
+                to = tuple(s for s, _ in way)
+                if to not in number:
+                    number[to] = len(todo)
+                    todo.append(to)
+                out.append((number[to], math.prod(f for _, f in way)))
+            row.append(tuple(out))
+        table.append(row)
+    return table, [all(e(s) for e, s in zip(ends, states, strict=True)) for states in todo]
+
+
+NUMBER = {x: i for i, x in enumerate(SYMBOLS)}
+MARKS = dict.fromkeys(NEGATIONS, "negation") | {w: "report" for w in REPORTS if w not in NEGATIONS}
+TARGETS = frozenset(TARGETED_WORDS)
+
+
+def spelled(words: list[tuple[int, str]], found: dict[int, tuple[str, float]]) -> list[tuple[int, float]]:
+    """(symbol's number, weight) of each word (place in the text, lower-case word)."""
+    out = []
+    for at, word in words:
+        kind, weight = found.get(at, ("", 0.0))
+        out.append((NUMBER[word in TARGETS, MARKS.get(word, ""), kind], weight))
+    return out
+
+
 def clause_score(words: list[tuple[int, str]], found: dict[int, tuple[str, float]]) -> float:
-    """Weight of the best reading of one clause: words are (place in the text, lower-case word)."""
-    total, insults, target, negated, reported, threats = 0.0, 0, -99, -99, False, []
-    for i, (at, word) in enumerate(words):
-        if word in TARGETED_WORDS:
-            target = i
-            total += sum(w * (1 - LOOSE) for j, w in threats if i - j <= REACH)
-            threats = []
-        if word in NEGATIONS:
-            negated = i
-        elif word in REPORTS:
-            reported = True
-        if (hit := found.get(at)) is None:
-            continue
-        kind, weight = hit
-        if i - negated <= REACH:
-            weight *= NEGATED
-        if reported:
-            weight *= REPORTED
-        if kind == "threat":
-            near = i - target <= REACH
-            total += weight if near else weight * LOOSE
-            if not near:
-                threats.append((i, weight))
-        else:
-            total += weight * (TARGETED if i - target <= REACH else 1.0) * (REPEAT if insults else 1.0)
-            insults += 1
-    return total
+    """Weight of the best path of one clause through the composed transducers."""
+    table, ends = composed()
+    paths = {0: 0.0}
+    for symbol, weight in spelled(words, found):
+        after: dict[int, float] = {}
+        for state, total in paths.items():
+            for to, factor in table[state][symbol]:
+                if (score := total + weight * factor) > after.get(to, -1.0):
+                    after[to] = score
+        paths = after
+    return max(total for state, total in paths.items() if ends[state])
 
 
 def clauses(text: str, automaton) -> list[float]:
-    """Scores of the clauses that hold a matched word; `text` is in lower case."""
+    """Scores of the clauses that hold a matched word; `text` is in lower case. Every word is read once."""
     found = symbols(text, automaton)
-    if not found:
-        return []
-    stops = [m.start() for m in STOPS.finditer(text)]
-    out, done = [], -1
-    for at in sorted(found):
-        if at < done:
-            continue
-        k = bisect_left(stops, at)
-        start, end = stops[k - 1] + 1 if k else 0, stops[k] if k < len(stops) else len(text)
-        words = [(m.start(), m[0]) for m in WORD.finditer(text, start, end)]
-        i = bisect_right(words, (at, "\U0010ffff")) - 1
-        low = i - i % CLAUSE  # clauses without a stop are cut every CLAUSE words
-        part = words[low : low + CLAUSE]
-        done = words[low + CLAUSE][0] if low + CLAUSE < len(words) else end
-        out.append(clause_score(part, found))
+    hits = sorted(found)
+    out, i, end = [], 0, -1
+    while i < len(hits):
+        start = max(end, last_stop(text, hits[i], end)) + 1
+        stop = STOPS.search(text, hits[i])
+        end = stop.start() if stop else len(text)
+        clause: list[tuple[int, str]] = []
+        for m in WORD.finditer(text, start, end):
+            if len(clause) == CLAUSE:  # clauses without a stop are cut every CLAUSE words
+                if i < len(hits) and hits[i] <= clause[-1][0]:
+                    out.append(clause_score(clause, found))
+                while i < len(hits) and hits[i] < m.start():
+                    i += 1
+                if i == len(hits):
+                    return out
+                clause = []
+            clause.append((m.start(), m[0]))
+        if clause and i < len(hits) and hits[i] < end:
+            out.append(clause_score(clause, found))
+        while i < len(hits) and hits[i] < end:
+            i += 1
     return out
 
 
+def last_stop(text: str, before: int, after: int) -> int:
+    """Place of the last stop before a place and not before another one; -1 without."""
+    return max(text.rfind(c, max(after, 0), before) for c in ".!?;\n")
+
+
 def features(text: str | None, automaton) -> tuple[float, float, float]:
     scores = clauses(text.lower(), automaton) if text else []
     return (math.log1p(sum(scores)), max(scores, default=0.0), math.log1p(len(scores)))

@@ -1,3 +1,5 @@
+import random
+import time
 import zlib
 
 from bvengine.llm import toxicity as X
@@ -25,6 +27,52 @@ def test_grammar_reads_clauses():
     assert X.features(long, a)[2] > 0
 
 
+def one_after_the_other(words, found):
+    """Best clause score with the transducers run separately: all their ways through the clause, multiplied at the end."""
+    spelled = X.spelled(words, found)
+    factors = [1.0] * len(spelled)
+    choices = []
+    for name, (start, table, ends) in X.TRANSDUCERS.items():
+        ways = [(start, [])]
+        for symbol, _ in spelled:
+            ways = [(to, [*done, f]) for state, done in ways for to, f in table[state, X.SYMBOLS[symbol]]]
+        ways = [done for state, done in ways if ends(state)]
+        if len(ways) == 1:
+            factors = [a * b for a, b in zip(factors, ways[0], strict=True)]
+        else:
+            assert name == "threat"
+            choices = ways
+    return max(sum(w * f * c for (_, w), f, c in zip(spelled, factors, way, strict=True)) for way in choices or [[1.0] * len(spelled)])
+
+
+def test_composition_equals_the_transducers_one_after_the_other():
+    r, a = random.Random(6), X.Grammar().automaton()
+    vocabulary = [*X.INSULTS[:4], *X.THREATS[:3], *X.TARGETED_WORDS[:3], *X.NEGATIONS[:3], *X.REPORTS[:2], "table", "green", "walk"]
+    assert len(X.composed()[0]) < 500
+    for _ in range(600):
+        text = " ".join(r.choice(vocabulary) for _ in range(r.randint(1, 22)))
+        words, found = [(m.start(), m[0]) for m in X.WORD.finditer(text)], X.symbols(text, a)
+        assert abs(X.clause_score(words, found) - one_after_the_other(words, found)) < 1e-9
+
+
+def test_threats_wait_for_their_target():
+    a = X.Grammar().automaton()
+    score = lambda t: sum(X.clauses(t, a))
+    far, near = "kill a b c d you", "kill a b c you"
+    assert score(near) == X.THREAT_WEIGHT and score(far) == X.THREAT_WEIGHT * X.LOOSE
+    assert score("you a b c kill") == X.THREAT_WEIGHT and score("kill. you") == X.THREAT_WEIGHT * X.LOOSE
+
+
+def test_long_texts_take_time_in_proportion():
+    a = X.Grammar().automaton()
+    for text, n in (("word " * 19 + "idiot ", 10_000), ("idiot. ", 40_000), ("a.b;", 100_000)):
+        start = time.perf_counter()
+        X.clauses(text * n + "idiot", a)
+        assert time.perf_counter() - start < 8
+    cut = X.clauses(("word " * 19 + "idiot ") * 10_000, a)
+    assert len(cut) == 200_000 // X.CLAUSE
+
+
 def corpus():
     """Toxic texts hold words of an invented language that clean ones lack, one of them only by its beginning."""
     rows, labels = [], []
