@@ -33,6 +33,9 @@ from bvengine.llm.common import stored
 LENGTH, END = 1024, 0
 FEATURES, DIMS, BITS = 256, 4, 12
 OTHER_SPACE = re.compile(r"[^\S \n]")
+#: The same characters one by one: looking for each is faster than the pattern.
+OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+ASCII_SPACES = [c for c in OTHER_SPACES if c.isascii()]
 #: The merging library's pattern fails on runs of a million blanks or line ends.
 LONG_SPACE = 100_000
 LONG_RUN = re.compile(r"[ \n]{%d}" % LONG_SPACE)
@@ -82,27 +85,30 @@ def merger(path: str):
 def encode(path: str, texts: list[str], kind: str) -> list[bytes]:
     """Ids of each text as the tokenizer gives them. Letters, digits, punctuation and plain white space are classed
     alike by both libraries; a text with other white space, a long run of it, or the string of an added token goes through the tokenizer itself."""
-    fast = merger(path)
+    fast, special = merger(path), added(path)
     return [
         np.array(tokenizer(path).encode(t, add_special_tokens=False).ids, kind).tobytes()
-        if OTHER_SPACE.search(t) or any(x in t for x in added(path)) or len(t) >= LONG_SPACE and LONG_RUN.search(t)
-        else fast.encode_to_numpy(t, disallowed_special=()).astype(kind).tobytes()
+        if has_other_space(t) or any(x in t for x in special) or len(t) >= LONG_SPACE and LONG_RUN.search(t)
+        else np.array(fast.encode_ordinary(t), kind).tobytes()
         for t in texts
     ]
 
 
+def has_other_space(text: str) -> bool:
+    """Whether the text holds white space other than blanks and line ends."""
+    return any(c in text for c in (ASCII_SPACES if text.isascii() else OTHER_SPACES))
+
+
 def vectors(ids: list[np.ndarray]) -> np.ndarray:
     """A point in DIMS dimensions per document."""
-    out = np.zeros((len(ids), FEATURES))
-    for row, i in zip(out, ids, strict=True):
-        if len(i):
-            h = i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            bucket = (h >> np.uint64(56)).astype(np.intp)
-            sign = np.where((h >> np.uint64(55)) & np.uint64(1), 1.0, -1.0)
-            v = np.bincount(bucket, sign, FEATURES)
-            v = np.sign(v) * np.log1p(np.abs(v))
-            row[:] = v / (np.linalg.norm(v) or 1.0)
-    return out @ directions()
+    every = np.concatenate([*ids, np.zeros(0, np.uint16)]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    row = np.repeat(np.arange(len(ids)) * FEATURES, [len(i) for i in ids])
+    place = row + (every >> np.uint64(56)).astype(np.intp)
+    sign = 1.0 - 2.0 * (((every >> np.uint64(55)) & np.uint64(1)) == 0)
+    v = np.bincount(place, sign, len(ids) * FEATURES).reshape(len(ids), FEATURES)
+    v = np.sign(v) * np.log1p(np.abs(v))
+    norm = np.linalg.norm(v, axis=1, keepdims=True)
+    return v / np.where(norm, norm, 1) @ directions()
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
