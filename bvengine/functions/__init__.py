@@ -13,6 +13,7 @@ from .exprs import (
     strip_text,
     task_key,
     truth,
+    varchar,
     zip5,
 )
 
@@ -31,5 +32,6 @@ __all__ = [
     "strip_text",
     "task_key",
     "truth",
+    "varchar",
     "zip5",
 ]

@@ -33,13 +33,21 @@ def digits_fixed(c: ColumnOrName, n: int) -> Column:
     return F.when(F.length(d) == n, d)
 
 
+def varchar(c: ColumnOrName, width: int = 30) -> Column:
+    """``CAST(c AS VARCHAR(width))``: the first ``width`` characters; a cast
+    that declares no width keeps 30.  NULL stays NULL."""
+    if width < 1:
+        raise ValueError("width must be positive")
+    return F.substring(col(c).cast("string"), 1, width)
+
+
 def zip5(c: ColumnOrName) -> Column:
-    """First five digits, NULL unless five digits exist.
+    """First five digits of the first 30 characters, NULL unless five exist.
 
-    ``1234-5678`` gives ``12345``: the strip runs before the cut, as in the
-    source statement.
+    ``1234-5678`` gives ``12345``: the strip runs before the cut to five, and
+    after the cast that keeps 30 characters, as in the source statement.
     """
-    d = F.substring(digits_only(c), 1, 5)
+    d = F.substring(digits_only(varchar(c)), 1, 5)
     return F.when(F.length(d) == 5, d).cast("string")
 
 

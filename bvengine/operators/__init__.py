@@ -6,7 +6,7 @@ table; the business rules in ``bvengine.plans`` compose them.
 
 from .aggregate import flag_pivot, has_all
 from .gates import blocked_keys, exclude_unless_stale, hot_key_salt
-from .joins import SALTS, dealt_join, join_on_first_key, left_join_on, qcol, role_join, salt_of, with_member_flag
+from .joins import SALTS, dealt_join, hot_keys, join_on_first_key, left_join_on, qcol, role_join, salt_of, with_member_flag
 from .limit import top_distinct
 from .membership import attach_flags, member_summary
 from .window import latest_per_key, row_number_desc
@@ -20,6 +20,7 @@ __all__ = [
     "flag_pivot",
     "has_all",
     "hot_key_salt",
+    "hot_keys",
     "join_on_first_key",
     "latest_per_key",
     "left_join_on",

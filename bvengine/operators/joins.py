@@ -16,7 +16,7 @@ def qcol(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-#: Copies of a dimension row, over which the rows of one key are dealt.
+#: Copies of a row of a small right side, over which the rows of one key are dealt.
 SALTS = 16
 
 
@@ -28,6 +28,45 @@ def salt_of(key: Column, by: Sequence[Column | str], salts: int) -> Column:
     return F.when(key.isNull(), h).otherwise(F.pmod(h, F.lit(salts).cast("bigint")))
 
 
+def hot_keys(df: DataFrame, key: Column | str) -> DataFrame:
+    """Keys of ``df`` that alone hold more rows than an average shuffle
+    partition (``__hot``), with the number of such partitions that their rows
+    fill (``__shares``, above 1).
+
+    One narrow aggregation with partial sums.  Keys above the average are
+    fewer than ``spark.sql.shuffle.partitions``, whatever the input, so the
+    result is small enough to be broadcast.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(col(key).alias("__hot")).filter(F.col("__hot").isNotNull()).groupBy("__hot").agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    shares = F.ceil(F.col("__n") * F.lit(partitions).cast("double") / total)
+    return counts.withColumn("__shares", shares).filter(F.col("__shares") > 1).select("__hot", "__shares")
+
+
+def with_shares(df: DataFrame, key: str, hot: DataFrame, by: Sequence[Column | str], hint: str | None = None) -> DataFrame:
+    """``df`` with ``__shares``, that of its key in ``hot`` (``hot_keys``) or 1.
+
+    ``hot`` is broadcast, as its size is bounded.  With a join ``hint`` it is
+    shuffled instead, and the rows of a key are dealt over ``SALTS`` copies.
+    """
+    if hint is None:
+        out = df.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    else:
+        copies = hot.withColumn("__hs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        out = df.withColumn("__ks", salt_of(F.col(key), by, SALTS))
+        out = out.join(copies.hint(hint), (F.col(key) == F.col("__hot")) & (F.col("__ks") == F.col("__hs")), "left").drop("__ks", "__hs")
+    return out.withColumn("__shares", F.coalesce("__shares", F.lit(1).cast("bigint"))).drop("__hot")
+
+
+def repeated(df: DataFrame, key: str, hot: DataFrame, name: str, hint: str | None = None) -> DataFrame:
+    """Rows of ``df`` once per share of their key, numbered in ``name``; rows
+    of keys that are not hot once, as share 0."""
+    out = df.join(hot.hint(hint) if hint else F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    shares = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__shares", F.lit(1).cast("bigint")) - 1)
+    return out.withColumn(name, F.explode(shares)).drop("__hot", "__shares")
+
+
 def dealt_join(
     left: DataFrame,
     right: DataFrame,
@@ -35,24 +74,38 @@ def dealt_join(
     right_key: str,
     how: str = "left",
     by: Sequence[Column | str] | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
     hint: str | None = None,
 ) -> DataFrame:
     """Equi-join in which no key sends all its rows to one task.
 
-    Rows of ``left`` are dealt by ``salt_of`` (over the columns ``by``,
-    default all), and each row of ``right`` is repeated per share, so the
-    result is that of the plain join.  Meant for a ``right`` that is small
-    beside ``left``; with ``salts=1`` only NULL keys are spread and ``right``
-    is not repeated.  ``hint`` is a join hint for ``right``.
+    The rows of a hot key (``hot_keys`` of ``left``) are dealt over its shares
+    by a hash of the columns ``by`` (default all), and only the rows of
+    ``right`` with such a key are repeated, so the result is that of the plain
+    join and a row of any other key is shuffled once.  Rows with a NULL key
+    are spread over all tasks.
+
+    ``left`` is read twice, the first time for its key alone.  Where that
+    costs more than copies of a small ``right``, ``salts`` deals every key over
+    so many shares and repeats every row of ``right``; with ``salts=1`` only
+    NULL keys are spread.  ``hint`` is a join hint for ``right``.
     """
-    out = left.withColumn("__lk", col(left_key)).withColumn("__ls", salt_of(F.col("__lk"), by or [qcol(c) for c in left.columns], salts))
-    r = right.filter(qcol(right_key).isNotNull())
-    shares = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) if salts > 1 else F.lit(0).cast("bigint")
-    r = r.withColumn("__rs", shares)
+    by = by or [qcol(c) for c in left.columns]
+    out = left.withColumn("__lk", col(left_key))
+    r = right.filter(qcol(right_key).isNotNull()).withColumn("__rk", qcol(right_key))
+    zero = F.lit(0).cast("bigint")
+    if salts is None:
+        hot = hot_keys(out, "__lk")
+        h = F.xxhash64(*[col(c) for c in by])
+        out = with_shares(out, "__lk", hot, by, hint)
+        out = out.withColumn("__ls", F.when(F.col("__lk").isNull(), h).otherwise(F.pmod(h, F.col("__shares")))).drop("__shares")
+        r = repeated(r, "__rk", hot, "__rs", hint)
+    else:
+        out = out.withColumn("__ls", salt_of(F.col("__lk"), by, salts))
+        r = r.withColumn("__rs", F.explode(F.sequence(zero, F.lit(salts - 1).cast("bigint"))) if salts > 1 else zero)
     r = r.hint(hint) if hint else r
-    on = (F.col("__lk") == r[f"`{right_key}`"]) & (F.col("__ls") == F.col("__rs"))
-    return out.join(r, on, how).drop("__lk", "__ls", "__rs")
+    on = (F.col("__lk") == F.col("__rk")) & (F.col("__ls") == F.col("__rs"))
+    return out.join(r, on, how).drop("__lk", "__ls", "__rk", "__rs")
 
 
 def role_join(
@@ -64,7 +117,7 @@ def role_join(
     columns: Sequence[str] | None = None,
     how: str = "left",
     by: Sequence[Column | str] | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
     hint: str | None = None,
 ) -> DataFrame:
     """Join one role of a dimension (the same table under another alias).
@@ -88,7 +141,7 @@ def join_on_first_key(
     how: str = "left",
     key_name: str = "__first_key",
     keep_key: bool = False,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join on ``COALESCE(keys...)``: the first non-NULL candidate key."""
     out = left.withColumn(key_name, F.coalesce(*[col(k) for k in keys]))

@@ -4,15 +4,18 @@ The plan has two levels.  Member-level work runs on one row per program
 member; only then are members joined to their coverages (about ten per
 member), so the wide coverage rows are shuffled as few times as possible.
 Nothing runs while the plan is built, and no size decides its shape: Spark
-picks broadcasts from bytes at run time, and the keys that can be hot (sites,
-providers, payers, the unnamed task) are always dealt over many tasks.
+picks broadcasts from bytes at run time.  Accounts that hold more member roles
+than an average shuffle partition are found by one narrow aggregation inside
+the plan, and only these are repeated and their members dealt; payers and the
+unnamed task are always dealt over many tasks.
 
 member level
   1. program members cut to the programs / Pending / Benefits Investigation;
   2. LEFT SEMI to members holding both Active consents (one aggregation);
   3. the six party roles in long form (member, role, account): one join with
      the accounts and their latest primary contact (one window), one pivot
-     back per member; NULL keys never enter it;
+     back per member, with a row per combination where ids repeat; NULL keys
+     never enter it;
   4. the per-member coverage summary (the eight ``IN`` lists of the source
      as one aggregation);
 coverage level
@@ -34,7 +37,7 @@ from .. import config as C
 from ..config import RULES, Rules, RulesConfig
 from ..functions.cutoff import cutoff_literal
 from ..operators.gates import exclude_unless_stale, hot_key_salt
-from ..operators.joins import SALTS, dealt_join
+from ..operators.joins import SALTS, dealt_join, hot_keys, repeated, with_shares
 from ..operators.limit import top_distinct
 from ..operators.membership import attach_flags
 from ..sources.loader import DomainTables
@@ -76,37 +79,59 @@ def party_dimension(account: DataFrame, contact_info: DataFrame, cfg: Rules = RU
     return acct.withColumn("kind", kind).join(contact, F.col("id") == F.col("account_mvn__c"), "left").drop("account_mvn__c")
 
 
-def with_parties(m: DataFrame, party: DataFrame, member_id: str = "pm_id", roles=ROLES, hint: str | None = None) -> DataFrame:
+def role_keys(m: DataFrame, member_id: str = "pm_id", roles=ROLES) -> DataFrame:
+    """One row (member, role, kind, key) per role whose key is not NULL."""
+    entries = F.array(*[F.struct(F.lit(p).alias("role"), F.lit(kind).alias("kind"), F.col(k).alias("key")) for p, k, kind, _ in roles])
+    return m.select(member_id, F.explode(F.filter(entries, lambda e: e["key"].isNotNull())).alias("e")).select(member_id, "e.*")
+
+
+def with_parties(
+    m: DataFrame, party: DataFrame, member_id: str = "pm_id", roles=ROLES, hint: str | None = None, hot: DataFrame | None = None
+) -> DataFrame:
     """``m`` with each role's account columns, prefixed; NULL where the role's
     key is NULL or names no account of the role's kind.
 
-    ``member_id`` and the accounts' ``id`` are unique (record ids).  The role
-    keys are joined in long form, so accounts and contacts are read, ranked
-    and shuffled once for all roles.  Patients have one member each; sites and
-    providers serve many, so their rows are repeated ``SALTS`` times and the
-    members of one are dealt over the copies.
+    As in the chain of joins that this stands for, a key that names several
+    accounts of its kind gives a row for each, several roles all their
+    combinations, and every row of ``m`` is one of its own, also where
+    ``member_id`` repeats.  Accounts that are equal in every used column count
+    once (the statement is a DISTINCT).
+
+    The role keys are joined in long form, so accounts and contacts are read,
+    ranked and shuffled once for all roles.  Accounts of hot keys (``hot``,
+    default the ``hot_keys`` of these roles) are repeated and their members
+    dealt over the copies; any other account row is shuffled once.
     """
-    entries = F.array(*[F.struct(F.lit(p).alias("role"), F.lit(kind).alias("kind"), F.col(k).alias("key")) for p, k, kind, _ in roles])
-    long = m.select(member_id, F.explode(F.filter(entries, lambda e: e["key"].isNotNull())).alias("e")).select(member_id, "e.*")
-    salt = F.pmod(F.xxhash64(member_id, "role"), F.lit(SALTS).cast("bigint"))
-    zero = F.lit(0).cast("bigint")
-    long = long.withColumn("salt", F.when(F.col("kind") == "patient", zero).otherwise(salt))
+    long = role_keys(m, member_id, roles)
+    hot = hot_keys(long, "key") if hot is None else hot
+    by = [member_id, "role"]
+    long = with_shares(long, "key", hot, by, hint).withColumn("salt", F.pmod(F.xxhash64(*by), F.col("__shares"))).drop("__shares")
     wanted = list(dict.fromkeys(c for _, _, _, cols in roles for c in cols))
-    copies = F.when(F.col("kind") == "patient", F.array(zero)).otherwise(F.sequence(zero, F.lit(SALTS - 1).cast("bigint")))
-    side = party.select("kind", F.explode(copies).alias("salt"), *wanted)
+    side = repeated(party.select("kind", *wanted), "id", hot, "copy", hint).withColumnRenamed("kind", "of_kind")
     side = side.hint(hint) if hint else side
-    on = (long["key"] == side["id"]) & (long["kind"] == side["kind"]) & (long["salt"] == side["salt"])
-    found = long.join(side, on).select(member_id, "role", F.struct(*wanted).alias("party"))
-    found = found.groupBy(F.col(member_id).alias("__pm")).agg(F.collect_list(F.struct("role", "party")).alias("__parties"))
-
-    def of(role: str) -> Column:
-        return F.get(F.filter("__parties", lambda x: x["role"] == F.lit(role)), F.lit(0))["party"]
-
-    found = found.select("__pm", *[of(p).alias(f"__{p}") for p, *_ in roles])
+    on = (F.col("key") == F.col("id")) & (F.col("kind") == F.col("of_kind")) & (F.col("salt") == F.col("copy"))
+    found = long.join(side, on).select(member_id, "role", "key", F.struct(*wanted).alias("party"))
+    found = found.groupBy(F.col(member_id).alias("__pm")).agg(F.array_distinct(F.collect_list(F.struct("role", "key", "party"))).alias("__parties"))
     found = found.hint(hint) if hint else found
     out = m.join(found, F.col(member_id) == F.col("__pm"), "left")
+
+    def of(role: str, key: str) -> Column:
+        return F.filter("__parties", lambda x: (x["role"] == F.lit(role)) & (x["key"] == F.col(key)))
+
+    out = out.withColumns({f"__{p}": of(p, k) for p, k, _, _ in roles})
+    # the combinations, numbered: one in all but a few rows
+    size = {p: F.greatest(F.coalesce(F.size(f"__{p}"), F.lit(1)), F.lit(1)) for p, *_ in roles}
+    ways = F.lit(1)
+    for p, *_ in roles:
+        ways = ways * size[p]
+    out = out.withColumn("__way", F.explode(F.sequence(F.lit(0), ways - 1)))
+    step, picked = F.lit(1), {}
+    for p, *_ in roles:
+        picked[f"__{p}"] = F.get(f"__{p}", F.pmod(F.floor(F.col("__way") / step).cast("int"), size[p]))["party"]
+        step = step * size[p]
+    out = out.withColumns(picked)
     out = out.withColumns({f"{p}{c}": F.col(f"__{p}")[c] for p, _, _, cols in roles for c in cols})
-    return out.drop("__pm", *[f"__{p}" for p, *_ in roles])
+    return out.drop("__pm", "__parties", "__way", *[f"__{p}" for p, *_ in roles])
 
 
 def _party_block(p: str, pbi: Column | None = None) -> list[Column]:
@@ -209,6 +234,15 @@ def benefit_verification_extract(
     gated = t.program_member.filter(
         R.program_status_gate("program_name_mvn__c", "status_mvn__c", "status_reason_mvn__c", cfg)
     )
+    role_key = {
+        "__h_key": F.coalesce("physician_mvn__c", "enrolling_physician_mvn__c"),
+        "__e_key": F.coalesce("hzn_updated_site_of_care__c", "site_of_care_mvn__c"),
+        "__e1_key": F.col("hzn_asoc_opt_1__c"),
+        "__e2_key": F.col("hzn_asoc_opt_2__c"),
+        "__e3_key": F.col("hzn_asoc_opt_3__c"),
+    }
+    # hot sites and providers, counted over the gated members: a narrow scan
+    hot = hot_keys(role_keys(gated.select(F.col("id").alias("pm_id"), "member_mvn__c", *[c.alias(n) for n, c in role_key.items()])), "key")
     consents, coverages = t.authorization_consent, t.benefits_coverage
     if reduce_by_members:
         ids = side(gated.select(F.col("id").alias("__rk")))
@@ -221,11 +255,7 @@ def benefit_verification_extract(
         F.col("status_reason_mvn__c").alias("pm_reason"),
         F.col("program_name_mvn__c").alias("pm_program"),
         "member_mvn__c", "patient_birthdate_mvn__c",
-        F.coalesce("physician_mvn__c", "enrolling_physician_mvn__c").alias("__h_key"),
-        F.coalesce("hzn_updated_site_of_care__c", "site_of_care_mvn__c").alias("__e_key"),
-        F.col("hzn_asoc_opt_1__c").alias("__e1_key"),
-        F.col("hzn_asoc_opt_2__c").alias("__e2_key"),
-        F.col("hzn_asoc_opt_3__c").alias("__e3_key"),
+        *[c.alias(n) for n, c in role_key.items()],
         "hzn_kxx_primary_diagnosis__c", "hzn_primary_diagnosis__c",
         "hzn_other_primary_diagnosis__c", "hzn_secondary_dx_code__c",
     )
@@ -236,7 +266,7 @@ def benefit_verification_extract(
 
     # 3. parties.  The member account is INNER, then the raw-state exclusion;
     #    the provider exclusion's three-valued NOT drops members without one.
-    m = with_parties(m, party_dimension(t.account, t.contact_info, cfg, join_hint), hint=join_hint)
+    m = with_parties(m, party_dimension(t.account, t.contact_info, cfg, join_hint), hint=join_hint, hot=hot)
     m = m.filter(F.col("pe_id").isNotNull() & R.state_exclusion("pe_state_mvn__c", cfg))
     m = m.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg.excluded_providers))
 
@@ -260,7 +290,7 @@ def benefit_verification_extract(
         "hzn_plan_member_id__c", "payer_phone_mvn__c", "plan_name_mvn__c",
     ).filter(R.completeness_gate("bc_payer", "hzn_plan_member_id__c"))
     hpm = t.payer_mapping.select(F.col("payer_name").alias("hpm_name"), F.col("infinitus_payer_id").alias("hpm_id"))
-    bc = dealt_join(bc, hpm, "bc_payer", "hpm_name", "left", by=["bc_id"], hint=join_hint)
+    bc = dealt_join(bc, hpm, "bc_payer", "hpm_name", "left", by=["bc_id"], salts=SALTS, hint=join_hint)
     bc = bc.withColumn("payer_id", R.resolve_payer_id("hpm_id", "bc_payer")).filter(R.supported_payer("payer_id"))
 
     # 6. members x coverages (the one join between the two levels)

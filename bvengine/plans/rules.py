@@ -27,7 +27,7 @@ from ..functions.exprs import (
     zip5,
 )
 from ..operators.aggregate import has_all
-from ..operators.joins import dealt_join
+from ..operators.joins import SALTS, dealt_join
 from ..operators.membership import member_summary
 from ..operators.window import latest_per_key
 
@@ -227,7 +227,7 @@ def coverage_summary(
             raise ValueError("parity='intent' needs the payer map")
         m = payer_map.select(F.col("payer_name").alias("__pn"), F.col("infinitus_payer_id").alias("__pid"))
         src = src.withColumn("__payer", payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c"))
-        src = dealt_join(src, m, "__payer", "__pn", "left", hint=hint)
+        src = dealt_join(src, m, "__payer", "__pn", "left", salts=SALTS, hint=hint)
         gap = unsupported_non_blues("__pid", "__payer")
         ffs = (~pt.isin(*C.SEGMENT_TYPES)) | (pt.isin(*C.SEGMENT_TYPES) & gap)
         comm = gap

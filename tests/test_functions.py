@@ -13,6 +13,7 @@ from bvengine.functions import (
     repull_cutoff_col,
     strip_text,
     task_key,
+    varchar,
     zip5,
 )
 
@@ -36,6 +37,19 @@ def test_zip5(spark):
     assert got == ["12345", "12345", None, None, None, "98765"]
 
 
+def test_zip5_reads_thirty_characters(spark):
+    raw = ["x" * 30 + "12345", "x" * 25 + "12345", "x" * 26 + "12345", "1234" + "-" * 26 + "5", "12345" + "9" * 40, "é" * 25 + "54321", ""]
+    assert one_col(spark, raw, zip5) == [None, "12345", None, None, "12345", "54321", None]
+
+
+def test_varchar(spark):
+    assert one_col(spark, ["a" * 31, "b" * 30, "", None], varchar) == ["a" * 30, "b" * 30, "", None]
+    assert one_col(spark, ["漢字かな", "🙂🙂🙂"], lambda c: varchar(c, 2)) == ["漢字", "🙂🙂"]
+    assert one_col(spark, [12345], lambda c: varchar(c, 3), "int") == ["123"]
+    with pytest.raises(ValueError):
+        varchar("v", 0)
+
+
 def test_null_safe_concat_and_task_key(spark):
     df = spark.createDataFrame([("a", "b"), (None, "b"), ("a", None), (None, None)], "x string, y string")
     got = [r[0] for r in df.select(task_key("x", "y")).collect()]
