@@ -5,7 +5,7 @@ table; the business rules in ``bvengine.plans`` compose them.
 """
 
 from .aggregate import flag_pivot, has_all
-from .gates import blocked_keys, exclude_unless_stale, hot_key_salt
+from .gates import blocked_keys, exclude_unless_stale, hot_key_salt, log_state, merge_log_state
 from .joins import SALTS, dealt_join, hot_keys, join_on_first_key, left_join_on, qcol, role_join, salt_of, with_member_flag
 from .limit import top_distinct
 from .membership import attach_flags, member_summary
@@ -24,7 +24,9 @@ __all__ = [
     "join_on_first_key",
     "latest_per_key",
     "left_join_on",
+    "log_state",
     "member_summary",
+    "merge_log_state",
     "qcol",
     "role_join",
     "row_number_desc",

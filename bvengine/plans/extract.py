@@ -29,6 +29,7 @@ coverage level
 from __future__ import annotations
 
 import datetime as _dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import RULES, Rules, RulesConfig
 from ..functions.cutoff import cutoff_literal
-from ..operators.gates import exclude_unless_stale, hot_key_salt
+from ..operators.gates import exclude_unless_stale, hot_key_salt, log_state, merge_log_state
 from ..operators.joins import SALTS, dealt_join, hot_keys, repeated, with_shares
 from ..operators.limit import top_distinct
 from ..operators.membership import attach_flags
@@ -209,21 +210,47 @@ def output_columns(cfg: Rules = RULES) -> list[Column]:
     return [e.alias(n) for e, n in zip(exprs, OUTPUT_COLUMNS)]
 
 
+class LogStates(NamedTuple):
+    """Per task id, what the gates need of the rows of both submission logs."""
+
+    outbound: DataFrame
+    allcare: DataFrame
+
+
+def outbound_sums() -> dict[str, Column]:
+    return {"count_accepted": F.sum("is_accepted")}
+
+
+def log_states(outbound_log: DataFrame, allcare_log: DataFrame, earlier: LogStates | None = None) -> LogStates:
+    """The states of both logs; with ``earlier`` ones, of these and the given
+    later rows together.  To be written as tables after a run, so that the next
+    run reads a row per task and the rows that came since, not all history."""
+    now = LogStates(
+        log_state(outbound_log, "customer bv task id", "extraction_date", outbound_sums()),
+        log_state(allcare_log, "customer bv task id", "extraction date"),
+    )
+    return now if earlier is None else LogStates(*[merge_log_state(a, b) for a, b in zip(earlier, now)])
+
+
 def benefit_verification_extract(
     t: DomainTables,
     as_of: _dt.datetime,
     cfg: RulesConfig,
     join_hint: str | None = None,
     reduce_by_members: bool = False,
+    states: LogStates | None = None,
 ) -> DataFrame:
     """The work list.  ``as_of`` replaces the server clock; ``cfg.cap=None``
     returns every distinct row.
 
     ``join_hint="merge"`` makes every join a shuffled one.
     ``reduce_by_members`` first cuts consents and coverages to the gated
-    members by semi joins, which pays where most members are not gated; the
-    result is the same.
+    members by semi joins, and both logs to the task ids of their coverages,
+    which pays where most members are not gated; the result is the same.
+    With ``states`` (``log_states`` of the rows up to the last run) the logs of
+    ``t`` hold only the rows that came since.
     """
+    outbound_state, allcare_state = states or (None, None)
     cutoff = cutoff_literal(as_of, cfg)
 
     def side(df: DataFrame) -> DataFrame:
@@ -301,16 +328,22 @@ def benefit_verification_extract(
     )
     x = x.filter(R.segment_filter("hzn_plan_coverage_type__c", "govt_flag", cfg))
 
+    live = None
+    if reduce_by_members:
+        names = gated.select(F.col("id").alias("__rk"), F.col("name").alias("pm_name"))
+        kept = coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select("program_member_mvn__c", F.col("name").alias("bc_name"))
+        live = kept.join(side(names), F.col("program_member_mvn__c") == F.col("__rk")).select(R.task_id("bc_name", "pm_name").alias("task_id"))
+
     # 7. submission logs: drop tasks already sent unless stale (and accepted);
     #    both anti joins share the partitioning by task id and salt.
     x = x.withColumn("__task_salt", hot_key_salt("task_id", UNNAMED_TASK, ["bc_id"]))
     x = exclude_unless_stale(
         x, "task_id", t.outbound_log, "customer bv task id", "extraction_date", cutoff,
-        extra_aggs={"count_accepted": F.sum("is_accepted")}, extra_cond=F.col("count_accepted") > 0,
-        hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint,
+        extra_aggs=outbound_sums(), extra_cond=F.col("count_accepted") > 0,
+        hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint, state=outbound_state, live=live,
     )
     x = exclude_unless_stale(x, "task_id", t.allcare_log, "customer bv task id", "extraction date", cutoff,
-                             hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint)
+                             hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint, state=allcare_state, live=live)
 
     # 8. project, DISTINCT, cap
     out = x.select(*output_columns(cfg))
