@@ -298,7 +298,8 @@ def factored(stretch: DataFrame, window: int, dealt: int) -> DataFrame:
     known = stretch.where(F.col("kind") != ALONE).join(many, "home", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     own = F.array(F.pmod(F.xxhash64("row", "start"), F.col("copies")))
     copy = F.when(F.col("kind") == TARGET, own).otherwise(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
-    return known.withColumn("copy", F.explode(copy)).groupBy("home", "copy").applyInPandas(of, FACTORS)
+    # dealt by both: rows that the join leaves dealt by home alone would serve the groups too, all copies in one task
+    return known.withColumn("copy", F.explode(copy)).repartition("home", "copy").groupBy("home", "copy").applyInPandas(of, FACTORS)
 
 
 def remainder(left: DataFrame, window: int) -> DataFrame:
