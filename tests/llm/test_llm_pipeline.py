@@ -20,7 +20,7 @@ def test_query_matches_its_sql(spark, name):
 
 def test_registered_names():
     ops = [n for n in E.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in ops] == list(range(1, 11)) and "pipeline" in E.queries()
+    assert [int(n[2:].split("_")[0]) for n in ops] == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
