@@ -23,7 +23,8 @@ coverage level
      resolved payer id and its gate;
   6. members x coverages on the member id, govt flag, segment filter;
   7. LEFT ANTI the blocked task ids of both submission logs;
-  8. the 76 output expressions, DISTINCT, deterministic cap.
+  8. the 76 output expressions, DISTINCT in the partitions of the anti joins,
+     deterministic cap.
 """
 
 from __future__ import annotations
@@ -232,6 +233,38 @@ def log_states(outbound_log: DataFrame, allcare_log: DataFrame, earlier: LogStat
     return now if earlier is None else LogStates(*[merge_log_state(a, b) for a, b in zip(earlier, now)])
 
 
+def active_coverages(coverages: DataFrame, cfg: Rules = RULES) -> DataFrame:
+    """Active coverages: what the coverage level and the member summary read."""
+    return coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
+        F.col("id").alias("bc_id"),
+        F.col("name").alias("bc_name"),
+        F.col("program_member_mvn__c").alias("bc_pm"),
+        F.col("status_mvn__c").alias("bc_status"),
+        "hzn_pm_id__c",
+        "hzn_plan_coverage_type__c",
+        R.tier("hzn_insurance_type__c", "coverage_type_mvn__c").alias("bc_tier"),
+        R.payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c").alias("bc_payer"),
+        "hzn_plan_member_id__c", "payer_phone_mvn__c", "plan_name_mvn__c",
+    )
+
+
+def with_mapped_payer(bc: DataFrame, payer_mapping: DataFrame, hint: str | None = None) -> DataFrame:
+    """LEFT payer map (a repeated payer name fans out, as in the source);
+    coverages of a hot payer, or without one, are dealt."""
+    hpm = payer_mapping.select(F.col("payer_name").alias("hpm_name"), F.col("infinitus_payer_id").alias("hpm_id"))
+    return dealt_join(bc, hpm, "bc_payer", "hpm_name", "left", by=["bc_id"], salts=SALTS, hint=hint).drop("hpm_name")
+
+
+def resolved_coverages(coverages: DataFrame, payer_mapping: DataFrame, cfg: Rules = RULES, hint: str | None = None) -> DataFrame:
+    """Active coverages with their mapped payer id, to be written as a table
+    that the extract reads in place of both inputs (``resolved``): the payer
+    map is then joined once for the coverage level and the member summary, and
+    the summary's second read is one of five columns.  Written with
+    ``sources.write_bucketed`` on ``bc_pm``, the join with the members moves no
+    coverage."""
+    return with_mapped_payer(active_coverages(coverages, cfg), payer_mapping, hint)
+
+
 def benefit_verification_extract(
     t: DomainTables,
     as_of: _dt.datetime,
@@ -239,6 +272,7 @@ def benefit_verification_extract(
     join_hint: str | None = None,
     reduce_by_members: bool = False,
     states: LogStates | None = None,
+    resolved: DataFrame | None = None,
 ) -> DataFrame:
     """The work list.  ``as_of`` replaces the server clock; ``cfg.cap=None``
     returns every distinct row.
@@ -248,7 +282,9 @@ def benefit_verification_extract(
     members by semi joins, and both logs to the task ids of their coverages,
     which pays where most members are not gated; the result is the same.
     With ``states`` (``log_states`` of the rows up to the last run) the logs of
-    ``t`` hold only the rows that came since.
+    ``t`` hold only the rows that came since.  With ``resolved``
+    (``resolved_coverages``, read back) coverages and payer map of ``t`` are
+    not read.
     """
     outbound_state, allcare_state = states or (None, None)
     cutoff = cutoff_literal(as_of, cfg)
@@ -270,11 +306,12 @@ def benefit_verification_extract(
     }
     # hot sites and providers, counted over the gated members: a narrow scan
     hot = hot_keys(role_keys(gated.select(F.col("id").alias("pm_id"), "member_mvn__c", *[c.alias(n) for n, c in role_key.items()])), "key")
-    consents, coverages = t.authorization_consent, t.benefits_coverage
+    consents = t.authorization_consent
+    coverages = active_coverages(t.benefits_coverage, cfg) if resolved is None else resolved
     if reduce_by_members:
         ids = side(gated.select(F.col("id").alias("__rk")))
         consents = consents.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
-        coverages = coverages.join(ids, F.col("program_member_mvn__c") == F.col("__rk"), "left_semi")
+        coverages = coverages.join(ids, F.col("bc_pm") == F.col("__rk"), "left_semi")
     m = gated.select(
         F.col("id").alias("pm_id"),
         F.col("name").alias("pm_name"),
@@ -298,26 +335,18 @@ def benefit_verification_extract(
     m = m.filter(R.provider_exclusion("h_firstname", "h_lastname", cfg.excluded_providers))
 
     # 4. member summary: the eight IN lists of the source as one aggregation
-    summary = R.coverage_summary(
-        t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)), t.payer_mapping, cfg, join_hint
-    )
+    if resolved is not None:
+        summary = R.resolved_summary(resolved, cfg)
+    else:
+        active = t.benefits_coverage.filter(F.col("status_mvn__c") == F.lit(cfg.active_status))
+        summary = R.coverage_summary(active, t.payer_mapping, cfg, join_hint)
     m = attach_flags(m, "pm_name", summary, "hzn_pm_id__c", R.SUMMARY_FLAGS, join_hint)
 
     # ---- coverage level ----
-    # 5. Active coverages with a payer name and a subscriber id, payer map:
-    #    LEFT (a repeated payer name fans out, as in the source)
-    bc = coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select(
-        F.col("id").alias("bc_id"),
-        F.col("name").alias("bc_name"),
-        F.col("program_member_mvn__c").alias("bc_pm"),
-        F.col("status_mvn__c").alias("bc_status"),
-        "hzn_plan_coverage_type__c",
-        R.tier("hzn_insurance_type__c", "coverage_type_mvn__c").alias("bc_tier"),
-        R.payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c").alias("bc_payer"),
-        "hzn_plan_member_id__c", "payer_phone_mvn__c", "plan_name_mvn__c",
-    ).filter(R.completeness_gate("bc_payer", "hzn_plan_member_id__c"))
-    hpm = t.payer_mapping.select(F.col("payer_name").alias("hpm_name"), F.col("infinitus_payer_id").alias("hpm_id"))
-    bc = dealt_join(bc, hpm, "bc_payer", "hpm_name", "left", by=["bc_id"], salts=SALTS, hint=join_hint)
+    # 5. Active coverages with a payer name and a subscriber id, payer map
+    bc = coverages.filter(R.completeness_gate("bc_payer", "hzn_plan_member_id__c")).drop("hzn_pm_id__c")
+    if resolved is None:
+        bc = with_mapped_payer(bc, t.payer_mapping, join_hint)
     bc = bc.withColumn("payer_id", R.resolve_payer_id("hpm_id", "bc_payer")).filter(R.supported_payer("payer_id"))
 
     # 6. members x coverages (the one join between the two levels)
@@ -331,8 +360,8 @@ def benefit_verification_extract(
     live = None
     if reduce_by_members:
         names = gated.select(F.col("id").alias("__rk"), F.col("name").alias("pm_name"))
-        kept = coverages.filter(F.col("status_mvn__c") == F.lit(cfg.active_status)).select("program_member_mvn__c", F.col("name").alias("bc_name"))
-        live = kept.join(side(names), F.col("program_member_mvn__c") == F.col("__rk")).select(R.task_id("bc_name", "pm_name").alias("task_id"))
+        kept = coverages.select("bc_pm", "bc_name")
+        live = kept.join(side(names), F.col("bc_pm") == F.col("__rk")).select(R.task_id("bc_name", "pm_name").alias("task_id"))
 
     # 7. submission logs: drop tasks already sent unless stale (and accepted);
     #    both anti joins share the partitioning by task id and salt.
@@ -345,6 +374,8 @@ def benefit_verification_extract(
     x = exclude_unless_stale(x, "task_id", t.allcare_log, "customer bv task id", "extraction date", cutoff,
                              hot_key=UNNAMED_TASK, salt="__task_salt", hint=join_hint, state=allcare_state, live=live)
 
-    # 8. project, DISTINCT, cap
-    out = x.select(*output_columns(cfg))
-    return top_distinct(out, cfg.cap, order=["Customer BV Task ID"])
+    # 8. project, DISTINCT, cap.  The salt follows from the task id and the
+    #    coverage id, both output columns, and the rows lie by task id and salt
+    #    since the anti joins: the DISTINCT needs no shuffle of its own.
+    out = x.select(*output_columns(cfg), "__task_salt")
+    return top_distinct(out, cfg.cap, order=["Customer BV Task ID"], along=["__task_salt"])

@@ -219,9 +219,8 @@ def coverage_summary(
     from a repeated payer name are harmless to ``bool_or``); hot and NULL
     payer names are dealt over many tasks.
     """
-    pt = F.col("hzn_plan_coverage_type__c")
-    t = tier("hzn_insurance_type__c", "coverage_type_mvn__c")
-    src = active_coverage
+    src = active_coverage.withColumn("__tier", tier("hzn_insurance_type__c", "coverage_type_mvn__c"))
+    gap = None
     if cfg.parity == "intent":
         if payer_map is None:
             raise ValueError("parity='intent' needs the payer map")
@@ -229,12 +228,18 @@ def coverage_summary(
         src = src.withColumn("__payer", payer_name("hzn_eblu_payer_name__c", "hzn_kry_payer_name__c"))
         src = dealt_join(src, m, "__payer", "__pn", "left", salts=SALTS, hint=hint)
         gap = unsupported_non_blues("__pid", "__payer")
-        ffs = (~pt.isin(*C.SEGMENT_TYPES)) | (pt.isin(*C.SEGMENT_TYPES) & gap)
-        comm = gap
-    else:
-        ffs = F.lit(True)
-        comm = F.lit(True)
-    flags = {
+    return member_summary(src, "hzn_pm_id__c", summary_conditions("hzn_plan_coverage_type__c", "__tier", gap))
+
+
+def summary_conditions(plan_type, tier_col, gap: Column | None = None) -> dict[str, Column]:
+    """The condition of each membership list on a coverage.  ``gap`` is the
+    payer test of the FFS and commercial lists; without it they hold every
+    active coverage."""
+    pt, t = col(plan_type), col(tier_col)
+    ffs = comm = F.lit(True)
+    if gap is not None:
+        ffs, comm = (~pt.isin(*C.SEGMENT_TYPES)) | (pt.isin(*C.SEGMENT_TYPES) & gap), gap
+    return {
         "has_nc_primary": plan_is_noncommercial(pt) & (t == F.lit(C.PRIMARY)),
         "has_nc_secondary": plan_is_noncommercial(pt) & (t == F.lit(C.SECONDARY)),
         "has_not_ma_ffs": ~pt.isin(C.MEDICARE_ADVANTAGE, C.MEDICARE_FFS),
@@ -242,7 +247,13 @@ def coverage_summary(
         "has_ffs_conflict": ffs,
         "has_comm_conflict": comm,
     }
-    return member_summary(src, "hzn_pm_id__c", flags)
+
+
+def resolved_summary(resolved: DataFrame, cfg: RulesConfig) -> DataFrame:
+    """``coverage_summary`` over coverages that carry their mapped payer id
+    (``plans.extract.resolved_coverages``): no join, five narrow columns."""
+    gap = unsupported_non_blues("hpm_id", "bc_payer") if cfg.parity == "intent" else None
+    return member_summary(resolved, "hzn_pm_id__c", summary_conditions("hzn_plan_coverage_type__c", "bc_tier", gap))
 
 
 # BR-21

@@ -1,7 +1,7 @@
 """Sources: declared schemas and checked loaders (Parquet or catalog tables)."""
 
 from .loader import DRIVER_TABLES, DomainTables, SchemaError, conform, load, read_table
-from .sink import write_worklist
+from .sink import write_bucketed, write_worklist
 from .schemas import DOMAIN_SCHEMAS, OUTPUT_COLUMNS, OUTPUT_SCHEMA
 
 __all__ = [
@@ -14,5 +14,6 @@ __all__ = [
     "conform",
     "load",
     "read_table",
+    "write_bucketed",
     "write_worklist",
 ]

@@ -78,6 +78,31 @@ def test_merge_hint_leaves_no_broadcast(parquet_tables):
     assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("cap", [None, 10])
+def test_distinct_shuffles_no_row_of_the_list(parquet_tables, cap):
+    """The DISTINCT runs in the partitions of the anti joins on the task id;
+    a cap adds only the merge of each task's first rows."""
+    df = benefit_verification_extract(parquet_tables, AS_OF, CONFIG.with_(cap=cap), join_hint="merge")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above = final[: final.index("SortMergeJoin")]  # down to the anti joins
+    assert "Aggregate(keys=" in above and "Exchange hashpartitioning" not in above
+    assert ("TakeOrderedAndProject" in final) == (cap is not None)
+
+
+def test_distinct_along_a_partitioning(spark, no_broadcast):
+    """Equal rows lie in one task already: one Exchange fewer, the same rows."""
+    from bvengine.operators import top_distinct
+
+    df = spark.range(2000).select(F.pmod("id", F.lit(37)).alias("k"), F.pmod("id", F.lit(3)).cast("string").alias("v"))
+    df = df.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(4))).repartition("k", "salt")
+    plain, along = top_distinct(df.drop("salt"), 50, ["v"]), top_distinct(df, 50, ["v"], along=["salt"])
+    assert along.columns == ["k", "v"] and along.collect() == plain.collect() and len(along.collect()) == 50
+    shuffles = [plan_text(x, "simple").split("== Initial Plan ==")[0].count("Exchange") for x in (along, plain)]
+    assert shuffles == [1, 2]
+    assert sorted(top_distinct(df, None, along=["salt"]).collect()) == sorted(df.drop("salt").distinct().collect())
+
+
 def test_filters_reach_the_scan(parquet_tables):
     txt = plan_text(benefit_verification_extract(parquet_tables, AS_OF, CONFIG))
     # the program / status gate is pushed into the program-member scan
