@@ -4,8 +4,10 @@ Rules come first: each is a host (or a parent domain) with a path prefix and a v
 decides. Pages without a rule are judged by their host's record. Labelled outcomes (good 1, bad 0) are summed per
 host and shrunk through beta-binomial priors along the chain all pages -> public suffix -> registered domain ->
 host: a level's posterior mean, weighted as `strength` pseudo-pages, is the prior of the next. A host is blocked
-when the upper bound of its posterior, mean + z standard deviations, lies below `least`, so hosts with little
-evidence pass unless their domain or suffix is clearly bad.
+when the upper bound of its posterior, mean + z standard deviations, lies below `least` times the overall share of
+good outcomes, so hosts with little evidence pass unless their domain or suffix is clearly bad. The limit is relative
+because that share depends on who labels: at a share of 0.85, a host of 200 outcomes whose domain and suffix are no
+worse than others is blocked at 0.7 and less, where an absolute limit of one half would pass it.
 
 The registered query takes its labelled outcomes from ``labels``: the quality mark of the row with the page's id.
 
@@ -64,7 +66,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def reputation(outcomes: DataFrame, strength: float = 20.0, z: float = 1.645) -> DataFrame:
-    """Per host of `outcomes` (host, good 0/1 or null): pages, labelled n, good k, posterior mean and upper bound.
+    """Per host of `outcomes` (host, good 0/1 or null): pages, labelled n, good k, posterior mean, its upper bound, and
+    the overall share of good outcomes (`base`).
 
     Hosts without labelled pages get their domain's posterior, and so on up to the overall one. All sums are
     partial aggregations of the level below: pages are shuffled once, as one row per host and task.
@@ -83,25 +86,25 @@ def reputation(outcomes: DataFrame, strength: float = 20.0, z: float = 1.645) ->
     total = F.col("n") + s
     mean = a / total
     sd = F.sqrt(mean * (1 - mean) / (total + 1))
-    return hosts.select("host", "n", "k", mean.alias("mean"), F.least(F.lit(1.0), mean + F.lit(float(z)) * sd).alias("upper"))
+    return hosts.select("host", "n", "k", mean.alias("mean"), F.least(F.lit(1.0), mean + F.lit(float(z)) * sd).alias("upper"), whole.scalar().alias("base"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, strength: float = 20.0, z: float = 1.645, least: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, strength: float = 20.0, z: float = 1.645, least: float = 0.9) -> DataFrame:
     """Per row of (page_id, url): host, path, rule, verdict (allow or block) and the host's posterior mean, null
-    where a rule decides. `outcomes` is (page_id, good). Only pages without a rule are joined with the
+    where a rule decides. `outcomes` is (page_id, good); `least` is a share of the overall one. Only pages without a rule are joined with the
     reputations, one row a host; the join's large partitions are split by Spark."""
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     seen = seen.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
     hosts = pages.select("page_id", host_of(F.col("url")).alias("host"))
     marks = outcomes.select("page_id", F.col("good").cast("int").alias("good")).where("good in (0, 1)")
-    known = reputation(hosts.join(marks, "page_id", "left"), strength, z).select("host", "mean", "upper")
+    known = reputation(hosts.join(marks, "page_id", "left"), strength, z).select("host", "mean", "upper", "base")
     ruled = seen.where("r is not null").select("page_id", "host", "path", "r.rule", "r.verdict", F.lit(None).cast("double").alias("host_mean"))
     rest = (
         seen.where("r is null")
         .join(known, "host")
         .select(
             "page_id", "host", "path", F.lit(None).cast("string").alias("rule"),
-            F.when(F.col("upper") < least, "block").otherwise("allow").alias("verdict"), F.col("mean").alias("host_mean"),
+            F.when(F.col("upper") < least * F.col("base"), "block").otherwise("allow").alias("verdict"), F.col("mean").alias("host_mean"),
         )
     )
     return ruled.unionByName(rest)

@@ -56,9 +56,36 @@ def test_posterior_against_brute_force(spark):
     }
     for host, m in want.items():
         assert math.isclose(got[host]["host_mean"], m, rel_tol=1e-12), host
-    assert {h: r["verdict"] for h, r in got.items()} == {
-        "bad.org": "block", "good.org": "allow", "new.org": "allow" if got["new.org"]["host_mean"] > 0.2 else "block", "x.mean.org": "block", "y.mean.org": "block", "a.co.uk": "allow",
-    }
+    totals = {"bad.org": 81, "good.org": 62, "new.org": 0, "x.mean.org": 200, "y.mean.org": 0}
+    for host, m in want.items():
+        upper = m + 1.645 * math.sqrt(m * (1 - m) / (totals[host] + s + 1))
+        assert got[host]["verdict"] == ("block" if upper < 0.9 * (k + 1) / (n + 2) else "allow"), host
+    assert {got[h]["verdict"] for h in ("good.org", "new.org", "a.co.uk")} == {"allow"} and got["x.mean.org"]["verdict"] == "block"
+
+
+def test_planted_hosts(spark):
+    """Among hosts of 85 % good outcomes: bad ones with evidence go, also as hosts of a bad domain; a host with two
+    bad pages, one without outcomes and all others stay. The same holds at a base rate of 30 %."""
+    for share, bad_share in ((0.85, 0.4), (0.30, 0.05)):
+        pages, marks = [], []
+
+        def plant(host, n, good):
+            for j in range(n):
+                pages.append((len(pages), f"http://{host}/{j}", "c", "c", 1))
+                marks.append((len(pages) - 1, int(j < good)))
+
+        hosts = [f"h{i}.org" for i in range(30)]
+        for h in hosts:
+            plant(h, 100, round(100 * share))
+        plant("bad.org", 200, round(200 * bad_share))
+        plant("a.farm.org", 300, round(300 * bad_share))
+        plant("two.org", 2, 0)
+        for h in ("b.farm.org", "none.org"):
+            pages.append((len(pages), f"http://{h}/", "c", "c", 1))
+        got = U.judge(spark.createDataFrame(pages, SCHEMA), spark.createDataFrame(marks, "page_id long, good int"))
+        blocked = {r["host"] for r in got.filter("verdict = 'block'").select("host").distinct().collect()}
+        assert {"bad.org", "a.farm.org"} <= blocked <= {"bad.org", "a.farm.org", "b.farm.org"}, share
+        assert got.count() == len(pages)
 
 
 def test_native_plan(spark):
