@@ -132,10 +132,9 @@ def keep_first(docs: DataFrame, keep_null_ids: bool = True) -> DataFrame:
     """`docs` without the rows whose text equals that of a row with a smaller doc_id, or of an earlier row with the
     same one. Rows are told apart by a stored number, not by id. Rows with a null id all stay, or, without
     `keep_null_ids`, come last: the first of them stays where no copy has an id."""
-    columns = docs.columns
     docs, number = numbered(docs, "numbered")
     rows = identify(stored(recipes(docs, number), "recipes"))
     first = rows.groupBy("ids").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias(number)).select(number)
     if keep_null_ids:
         first = first.unionByName(docs.where("doc_id is null").select(number))
-    return docs.join(first.hint("merge"), number, "left_semi").select(*columns)  # alike at every size: never a broadcast
+    return docs.join(first.hint("merge"), number, "left_semi").drop(number)  # alike at every size: never a broadcast

@@ -346,9 +346,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, p
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with one row of each group: the one with the smallest doc_id, of rows that share it the first. A row
     without an id stays only where its group has no id at all. Rows are told apart by a stored number, not by id."""
-    columns = docs.columns
     docs, number = numbered(docs, "numbered")
     rows = grouped(docs, threshold, BANDS, PICKS, number)
     first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias(number))
     # alike at every size: never a broadcast
-    return docs.join(first.select(number).hint("merge"), number, "left_semi").select(*columns)
+    return docs.join(first.select(number).hint("merge"), number, "left_semi").drop(number)

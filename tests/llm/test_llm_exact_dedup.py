@@ -62,3 +62,15 @@ def test_keep_first(spark):
     assert kept.columns == docs.columns
     # a null id never matches an id that goes, so its row stays
     assert sorted(r["doc_id"] or 0 for r in kept.select(F.col("doc_id")).collect()) == [0, 1, 3]
+
+
+def test_column_names_with_dots_and_blanks(spark):
+    """Both dedup operators keep the columns as they are, whatever their names."""
+    from bvengine.llm import order_minhash
+
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, "a", 1), (2, text, "b", 2), (3, "other words", "c", 3)], "doc_id long, text string, `a.b` string, `c d,e` int")
+    for keep in (X.keep_first, order_minhash.keep_first):
+        got = keep(docs)
+        assert got.columns == docs.columns
+        assert sorted(map(tuple, got.collect())) == [(1, text, "a", 1), (3, "other words", "c", 3)]
