@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from bvengine.functions.cutoff import cutoff_literal  # noqa: E402
-from bvengine.operators import attach_flags, exclude_unless_stale  # noqa: E402
+from bvengine.operators import attach_flags, exclude_unless_stale, row_number_desc  # noqa: E402
 from bvengine.plans import rules as R  # noqa: E402
 from bvengine.plans.checks import CHECKS  # noqa: E402
 from bvengine.plans.extract import benefit_verification_extract  # noqa: E402
@@ -45,13 +45,13 @@ def timed(df_fn, reps: int) -> float:
 
 
 def late_latest(spark, t):
+    """Every rank is joined, those above 1 are rejected afterwards (as q_latest_late_filter)."""
     c = t.contact_info.filter(
         (F.col("primary_mvn__c") == F.lit(1)) & (F.col("recordtypeid") == CHECK_CONFIG.contact_record_type)
         & F.col("zip_mvn__c").isNotNull())
-    return spark.sql(
-        """SELECT a.id, c.zip_mvn__c FROM {a} a LEFT JOIN (
-             SELECT *, row_number() OVER (PARTITION BY account_mvn__c ORDER BY lastmodifieddate DESC, id DESC) AS r
-             FROM {c}) c ON c.account_mvn__c = a.id WHERE NOT (COALESCE(c.r, 0) > 1)""", a=t.account, c=c)
+    ranked = row_number_desc(c, "account_mvn__c", "lastmodifieddate", "id").select("account_mvn__c", "zip_mvn__c", "r")
+    joined = t.account.join(ranked, t.account["id"] == ranked["account_mvn__c"], "left")
+    return joined.filter(F.coalesce("r", F.lit(0)) <= 1).select("id", "zip_mvn__c")
 
 
 def early_latest(spark, t):
