@@ -86,12 +86,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_embedding_join": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.98::DOUBLE ELSE false END
+        ),
+        r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS least FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c.least, e.vec_id)) AS component_id,
+               e.vec_id <= coalesce(c.least, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+    """,
     "op4_exact_dedup": """
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS x FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(x) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY x)
     """,
+    "op5_url_filter": """
+        WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS x FROM pages),
+        p AS (
+            SELECT page_id, coalesce(regexp_extract(x, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                   coalesce(translate(regexp_extract(x, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host
+            FROM u
+        ),
+        g(name, prefix, said) AS (
+            VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+        ),
+        m AS (
+            SELECT p.page_id, arg_max(g.name || g.prefix, length(g.name || g.prefix)) AS rule, arg_max(g.said, length(g.name || g.prefix)) AS said
+            FROM p JOIN g ON (p.host = g.name OR ends_with(p.host, '.' || g.name)) AND starts_with(p.path, g.prefix) GROUP BY p.page_id
+        ),
+        h AS (
+            SELECT p.host, count(l.quality)::DOUBLE AS n, coalesce(sum(l.quality), 0)::DOUBLE AS k, string_split(p.host, '.') AS parts
+            FROM p LEFT JOIN labels l ON l.doc_id = p.page_id AND l.quality IN (0, 1) GROUP BY p.host
+        ),
+        s AS (
+            SELECT *, array_to_string(parts[greatest(1, len(parts) - 1):], '.') IN (
+                       'co.uk', 'ac.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au', 'org.au', 'co.jp', 'co.nz', 'com.br', 'co.in', 'co.za', 'com.cn', 'com.mx'
+                   ) AS two FROM h
+        ),
+        d AS (
+            SELECT host, n, k, array_to_string(parts[greatest(1, len(parts) - two::INT):], '.') AS suffix,
+                   array_to_string(parts[greatest(1, len(parts) - 1 - two::INT):], '.') AS dom FROM s
+        ),
+        w AS (SELECT *, (sum(k) OVER () + 1::DOUBLE) / (sum(n) OVER () + 2::DOUBLE) AS base FROM d),
+        x AS (SELECT *, (sum(k) OVER of_s + 20::DOUBLE * base) / (sum(n) OVER of_s + 20::DOUBLE) AS s_mean FROM w WINDOW of_s AS (PARTITION BY suffix)),
+        y AS (SELECT *, (sum(k) OVER of_d + 20::DOUBLE * s_mean) / (sum(n) OVER of_d + 20::DOUBLE) AS d_mean FROM x WINDOW of_d AS (PARTITION BY suffix, dom)),
+        z AS (SELECT host, base, n + 20::DOUBLE AS t, (k + 20::DOUBLE * d_mean) / (n + 20::DOUBLE) AS mean FROM y),
+        o AS (SELECT host, mean, mean + 1.645::DOUBLE * sqrt(mean * (1 - mean) / (t + 1)) < 0.9::DOUBLE * base AS bad FROM z)
+        SELECT p.page_id, p.host, p.path, m.rule, CASE WHEN m.rule IS NOT NULL THEN m.said WHEN o.bad THEN 'block' ELSE 'allow' END AS verdict,
+               CASE WHEN m.rule IS NULL THEN o.mean END AS host_mean
+        FROM p JOIN o ON o.host = p.host LEFT JOIN m ON m.page_id = p.page_id
+    """,
     "op10_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
         q AS (SELECT page_id, h, n, max(page_id) OVER (PARTITION BY h) AS m FROM p)

@@ -1,7 +1,10 @@
+import duckdb
 import numpy as np
 import pytest
 
 from bvengine.llm import embedding_join as J
+from bvengine.llm.queries import ORACLES, QUERIES
+from oracle import compare
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node long, vec string"
 
@@ -67,6 +70,20 @@ def test_against_brute_force(spark, cell, block):
     assert got == brute(rows, 0.98)
 
 
+def test_query_against_sql_on_planted_links(spark, tmp_path):
+    seen, rows = set(), []
+    for r in vectors():  # ids of the table are unique
+        if r[0] is not None and r[0] not in seen:
+            seen.add(r[0])
+            rows.append(r)
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame([(*r, 1, "z") for r in rows], SCHEMA).coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    got = compare(QUERIES["op2_embedding_join"](spark, str(tmp_path)), con, ORACLES["op2_embedding_join"])
+    assert got["ok"], got
+
+
 def test_empty(spark):
     assert J.link(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):

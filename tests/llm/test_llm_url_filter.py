@@ -1,7 +1,11 @@
 import math
 import re
 
+import duckdb
+
 from bvengine.llm import url_filter as U
+from bvengine.llm.queries import ORACLES, QUERIES
+from oracle import compare
 
 SCHEMA = "page_id long, url string, host string, path string, n int"
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -93,3 +97,23 @@ def test_native_plan(spark):
     plan = U.judge(pages, spark.createDataFrame([(1, 1)], "page_id long, good int"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
     assert U.judge(pages.limit(0), spark.createDataFrame([], "page_id long, good int")).count() == 0
+
+
+def test_query_against_sql_with_bad_hosts(spark, tmp_path):
+    urls = list(URLS)
+    marks = []
+    for host, good, bad in (("bad.org", 2, 90), ("good.org", 80, 3), ("x.bad.co.uk", 1, 70), ("y.bad.co.uk", 0, 2), ("fair.de", 300, 20)):
+        for mark in [1] * good + [0] * bad:
+            marks.append((len(urls), mark, None))
+            urls.append(f"https://{host}/{len(urls)}")
+    marks += [(3, None, 1), (4, 7, 0), (10**6, 0, 0)]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    df = QUERIES["op5_url_filter"](spark, str(tmp_path))
+    got = compare(df, con, ORACLES["op5_url_filter"])
+    assert got["ok"], got
+    verdicts = {r["host"]: r["verdict"] for r in df.where("rule is null").collect()}
+    assert verdicts["bad.org"] == verdicts["x.bad.co.uk"] == "block" and verdicts["good.org"] == verdicts["fair.de"] == "allow"
