@@ -9,11 +9,11 @@ Candidates are verified by banded alignment of the labelled k-mers: the longest
 the band of diagonals that the threshold leaves (|i - j| <= n + m - 2L at the least L), gives the similarity
 L / (n + m - L), a Jaccard coefficient that respects order. Pairs of `threshold` = 0.8 or more are linked. A pair
 that shares I of U k-mers shares a band with the chance C(I, 7) / C(U, 7), so few k-mers make bands a poor search.
-Pairs with a document of at most `threshold` * SHORT = 60 k-mers are therefore searched exactly, by a prefix filter
-and not by bands: the k-mers of every class of at most SHORT are ordered by one order that all classes share, those
-that many classes hold last, and the first n - ceil(threshold * n) + 1 of them are bucket keys. Two classes that reach
-the threshold share such a key, whatever the order. Above 60 k-mers the bands miss a pair of similarity 0.8 with a
-probability of 0.0025 at most (long texts 0.0014), one of 0.85 with 0.00004 at most.
+Every class has its band keys, and besides them pairs with a document of at most `threshold` * SHORT = 60 k-mers are
+searched exactly, by a prefix filter: the k-mers of every class of at most SHORT are ordered by one order that all
+classes share, those that many classes hold last, and the first n - ceil(threshold * n) + 1 of them are bucket keys
+too. Two classes that reach the threshold share such a key, whatever the order. Above 60 k-mers the bands miss a pair
+of similarity 0.8 with a probability of 0.0025 at most (long texts 0.0014), one of 0.85 with 0.00004 at most.
 
 No bucket gives all its pairs. Documents of equal word sequences are one class. In each bucket the classes are
 first compared with one head, the class whose buckets are largest (the centre of a family of copies): in round one
@@ -26,7 +26,9 @@ k-mers are unmatched, so L <= (n + m - D) / 2. Buckets are compared in blocks of
 
 Texts without words (null, empty, only punctuation) are each a group of their own, as they have nothing to
 compare. Documents of fewer than K words are one k-mer. Rows that repeat an id are separate rows of one class or
-more; the class id is the smallest doc_id of the group that is not null. Extra columns are not read.
+more; the class id is the smallest doc_id of the group that is not null. Texts of any length are read whole, a few
+bands at a time. Labelled k-mers of a text are distinct and a band's hash is a bijection, so its minima have no ties;
+where two heads are equally good either serves, and the components are the same. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -153,9 +155,9 @@ def prefix(h: np.ndarray, common: np.ndarray, counts: np.ndarray, threshold: flo
     return x[np.lexsort((x, count))[: len(h) - int(np.ceil(threshold * len(h) - 1e-9)) + 1]]
 
 
-def sequences(docs: DataFrame, bands: int, picks: int, threshold: float = THRESHOLD, number: str | None = None) -> DataFrame:
+def sequences(docs: DataFrame, bands: int, picks: int, number: str | None = None) -> DataFrame:
     """Per row of (doc_id, text): row, digest of the word sequence (null without words), words, keys of the bands
-    (none where the exact search finds all partners) and grams, the k-mers of short texts. `number` names a column
+    and grams, the k-mers of short texts. `number` names a column
     of stored row numbers; without it rows are numbered here."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,7 +170,7 @@ def sequences(docs: DataFrame, bands: int, picks: int, threshold: float = THRESH
                     if len(w):
                         data = w.astype("<u4").tobytes()
                         h = kmers(w)
-                        keys = sketch(h, bands, picks).view(np.int64) if len(h) > threshold * SHORT else []
+                        keys = sketch(h, bands, picks).view(np.int64)
                         grams = h.view(np.int64) if len(h) <= SHORT else None
                         out.append((doc_id, hashlib.blake2b(data, digest_size=16).digest(), data, keys, grams, *row))
                     else:
@@ -277,7 +279,7 @@ def candidates(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame, threshold: float, bands: int, picks: int, number: str | None = None) -> DataFrame:
     """Per row of (doc_id, text): doc_id, row and group, stored."""
-    rows = stored(sequences(docs, bands, picks, threshold, number), "sequences")
+    rows = stored(sequences(docs, bands, picks, number), "sequences")
     # a class is named by the first row that holds its words
     first_row = rows.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"))
     member = stored(rows.select("doc_id", "row", "digest").join(first_row, "digest", "left").select("doc_id", "row", "class"), "members")
@@ -325,7 +327,10 @@ def grouped(docs: DataFrame, threshold: float, bands: int, picks: int, number: s
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     left = open_.select("*", own.alias("i"), F.lit(True).alias("left")).withColumn("j", every)
     right = open_.select("*", own.alias("j"), F.lit(False).alias("left")).withColumn("i", every)
-    pairs = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(open_pairs(threshold), "a long, b long")
+    # comparing costs more than the rows' bytes tell: a number of partitions that Spark does not merge by bytes
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = left.unionByName(right).repartition(tasks, "key", "i", "j")
+    pairs = dealt.groupBy("key", "i", "j").applyInPandas(open_pairs(threshold), "a long, b long")
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = stored(pairs.distinct().join(both_ways, ["a", "b"], "left_anti"), "pairs3")
     reached = connected(stored(verify(pairs, words, threshold), "links3"), reached)

@@ -138,6 +138,26 @@ def test_sketch_sees_order_and_repetition():
     assert all(hits)
 
 
+def test_bands_find_near_copies_without_the_exact_search():
+    """Measured recall of the bands alone on pairs above 60 k-mers, by the similarity of the plain table."""
+    found = {True: 0, False: 0}
+    for seed in range(400):
+        a = " ".join(prose(seed, 80 + seed % 120))
+        b = edited(a, 1 + seed % 5, seed)
+        if min(len(labelled(words(a))), len(labelled(words(b)))) <= 60 or similarity(a, b) < O.THRESHOLD:
+            continue
+        table = O.Words()
+        keys = [set(O.sketch(O.kmers(O.words_of(x, table))).tolist()) for x in (a, b)]
+        found[bool(keys[0] & keys[1])] += 1
+    assert found[True] > 150 and found[True] / sum(found.values()) >= 0.98, found
+
+
+def test_every_text_with_words_has_band_keys(spark):
+    docs = documents(spark, [(i, " ".join(prose(i, n))) for i, n in enumerate((1, 4, 5, 12, 60, 300))] + [(9, None), (10, "")])
+    got = {r["doc_id"]: r["keys"] for r in O.sequences(docs, O.BANDS, O.PICKS).collect()}
+    assert all(len(got[i]) == O.BANDS for i in range(6)) and got[9] is None and got[10] is None
+
+
 def test_edges(spark):
     docs = documents(spark, [(None, "a b c d e f g"), (4, "a b c d e f g"), (4, "a b c d e f g"), (None, "z"), (None, None)])
     got = sorted((str(r["doc_id"]), str(r["class_id"]), r["class_size"], r["kept"]) for r in O.classes(docs).collect())
