@@ -18,6 +18,8 @@ def qcol(name: str) -> Column:
 
 #: Copies of a row of a small right side, over which the rows of one key are dealt.
 SALTS = 16
+#: Joins in which a broadcast right side leaves the left rows where they are.
+UNMOVED = ("left", "inner", "left_semi", "left_anti")
 
 
 def salt_of(key: Column, by: Sequence[Column | str], salts: int) -> Column:
@@ -28,6 +30,13 @@ def salt_of(key: Column, by: Sequence[Column | str], salts: int) -> Column:
     return F.when(key.isNull(), h).otherwise(F.pmod(h, F.lit(salts).cast("bigint")))
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark broadcasts ``df`` of its own accord: its estimate is
+    within ``spark.sql.autoBroadcastJoinThreshold``."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def hot_keys(df: DataFrame, key: Column | str) -> DataFrame:
     """Keys of ``df`` that alone hold more rows than an average shuffle
     partition (``__hot``), with the number of such partitions that their rows
@@ -85,7 +94,11 @@ def dealt_join(
     join and a row of any other key is shuffled once.  Rows with a NULL key
     are spread over all tasks.
 
-    ``left`` is read twice, the first time for its key alone.  Where that
+    A ``right`` that Spark broadcasts by itself (``is_broadcast``) is joined as
+    it is: no row of ``left`` moves, so no key is hot.  Repeating its rows
+    would hide its size from Spark, and ``left`` would be shuffled.
+
+    Otherwise ``left`` is read twice, the first time for its key alone.  Where that
     costs more than copies of a small ``right``, ``salts`` deals every key over
     so many shares and repeats every row of ``right``; with ``salts=1`` only
     NULL keys are spread.  ``hint`` is a join hint for ``right``.
@@ -94,6 +107,8 @@ def dealt_join(
     out = left.withColumn("__lk", col(left_key))
     r = right.filter(qcol(right_key).isNotNull()).withColumn("__rk", qcol(right_key))
     zero = F.lit(0).cast("bigint")
+    if salts is None and hint is None and how in UNMOVED and is_broadcast(r):
+        return out.join(r, F.col("__lk") == F.col("__rk"), how).drop("__lk", "__rk")
     if salts is None:
         hot = hot_keys(out, "__lk")
         h = F.xxhash64(*[col(c) for c in by])

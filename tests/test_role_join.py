@@ -1,0 +1,81 @@
+"""Dimensions that Spark broadcasts: the rows that look them up are read once and not moved."""
+
+import pytest
+
+from bvengine.operators import dealt_join, role_join
+from bvengine.plans.checks import q_role_join
+from bvengine.sources.schemas import DRIVER_SCHEMAS
+
+# NULL and unknown keys on every side, a customer and a nation that repeat
+ROWS = {
+    "nation": [(1, "A"), (2, "B"), (2, "B2"), (None, "none")],
+    "supplier": [(10, 1), (11, 2), (12, None), (13, 9)],
+    "customer": [(i, [1, 2, None, 9][i % 4]) for i in range(40)] + [(4, 1)],
+    "orders": [(i, i % 45 if i % 11 else None) for i in range(300)],
+    "lineitem": [(i % 310 if i % 13 else None, i, [10, 11, 12, 13, None, 99][i % 6]) for i in range(2000)],
+}
+COLUMNS = {
+    "nation": ("n_nationkey", "n_name"),
+    "supplier": ("s_suppkey", "s_nationkey"),
+    "customer": ("c_custkey", "c_nationkey"),
+    "orders": ("o_orderkey", "o_custkey"),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_suppkey"),
+}
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("roles"))
+    for name, rows in ROWS.items():
+        fields = DRIVER_SCHEMAS[name].fieldNames()
+        full = [tuple(dict(zip(COLUMNS[name], r, strict=True)).get(f) for f in fields) for r in rows]
+        spark.createDataFrame(full, DRIVER_SCHEMAS[name]).write.parquet(f"{d}/{name}.parquet")
+    return d
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def expected():
+    def many(name, key):
+        return [r for r in ROWS[name] if key is not None and r[0] == key]
+
+    out = []
+    for order, line, supplier in ROWS["lineitem"]:
+        for _, customer in many("orders", order):
+            for _, home in many("customer", customer):
+                for _, away in many("supplier", supplier) or [(None, None)]:
+                    for cn in many("nation", home) or [(None, None)]:
+                        out += [(order, line, cn[1], sn[1]) for sn in many("nation", away) or [(None, None)]]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_roles_of_nations(spark, tables, limit):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = q_role_join(spark, tables)
+        assert sorted(map(tuple, got.collect()), key=str) == expected()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_line_items_are_read_once(spark, tables):
+    assert plan(q_role_join(spark, tables)).count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_a_broadcast_side_moves_no_row(spark, tables, how):
+    left, right = (spark.read.parquet(f"{tables}/{n}.parquet") for n in ("customer", "nation"))
+    got = dealt_join(left, right, "c_nationkey", "n_nationkey", how)
+    assert "Exchange hashpartitioning" not in plan(got) and plan(got).count("customer.parquet") == 1
+    want = left.join(right, left["c_nationkey"] == right["n_nationkey"], how)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_a_hint_is_still_followed(spark, tables):
+    left, right = (spark.read.parquet(f"{tables}/{n}.parquet") for n in ("customer", "nation"))
+    assert "SortMergeJoin" in plan(role_join(left, right, "c_nationkey", "n_", dim_key="n_nationkey", hint="merge"))
