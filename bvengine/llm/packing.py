@@ -69,17 +69,19 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def ranks(path: str) -> dict[bytes, int]:
+    """The vocabulary of the tokenizer's file as bytes. Its special tokens, which have no merges, are left out."""
+    to_byte, special = byte_of(), added(path)
+    return {bytes(map(to_byte.__getitem__, word)): i for word, i in tokenizer(path).get_vocab().items() if word not in special}
+
+
 @lru_cache(maxsize=2)
 def merger(path: str):
-    """The vocabulary of the tokenizer's file for the faster merging library; ids are the file's. Its special tokens,
-    which have no merges, are left out."""
+    """The vocabulary of the tokenizer's file for the faster merging library; ids are the file's."""
     import public_tokenizers
     import tiktoken
 
-    t, to_byte = tokenizer(path), byte_of()
-    special = added(path)
-    ranks = {bytes(map(to_byte.__getitem__, word)): i for word, i in t.get_vocab().items() if word not in special}
-    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
 
 
 def encode(path: str, texts: list[str], kind: str) -> list[bytes]:

@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bvengine.llm.common import stored
-from bvengine.llm.packing import LONG_RUN, LONG_SPACE, OTHER_SPACE, byte_of, merger
+from bvengine.llm.packing import LONG_RUN, LONG_SPACE, byte_of, has_other_space, ranks
 
 #: Code points of text after which a block of documents ends.
 BLOCK = 4 << 20
+#: Tokens whose bytes are compared with the text at a time.
+STRETCH = 1 << 14
 
 ALIGNED = (
     "side int, block long, doc_id string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
@@ -65,6 +67,18 @@ def bytes_a(path: str) -> tuple[list[bytes], np.ndarray]:
     return out, np.array([len(x) for x in out])
 
 
+@lru_cache(maxsize=2)
+def array_merger(path: str):
+    """The merging library's encoder for the file. It hands out its ids without a list only beside a special token, which
+    is never allowed: its string in a text is plain text."""
+    import public_tokenizers
+    import tiktoken
+
+    table = ranks(path)
+    never = {"\0\U0010ffff\0": max(table.values()) + 1}
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=never)
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str):
     import sentencepiece
@@ -80,22 +94,46 @@ def bytes_b(path: str) -> tuple[list[bytes], np.ndarray]:
     return out, np.array([len(x) for x in out])
 
 
-def encode(a: str, b: str, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-    """Ids of both tokenizers; None where one does not give back the text."""
+@lru_cache(maxsize=4)
+def laid_out(table, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids in a row, and where each id's begin."""
+    words, size = table(path)
+    return np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+
+
+def ends_in(whole: np.ndarray, ids: np.ndarray, table, path: str) -> np.ndarray | None:
+    """The tokens' ends in the bytes `whole`; None where the tokens' bytes are others."""
+    size = table(path)[1][ids]
+    ends = np.cumsum(size)
+    if not len(ends) or ends[-1] != len(whole):
+        return None
+    row, first = laid_out(table, path)
+    shift = first[ids] - (ends - size)
+    for k in range(0, len(ids), STRETCH):
+        part = slice(k, k + STRETCH)
+        low, high = ends[k] - size[k], ends[part][-1]
+        at = np.repeat(shift[part], size[part])
+        at += np.arange(low, high)
+        if not np.array_equal(row[at], whole[low:high]):
+            return None
+    return ends
+
+
+def encode(a: str, b: str, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Ids of both tokenizers and their tokens' ends; None where one does not give back the text."""
     if not text:
         return None
     spaced = " " + text
     # the merging library is the faster one; white space that it classes apart, and long runs, go through the tokenizer
-    if OTHER_SPACE.search(text) or len(text) >= LONG_SPACE and LONG_RUN.search(text):
-        ids_a = plain_tokenizer(a).encode(spaced, add_special_tokens=False).ids
+    if has_other_space(text) or len(text) >= LONG_SPACE and LONG_RUN.search(text):
+        ids_a = np.array(plain_tokenizer(a).encode(spaced, add_special_tokens=False).ids, np.int64)
     else:
-        ids_a = merger(a).encode_ordinary(spaced)
-    ids_b = pieces(b).encode(text)
-    whole = spaced.encode()
-    for ids, table in ((ids_a, bytes_a(a)[0]), (ids_b, bytes_b(b)[0])):
-        if b"".join(map(table.__getitem__, ids)) != whole:
-            return None
-    return np.array(ids_a), np.array(ids_b)
+        ids_a = array_merger(a).encode_to_numpy(spaced, disallowed_special=()).astype(np.int64)
+    ids_b = pieces(b).encode(text, out_type="numpy").astype(np.int64)
+    whole = np.frombuffer(spaced.encode(), np.uint8)
+    if (ends_a := ends_in(whole, ids_a, bytes_a, a)) is None or (ends_b := ends_in(whole, ids_b, bytes_b, b)) is None:
+        return None
+    return ids_a, ids_b, ends_a, ends_b
 
 
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -157,30 +195,29 @@ class Alignment:
 
 @lru_cache(maxsize=4)
 def labels(n: int) -> np.ndarray:
-    """Text of each id followed by a comma, a bar or a semicolon."""
-    out = np.empty((3, n), object)
-    for k, mark in enumerate(",|;"):
-        out[k] = [f"{i}{mark}" for i in range(n)]
-    return out
+    """Text of each id (below ten million) followed by a comma, a bar or a semicolon, in 8 bytes that end in zeros."""
+    return np.array([[f"{i}{mark}" for i in range(n)] for mark in ",|;"], "S8").view(np.uint64)
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
+def groups_text(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> bytes:
     """a1,a2|b1;a3|b2,b3: the ids of each group in order."""
-    out = np.empty(len(a) + len(b), object)
-    size_a, size_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+    out = np.empty(len(a) + len(b), np.uint64)
     mark_a, mark_b = np.zeros(len(a), int), np.zeros(len(b), int)
     mark_a[ends_a - 1], mark_b[ends_b - 1] = 1, 2
     table = labels(1 + int(max(a.max(), b.max())) | 0xFFFF)
-    out[np.arange(len(a)) + np.repeat(ends_b - size_b, size_a)] = table[mark_a, a]
-    out[np.arange(len(b)) + np.repeat(ends_a, size_b)] = table[mark_b, b]
-    return "".join(out.tolist())[:-1]
+    # a group's tokens of A come after those of B of the groups before it, and its tokens of B after all its own of A
+    before_a, before_b = np.zeros_like(ends_a), np.zeros_like(ends_b)
+    before_a[1:], before_b[1:] = ends_a[:-1], ends_b[:-1]
+    out[np.arange(len(a)) + np.repeat(before_b, ends_a - before_a)] = table[mark_a, a]
+    out[np.arange(len(b)) + np.repeat(ends_a, ends_b - before_b)] = table[mark_b, b]
+    return out.tobytes().translate(None, b"\0")[:-1]
 
 
 def aligned(a: str, b: str, text: str | None):
     """(ids of A, ids of B, Alignment) of a text, or None where it has no tokens."""
-    if (ids := encode(a, b, text)) is None:
+    if (found := encode(a, b, text)) is None:
         return None
-    return *ids, Alignment(np.cumsum(bytes_a(a)[1][ids[0]]), np.cumsum(bytes_b(b)[1][ids[1]]))
+    return *found[:2], Alignment(*found[2:])
 
 
 def alignments(docs: DataFrame, a: str, b: str) -> DataFrame:
@@ -226,7 +263,7 @@ def blocks(docs: DataFrame, a: str, b: str, block: int) -> DataFrame:
                     ends = made.group_ends()
                     at, bt = made.links()
                     pairs, times = np.unique(ids_a[at] << 32 | ids_b[bt], return_counts=True)
-                    digest = hashlib.sha256(groups_text(ids_a, ids_b, *ends).encode()).hexdigest()
+                    digest = hashlib.sha256(groups_text(ids_a, ids_b, *ends)).hexdigest()
                     open_.append((doc_id, len(ids_a), len(ids_b), len(ends[0]), len(at), digest, pairs, times.astype(np.int32)))
                 size += len(text or "") + 256
                 if size >= block:
